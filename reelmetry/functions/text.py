@@ -52,8 +52,13 @@ def scrape_labels(address: Column) -> dict[str, Column]:
 
 
 def two_decimals(value: Column) -> Column:
-    """``%.2f`` text; a missing value prints as nan."""
-    return F.when(value.isNull(), F.lit("nan")).otherwise(F.format_string("%.2f", value))
+    """``%.2f`` text as Python prints it; a missing value prints as nan.
+
+    ``format_number`` rounds the exact binary value half to even, as Python
+    does; ``format_string`` would round the shortest decimal text half up.
+    """
+    text = F.call_function("format_number", value, F.lit("0.00"))
+    return F.when(value.isNull(), F.lit("nan")).otherwise(text)
 
 
 def pad_right(text: Column, width: int) -> Column:

@@ -122,3 +122,8 @@ def train(spark: SparkSession, list_path: str, image_path: str | list[str], mode
     best, scored = fit_and_select(sampled, "image_path", tries)
     save_model(best.model, model_path)
     return score_table(spark, best, scored)
+
+
+def best_of_table(scores: DataFrame) -> DataFrame:
+    """Table form of ``select_best``: highest f1, then lowest priority."""
+    return scores.orderBy(F.col("f1").desc(), F.col("priority")).limit(1)

@@ -55,11 +55,12 @@ def read_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def as_messages(frames: DataFrame, keyed: bool = True) -> DataFrame:
+def as_messages(frames: DataFrame, keyed: bool = True, extra: tuple[str, ...] = ()) -> DataFrame:
     """Frames as key and value. The key names the frame, so that a reader can
     drop the copies an at-least-once sink may write; unkeyed it is null."""
     key = F.concat_ws("/", "video", F.col("frame_seq").cast("string")).cast("binary")
-    return frames.select((key if keyed else F.lit(None).cast("binary")).alias("key"), F.col("data").alias("value"))
+    key = key if keyed else F.lit(None).cast("binary")
+    return frames.select(*extra, key.alias("key"), F.col("data").alias("value"))
 
 
 def from_messages(messages: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -50,22 +50,25 @@ def write_batch_once(df: DataFrame, batch_id: int, path: str) -> None:
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
-def split_errors(good_path: str, bad_path: str, error: str = "error") -> Callable[[DataFrame, int], None]:
-    """Batch function: good rows to one table, bad rows to another.
+def split_errors(path: str, error: str = "error") -> Callable[[DataFrame, int], None]:
+    """Batch function that keeps bad rows apart under ``failed=true``.
 
-    The batch is persisted, so that its rows are computed once for both tables.
+    One write computes the rows once; a reader of ``failed = false`` skips the
+    bad ones by partition pruning. Bad rows never stop the stream.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        held = batch.persist()
-        try:
-            write_batch_once(held.filter(F.col(error).isNull()).drop(error), batch_id, good_path)
-            write_batch_once(held.filter(F.col(error).isNotNull()), batch_id, bad_path)
-        finally:
-            held.unpersist()
+        flagged = batch.withColumn("failed", F.col(error).isNotNull())
+        target = f"{path.rstrip('/')}/batch_id={batch_id}"
+        flagged.write.mode("overwrite").partitionBy("failed").parquet(target)
 
     return write
 
 
+def read_split(spark: SparkSession, path: str) -> DataFrame:
+    """What ``split_errors`` wrote, with ``failed`` as a boolean again."""
+    return spark.read.parquet(path).withColumn("failed", F.col("failed").cast("boolean")).drop("batch_id")
+
+
 def replace_table(path: str) -> Callable[[DataFrame, int], None]:
     """Batch function for complete mode: the table is the latest full result."""
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -23,10 +23,10 @@ def producer_of(user_id: Column) -> Column:
     return _pick(PRODUCERS, user_id % len(PRODUCERS))
 
 
-def metric_samples_from_events(events: DataFrame) -> DataFrame:
+def metric_samples_from_events(events: DataFrame, producer: Column | None = None) -> DataFrame:
     """Long metric table: producer, metric, ts, value and file order ``seq``."""
     return events.select(
-        producer_of(F.col("user_id")).alias("producer"),
+        (producer_of(F.col("user_id")) if producer is None else producer).alias("producer"),
         _pick(METRICS, F.col("event_id") % len(METRICS)).alias("metric"),
         F.col("ts"),
         F.col("value"),
