@@ -357,7 +357,7 @@ def short_series(spark, sf):
   SELECT producer, pos, round(resid, 6) AS resid, coalesce(abs(resid) > 3 * spread, false) AS anomaly
   FROM d JOIN spreads USING (producer)""")
 def anomaly_flags(spark, sf):
-    flagged = A.flag_anomalies(decompose(V.hourly_samples(spark, sf)))
+    flagged = A.flag_anomalies(V.hourly_samples(spark, sf))
     return rounded(flagged.select("producer", "pos", "resid", "anomaly"), "resid")
 
 
@@ -390,7 +390,8 @@ _BOTTLENECKS = f"""{WIDE}, b AS (
   round(max_memory, 6) AS max_memory, round(memory_q90, 6) AS memory_q90,
   array_to_string(bottlenecks, '; ') AS bottlenecks FROM found""")
 def bottlenecks(spark, sf):
-    found = A.bottlenecks(S.wide_table(V.hourly_samples(spark, sf), ["CPU", "Memory"]))
+    samples = V.hourly_samples(spark, sf)
+    found = A.bottlenecks(S.wide_table(samples, ["CPU", "Memory"]), bound=samples)
     return rounded(found.withColumn("bottlenecks", F.array_join("bottlenecks", "; ")), "max_cpu", "max_memory", "memory_q90")
 
 
@@ -681,6 +682,20 @@ def frame_errors(spark, sf):
     return FR.resize_frames(docs, TEXT_FRAME, 2, 2).filter(F.col("data").isNull()).select("path", "error")
 
 
+def _wide_cells(x: int, channel: int) -> str:
+    """A thumbnail byte of a frame whose rows repeat one 64-byte pattern."""
+    a, b = (3 * (4 * x + 1) + channel) % 64, (3 * (4 * x + 2) + channel) % 64
+    return f"((2 * px[{a + 1}] + 2 * px[{b + 1}] + 2) // 4)"
+
+
+@register("full_size_frames", f"""WITH {PIXELS} SELECT vec_id, md5(unhex(repeat({_hex_of([_wide_cells(x, c) for x in range(16) for c in range(3)])}, 256))) AS digest
+  FROM pixels""")
+def full_size_frames(spark, sf):
+    """256x256x3 frames to 64x64x3: the frame job at its real frame size."""
+    frames = V.frames8(spark, sf).select("vec_id", F.unhex(F.repeat(F.hex("data"), 3072)).alias("data"))
+    return FR.resize_frames(frames).select("vec_id", F.md5("data").alias("digest"))
+
+
 @register("feature_values", f"""WITH {PIXELS} SELECT vec_id, array_to_string(list_transform(px, lambda v:
   (CASE WHEN v > 127 THEN v - 256 ELSE v END)), ',') AS features FROM pixels""")
 def feature_values(spark, sf):
@@ -759,7 +774,7 @@ def image_numbers(spark, sf):
     files = V.table(spark, sf, "documents").select(
         F.col("source").alias("folder"), F.format_string("img_%d.JPG", "doc_id").alias("name")
     )
-    return S.ordered_files(files)
+    return S.ordered_files(files, target_rows=120)
 
 
 _LIST = """lines AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN '  img/' || doc_id || '.jpg ' WHEN doc_id % 9 = 1

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reelmetry.operators.ordered import TARGET_ROWS, centred_mean, cut
 from reelmetry.operators.series import align
-from reelmetry.operators.skew import attach_small
+from reelmetry.operators.skew import attach_small, store
 
 
 def decompose(samples: DataFrame, metric: str = "Throughput", period: int = 30,
@@ -24,6 +24,8 @@ def decompose(samples: DataFrame, metric: str = "Throughput", period: int = 30,
     observed = placed.select("producer", "ts", "pos", F.coalesce(metric, F.lit(0.0)).alias("observed"))
     trended = centred_mean(observed, ["producer"], "pos", "observed", period, "trend", target_rows)
     trended = trended.withColumn("phase", (F.col("pos") % period).cast("int"))
+    if not filled.single:
+        trended = store(trended, "trend")  # read twice below
 
     phases = trended.groupBy("producer", "phase").agg(
         F.avg(F.col("observed") - F.col("trend")).alias("raw"), F.count("*").alias("n")

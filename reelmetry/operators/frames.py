@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelmetry.functions.pixels import gray_frame, resize_frame, signed_values
+from reelmetry.operators.skew import keep_listed
 from reelmetry.schemas import FRAME_CHANNELS, FRAME_HEIGHT, FRAME_WIDTH, THUMB_HEIGHT, THUMB_WIDTH, FrameShape
 
 #: Encoded container to frames; ``None`` stands for a frame that did not convert.
@@ -148,11 +149,12 @@ def resample(frames: DataFrame, rate: float, video: str = "video", ts: str = "ts
     """First frame per video and tick of ``1/rate`` seconds, for any frame times.
 
     Only the sequence numbers are grouped; the payload meets them in a
-    semi-join instead of travelling through the grouping.
+    semi-join instead of travelling through the grouping. For a constant rate
+    ``resample_constant`` needs no join at all.
     """
     tick = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) * (rate / 1_000_000))
-    kept = frames.groupBy(video, tick.alias("_tick")).agg(F.min(seq).alias(seq)).select(video, seq)
-    return frames.join(kept, [video, seq], "left_semi")
+    kept = frames.groupBy(video, tick.alias("_tick")).agg(F.min(seq).alias(seq))
+    return keep_listed(frames, kept, [video, seq])
 
 
 def resize_frames(frames: DataFrame, shape: FrameShape = FrameShape(), height: int = THUMB_HEIGHT,

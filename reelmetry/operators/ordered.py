@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 #: Rows that one window task may be given.
 TARGET_ROWS = 2_000_000
 
+#: Sampled names per chunk when the order is text.
+NAMES_PER_CHUNK = 50
+
 CHUNK = "_chunk"
 _NUMERIC = "_order_number"
 
@@ -154,6 +157,8 @@ def cut(df: DataFrame, keys: Sequence[str], order: str, target_rows: int = TARGE
     if rows <= target_rows:
         return OrderedSeries(df, keys, order, single=True)
     pieces = math.ceil(rows / target_rows)
+    if profile.schema[order].dataType.typeName() == "string":
+        return _cut_names(df, keys, order, profile, rows, pieces)
     probabilities = [i / pieces for i in range(1, pieces)]
     points = profile.select(_order_number(profile, order).alias(_NUMERIC)).approxQuantile(
         _NUMERIC, probabilities, 1 / (10 * pieces)
@@ -170,6 +175,20 @@ def cut(df: DataFrame, keys: Sequence[str], order: str, target_rows: int = TARGE
     return OrderedSeries(chunked, keys, order, single=False)
 
 
+def _cut_names(df: DataFrame, keys: tuple[str, ...], order: str, profile: DataFrame,
+               rows: int, pieces: int) -> OrderedSeries:
+    """Chunks of text order. A bounded sample of names places the cut points;
+    every row is kept and gets its chunk from those fixed points."""
+    wanted = NAMES_PER_CHUNK * pieces
+    sample = profile.select(order).filter(F.col(order).isNotNull()).sample(min(1.0, wanted / rows), seed=1)
+    names = sorted(row[0] for row in sample.limit(2 * wanted).toLocalIterator())
+    points = sorted({names[len(names) * i // pieces] for i in range(1, pieces)}) if names else []
+    if not points:
+        return OrderedSeries(df, keys, order, single=True)
+    passed = F.size(F.filter(F.array(*[F.lit(p) for p in points]), lambda p: p <= F.col(order)))
+    return OrderedSeries(df.withColumn(CHUNK, passed), keys, order, single=False)
+
+
 def cut_regular(df: DataFrame, keys: Sequence[str], order: str, step: Column,
                 target_rows: int = TARGET_ROWS) -> OrderedSeries:
     """Cut gapless rows by their number ``step``: exact chunks, nothing to measure."""

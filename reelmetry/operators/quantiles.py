@@ -11,9 +11,12 @@ from reelmetry.operators.ordered import CHUNK, TARGET_ROWS, cut
 
 
 def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float,
-                   name: str, target_rows: int = TARGET_ROWS) -> DataFrame:
+                   name: str, target_rows: int = TARGET_ROWS, bound: DataFrame | None = None) -> DataFrame:
     """One row per group with the ``q`` quantile of the non-null values.
 
+    ``bound`` is a frame that is cheaper to count and has at least the rows of
+    ``df``. When it is large, ``df`` is read several times: store it before.
+
     Few rows: the built-in ``percentile``, whose state holds every distinct
     value of a group. More rows: cut the value axis into chunks, count rows
     per (group, chunk) with map-side combining, find the chunk that holds the
@@ -21,8 +24,9 @@ def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float,
     """
     keys = list(keys)
     values = df.select(*keys, value).filter(F.col(value).isNotNull())
-    series = cut(values, keys, value, target_rows)
-    if series.single:
+    few = bound is not None and bound.count() <= target_rows
+    series = None if few else cut(values, keys, value, target_rows)
+    if few or series.single:
         return values.groupBy(*keys).agg(F.percentile(value, q).alias(name))
 
     along = Window.partitionBy(*keys).orderBy(CHUNK)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelmetry.operators.ordered import TARGET_ROWS, OrderedSeries, centred_mean, cut
@@ -77,7 +77,6 @@ def interpolate(samples: DataFrame, metric: str, target_rows: int = TARGET_ROWS)
 
     A trailing gap repeats the last value, a leading gap stays null.
     """
-    timed = samples.filter(F.col("ts").isNotNull())
     series = _cut_aligned(samples, [metric], target_rows).position("pos")
     known = F.when(F.col(metric).isNotNull(), F.struct("pos", F.col(metric).alias("v")))
     series = series.last_known({"_before": known}).last_known({"_after": known}, forward=False)
@@ -123,10 +122,7 @@ def frame_markers(samples: DataFrame, every: int = 100, target_rows: int = TARGE
     return counted.filter(F.col("nth") % every == 0)
 
 
-def ordered_files(files: DataFrame, folder: str = "folder", name: str = "name") -> DataFrame:
-    """File rows with a 0-based sequence by name within their folder.
-
-    This is a directory listing (names only, no content), one row per file.
-    """
-    w = Window.partitionBy(folder).orderBy(name)
-    return files.withColumn("frame_seq", (F.row_number().over(w) - 1).cast("long"))
+def ordered_files(files: DataFrame, folder: str = "folder", name: str = "name",
+                  target_rows: int = TARGET_ROWS) -> DataFrame:
+    """Directory listing with a 0-based sequence by name within each folder."""
+    return cut(files, [folder], name, target_rows).position("frame_seq").result()

@@ -1,4 +1,4 @@
-"""Joins of a large table with a table of one row per group."""
+"""Size checks, joins with a table of one row per group, stored intermediates."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelmetry.session import scratch_path
+
 #: Rows a broadcast side may have; at some hundred bytes a row, tens of MB.
 BROADCAST_ROWS = 100_000
 
@@ -15,20 +17,47 @@ BROADCAST_ROWS = 100_000
 SALTS = 64
 
 
+def rows_within(df: DataFrame, limit: int) -> bool:
+    """Whether ``df`` has at most ``limit`` rows; counts no more than one beyond."""
+    return df.limit(limit + 1).count() <= limit
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    For results that several later steps read: they are computed once, and a
+    lost executor costs a re-read, not the whole lineage.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def attach_small(big: DataFrame, small: DataFrame, keys: Sequence[str], *, spread_by: str,
                  bound: DataFrame | None = None, limit: int = BROADCAST_ROWS,
                  salts: int = SALTS) -> DataFrame:
     """Inner join of ``big`` with ``small``, one row per ``keys``.
 
     The number of groups is checked first, on ``bound`` (default ``small``),
-    reading at most ``limit`` + 1 of them. Up to ``limit`` the small side is
+    which must hold all groups of ``small``. Up to ``limit`` the small side is
     broadcast. Beyond, the join shuffles on the keys and a salt, so that a
     group with a third of all rows is spread over ``salts`` tasks.
     """
     keys = list(keys)
     groups = small if bound is None else bound
-    if groups.select(*keys).distinct().limit(limit + 1).count() <= limit:
+    if rows_within(groups.select(*keys).distinct(), limit):
         return big.join(F.broadcast(small), keys)
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*keys, "_salt"]).drop("_salt")
+
+
+def keep_listed(big: DataFrame, listed: DataFrame, keys: Sequence[str], limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Rows of ``big`` whose keys are listed (semi-join).
+
+    A list of checked size is broadcast, and the rows stay where they are.
+    """
+    wanted = listed.select(*keys)
+    if rows_within(wanted, limit):
+        wanted = F.broadcast(wanted)
+    return big.join(wanted, list(keys), "left_semi")

@@ -10,6 +10,7 @@ from reelmetry.operators.decompose import decompose
 from reelmetry.operators.ordered import TARGET_ROWS
 from reelmetry.operators.quantiles import exact_quantile
 from reelmetry.operators.series import missing_metrics, wide_table
+from reelmetry.operators.skew import attach_small, rows_within, store
 from reelmetry.schemas import CORRELATED_METRICS
 
 # --- fixed values: thresholds and texts of the bottleneck report ---
@@ -41,10 +42,19 @@ def bottleneck_pairs(wide: DataFrame) -> DataFrame:
     )
 
 
-def bottlenecks(wide: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
-    """Per producer: peaks, the memory threshold and the list of findings."""
+def stored_wide_table(samples: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
+    """The aligned table for several analyses; a large one is written first."""
+    wide = wide_table(samples, target_rows=target_rows)
+    return wide if samples.count() <= target_rows else store(wide, "wide")
+
+
+def bottlenecks(wide: DataFrame, target_rows: int = TARGET_ROWS, bound: DataFrame | None = None) -> DataFrame:
+    """Per producer: peaks, the memory threshold and the list of findings.
+
+    ``bound``: the samples behind ``wide``, cheaper to count.
+    """
     peaks = wide.groupBy("producer").agg(F.max("CPU").alias("max_cpu"), F.max("Memory").alias("max_memory"))
-    threshold = exact_quantile(wide, ["producer"], "Memory", MEMORY_QUANTILE, "memory_q90", target_rows)
+    threshold = exact_quantile(wide, ["producer"], "Memory", MEMORY_QUANTILE, "memory_q90", target_rows, bound)
     found = F.array_compact(F.array(
         F.when(F.col("max_cpu") > CPU_LIMIT, F.lit(HIGH_CPU)),
         F.when(F.col("max_memory") > F.col("memory_q90"), F.lit(HIGH_MEMORY)),
@@ -66,21 +76,25 @@ def resource_efficiency(wide: DataFrame) -> DataFrame:
     )
 
 
-def flag_anomalies(decomposed: DataFrame, sigmas: float = 3.0) -> DataFrame:
+def flag_anomalies(samples: DataFrame, metric: str = "Throughput", sigmas: float = 3.0, period: int = 30,
+                   target_rows: int = TARGET_ROWS) -> DataFrame:
     """Optional extra: residuals beyond ``sigmas`` standard deviations per producer."""
+    decomposed = decompose(samples, metric, period, target_rows)
+    if not rows_within(samples, target_rows):
+        decomposed = store(decomposed, "decomposed")
     spread = decomposed.groupBy("producer").agg(F.stddev_pop("resid").alias("spread"))
-    return decomposed.join(spread, "producer").withColumn(
-        "anomaly", F.coalesce(F.abs("resid") > sigmas * F.col("spread"), F.lit(False))
-    ).drop("spread")
+    joined = attach_small(decomposed, spread, ["producer"], spread_by="pos", bound=samples)
+    beyond = F.abs("resid") > sigmas * F.col("spread")
+    return joined.withColumn("anomaly", F.coalesce(beyond, F.lit(False))).drop("spread")
 
 
 def full_report(samples: DataFrame, target_rows: int = TARGET_ROWS) -> dict[str, DataFrame]:
     """All analyses of all producers, as lazy tables."""
-    wide = wide_table(samples, target_rows=target_rows)
+    wide = stored_wide_table(samples, target_rows)
     return {
         "correlations": correlation_matrix(wide, CORRELATED_METRICS),
         "decomposition": decompose(samples, "Throughput", target_rows=target_rows),
-        "bottlenecks": bottlenecks(wide, target_rows),
+        "bottlenecks": bottlenecks(wide, target_rows, samples),
         "efficiency": resource_efficiency(wide),
         "missing_metrics": missing_metrics(samples),
     }
@@ -88,9 +102,9 @@ def full_report(samples: DataFrame, target_rows: int = TARGET_ROWS) -> dict[str,
 
 def analysis_summary(samples: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
     """One printed-report row per producer: heading name, findings and efficiency."""
-    wide = wide_table(samples, target_rows=target_rows)
+    wide = stored_wide_table(samples, target_rows)
     return (
-        bottlenecks(wide, target_rows)
+        bottlenecks(wide, target_rows, samples)
         .join(resource_efficiency(wide), "producer")
         .join(missing_metrics(samples), "producer")
         .withColumn("heading", F.concat(F.lit("ANALYZING: "), F.upper("producer")))

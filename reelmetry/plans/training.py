@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from reelmetry.functions.pixels import resize_image
 from reelmetry.operators.frames import with_features
 from reelmetry.operators.labels import down_sample, with_fold, with_split
-from reelmetry.session import scratch_path
-from reelmetry.sinks.tables import save_model, write_parquet
+from reelmetry.operators.skew import store
+from reelmetry.sinks.tables import save_model
 from reelmetry.sources.files import lookup_images, read_image_list, read_images
 
 # --- fixed values: classifier settings and search grids ---
@@ -103,18 +103,20 @@ def score_table(spark: SparkSession, best: Scored, scored: list[Scored]) -> Data
 
 
 def image_features(spark: SparkSession, list_path: str, image_path: str | list[str]) -> DataFrame:
-    """Labelled feature vectors of the listed images that can be read."""
-    found = lookup_images(read_image_list(spark, list_path), read_images(spark, image_path))
-    resized = found.withColumn("data", resize_image(F.col("image"))).drop("image")
-    return with_features(resized.filter(F.col("data").isNotNull())).drop("data")
+    """Labelled feature vectors of the listed images that can be read.
+
+    Images are shrunk before they meet the list, so that a join by shuffle
+    moves thumbnails, never the images.
+    """
+    thumbnails = read_images(spark, image_path).select("path", resize_image(F.col("image")).alias("data"))
+    found = lookup_images(read_image_list(spark, list_path), thumbnails.filter(F.col("data").isNotNull()))
+    return with_features(found).drop("data")
 
 
 def train(spark: SparkSession, list_path: str, image_path: str | list[str], model_path: str,
           fraction: float = 0.01, tries: list[Candidate] | None = None) -> DataFrame:
     """The training job. Features are computed once and kept as a table."""
-    stored = scratch_path(spark, "features")
-    write_parquet(image_features(spark, list_path, image_path), stored)
-    features = spark.read.parquet(stored)
+    features = store(image_features(spark, list_path, image_path), "features")
     if features.isEmpty():
         raise ValueError("no readable images in the list")
     # The label index is fitted before sampling, on all rows: it only needs names.

@@ -12,8 +12,9 @@ from reelmetry.functions.text import SERIES_PATH, base_name, is_video_name, pare
 from reelmetry.functions.times import parse_sample_time
 from reelmetry.operators.labels import parse_image_list
 from reelmetry.operators.series import ordered_files
-from reelmetry.operators.skew import BROADCAST_ROWS
-from reelmetry.schemas import IMAGE_LIST_SCHEMA, METRIC_CSV_SCHEMA, METRICS
+from reelmetry.operators.skew import BROADCAST_ROWS, rows_within
+from reelmetry.schemas import IMAGE_LIST_SCHEMA, METRIC_CSV_SCHEMA, METRICS, FrameShape
+from reelmetry.sources.slices import slice_reader
 
 # --- fixed values: file name patterns ---
 VIDEO_GLOB = "video_[0-9][0-9].mp4"
@@ -81,7 +82,7 @@ def lookup_images(listed: DataFrame, images: DataFrame, limit: int = BROADCAST_R
     """
     left = listed.withColumn("_path", bare_path(F.col("image_path")))
     right = images.withColumn("_path", bare_path(F.col("path"))).drop("path")
-    if listed.limit(limit + 1).count() <= limit:
+    if rows_within(listed, limit):
         left = F.broadcast(left)
     return right.join(left, "_path").drop("_path")
 
@@ -102,6 +103,8 @@ def image_sequence(spark: SparkSession, folder: str, rate: float = 1.0, glob: st
         "path", parent_name(F.col("path")).alias("folder"), base_name(F.col("path")).alias("name")
     )
     numbered = ordered_files(listing).select(bare_path(F.col("path")).alias("_path"), "folder", "name", "frame_seq")
+    if rows_within(listing, BROADCAST_ROWS):
+        numbered = F.broadcast(numbered)
     images = read_images(spark, folder, glob).withColumn("_path", bare_path(F.col("path")))
     at = F.timestamp_micros((F.col("frame_seq") * (1_000_000 / rate)).cast("long")).cast("timestamp_ntz")
     return images.join(numbered, "_path").drop("_path").withColumn("ts", at)
@@ -146,3 +149,25 @@ def missing_files(samples: DataFrame, metrics: Sequence[str] = tuple(METRICS)) -
 def producers(samples: DataFrame) -> DataFrame:
     """Producers that have at least one usable sample."""
     return samples.filter(F.col("ts").isNotNull()).select("producer").distinct()
+
+
+def raw_file_frames(spark: SparkSession, folder: str, shape: FrameShape = FrameShape(), glob: str = MP4_GLOB,
+                    frames_per_slice: int = 512) -> DataFrame:
+    """Frames of raw containers of any size, read slice by slice.
+
+    ``binaryFile`` takes a file as one row of at most 2 GB. Here only the
+    listing is a table; it is cut into slices of ``frames_per_slice`` frames,
+    the slices are spread over the tasks, and a task opens the file and reads
+    its own byte range. One huge file is thus read by many tasks.
+    """
+    size = shape.nbytes
+    listing = read_binary(spark, folder, glob).select("path", F.floor(F.col("length") / size).alias("_frames"))
+    slices = listing.filter("_frames > 0").select(
+        "path", "_frames",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_frames") - 1) / frames_per_slice))).alias("_slice"),
+    )
+    first = F.col("_slice") * frames_per_slice
+    ranges = slices.select(
+        "path", first.alias("first"), F.least(F.lit(frames_per_slice), F.col("_frames") - first).alias("n")
+    ).repartition("path", "first")
+    return ranges.mapInArrow(slice_reader(size), "path string, frame_seq bigint, data binary")
