@@ -33,7 +33,10 @@ def read_binary(spark: SparkSession, folder: str, glob: str = MP4_GLOB) -> DataF
 
 
 def list_videos(spark: SparkSession, folder: str, glob: str = VIDEO_GLOB) -> DataFrame:
-    """Video files by name, without their content."""
+    """Video files by name, without their content.
+
+    Spark's file scan passes over files of 0 bytes, which hold no frame.
+    """
     files = read_binary(spark, folder, glob).select("path", "length", base_name(F.col("path")).alias("name"))
     return files.filter(is_video_name(F.col("name"))).orderBy("name")
 
