@@ -376,8 +376,8 @@ def _correlation_sql() -> str:
 
 @register("correlation_matrix", _correlation_sql())
 def correlations(spark, sf):
-    wide = S.wide_table(V.hourly_samples(spark, sf), CORRELATED_METRICS)
-    return rounded(correlation_matrix(wide), "r")
+    samples = V.hourly_samples(spark, sf)
+    return rounded(correlation_matrix(S.wide_table(samples, CORRELATED_METRICS), bound=samples), "r")
 
 
 _BOTTLENECKS = f"""{WIDE}, b AS (
@@ -692,7 +692,8 @@ def _wide_cells(x: int, channel: int) -> str:
   FROM pixels""")
 def full_size_frames(spark, sf):
     """256x256x3 frames to 64x64x3: the frame job at its real frame size."""
-    frames = V.frames8(spark, sf).select("vec_id", F.unhex(F.repeat(F.hex("data"), 3072)).alias("data"))
+    spread = V.frames8(spark, sf).repartition(spark.sparkContext.defaultParallelism, "vec_id")
+    frames = spread.select("vec_id", F.unhex(F.repeat(F.hex("data"), 3072)).alias("data"))
     return FR.resize_frames(frames).select("vec_id", F.md5("data").alias("digest"))
 
 

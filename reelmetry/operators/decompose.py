@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelmetry.operators.ordered import TARGET_ROWS, centred_mean, cut
 from reelmetry.operators.series import align
-from reelmetry.operators.skew import attach_small, store
+from reelmetry.operators.skew import BROADCAST_ROWS, attach_small, few_groups, store
 
 
 def decompose(samples: DataFrame, metric: str = "Throughput", period: int = 30,
@@ -30,16 +30,18 @@ def decompose(samples: DataFrame, metric: str = "Throughput", period: int = 30,
     phases = trended.groupBy("producer", "phase").agg(
         F.avg(F.col("observed") - F.col("trend")).alias("raw"), F.count("*").alias("n")
     )
-    slots = [F.max(F.when(F.col("phase") == k, F.col("raw"))) for k in range(period)]
-    table = phases.groupBy("producer").agg(
-        F.sum("n").alias("rows"), F.avg("raw").alias("level"), F.array(*slots).alias("means")
-    ).filter(F.col("rows") >= 2 * period)
-
-    joined = attach_small(trended, table, ["producer"], spread_by="pos", bound=timed)
-    seasonal = F.get("means", F.col("phase")) - F.col("level")
+    of_producer = Window.partitionBy("producer")  # ``period`` rows each
+    table = phases.select(
+        "producer", "phase", (F.col("raw") - F.avg("raw").over(of_producer)).alias("seasonal"),
+        F.sum("n").over(of_producer).alias("rows"),
+    ).filter(F.col("rows") >= 2 * period).drop("rows")
+
+    fits = few_groups(timed, ["producer"], BROADCAST_ROWS // period)
+    joined = attach_small(trended, table, ["producer", "phase"], fits=fits, spread_by="pos")
     return joined.select(
-        "producer", "ts", "pos", "observed", "trend", seasonal.alias("seasonal"),
-    ).withColumn("resid", F.col("observed") - F.col("trend") - F.col("seasonal"))
+        "producer", "ts", "pos", "observed", "trend", "seasonal",
+        (F.col("observed") - F.col("trend") - F.col("seasonal")).alias("resid"),
+    )
 
 
 def too_short(samples: DataFrame, period: int = 30) -> DataFrame:

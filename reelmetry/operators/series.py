@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelmetry.operators.ordered import TARGET_ROWS, OrderedSeries, centred_mean, cut
@@ -32,7 +32,7 @@ def align(samples: DataFrame, metrics: Sequence[str] = tuple(METRICS)) -> DataFr
     return (
         samples.filter(F.col("ts").isNotNull())
         .groupBy("producer", "ts")
-        .agg(*[F.avg(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in metrics])
+        .agg(*[F.expr(f"avg(value) FILTER (WHERE metric = '{m}')").alias(m) for m in metrics])
     )
 
 
@@ -98,16 +98,14 @@ def first_difference(samples: DataFrame, target_rows: int = TARGET_ROWS) -> Data
     return series.result().withColumn("diff", F.col("value") - F.col("_previous")).drop("_previous")
 
 
-def telescoped_mean_difference(value: Column, order: Column, picked: Column) -> Column:
-    """Mean first difference of the rows where ``picked``, values never null.
+def telescoped_mean_difference(value: str, order: str, picked: str) -> str:
+    """SQL for the mean first difference of the rows where ``picked``, values never null.
 
     The differences telescope, so (last - first) / (n - 1) needs no window and
     no shuffle of rows. A single row has no difference: null.
     """
-    key = F.when(picked, order)
-    return F.try_divide(
-        F.max_by(value, key) - F.min_by(value, key), F.count_if(picked) - F.lit(1)
-    )
+    last, first = (f"{f}({value}, {order}) FILTER (WHERE {picked})" for f in ("max_by", "min_by"))
+    return f"try_divide({last} - {first}, count_if({picked}) - 1)"
 
 
 def trend(wide: OrderedSeries | DataFrame, value: str, period: int = 30, block_rows: int = TARGET_ROWS) -> DataFrame:

@@ -33,19 +33,21 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def attach_small(big: DataFrame, small: DataFrame, keys: Sequence[str], *, spread_by: str,
-                 bound: DataFrame | None = None, limit: int = BROADCAST_ROWS,
+def few_groups(df: DataFrame, keys: Sequence[str], limit: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``limit`` distinct keys."""
+    return rows_within(df.select(*keys).distinct(), limit)
+
+
+def attach_small(big: DataFrame, small: DataFrame, keys: Sequence[str], *, fits: bool, spread_by: str,
                  salts: int = SALTS) -> DataFrame:
     """Inner join of ``big`` with ``small``, one row per ``keys``.
 
-    The number of groups is checked first, on ``bound`` (default ``small``),
-    which must hold all groups of ``small``. Up to ``limit`` the small side is
-    broadcast. Beyond, the join shuffles on the keys and a salt, so that a
-    group with a third of all rows is spread over ``salts`` tasks.
+    ``fits`` is the outcome of a size check of ``small``: then it is broadcast.
+    Otherwise the join shuffles on the keys and a salt taken from ``spread_by``,
+    so that a group with a third of all rows is spread over ``salts`` tasks.
     """
     keys = list(keys)
-    groups = small if bound is None else bound
-    if rows_within(groups.select(*keys).distinct(), limit):
+    if fits:
         return big.join(F.broadcast(small), keys)
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -10,7 +10,7 @@ from reelmetry.operators.decompose import decompose
 from reelmetry.operators.ordered import TARGET_ROWS
 from reelmetry.operators.quantiles import exact_quantile
 from reelmetry.operators.series import missing_metrics, wide_table
-from reelmetry.operators.skew import attach_small, rows_within, store
+from reelmetry.operators.skew import attach_small, few_groups, rows_within, store
 from reelmetry.schemas import CORRELATED_METRICS
 
 # --- fixed values: thresholds and texts of the bottleneck report ---
@@ -83,7 +83,8 @@ def flag_anomalies(samples: DataFrame, metric: str = "Throughput", sigmas: float
     if not rows_within(samples, target_rows):
         decomposed = store(decomposed, "decomposed")
     spread = decomposed.groupBy("producer").agg(F.stddev_pop("resid").alias("spread"))
-    joined = attach_small(decomposed, spread, ["producer"], spread_by="pos", bound=samples)
+    fits = few_groups(samples, ["producer"])
+    joined = attach_small(decomposed, spread, ["producer"], fits=fits, spread_by="pos")
     beyond = F.abs("resid") > sigmas * F.col("spread")
     return joined.withColumn("anomaly", F.coalesce(beyond, F.lit(False))).drop("spread")
 
@@ -92,7 +93,7 @@ def full_report(samples: DataFrame, target_rows: int = TARGET_ROWS) -> dict[str,
     """All analyses of all producers, as lazy tables."""
     wide = stored_wide_table(samples, target_rows)
     return {
-        "correlations": correlation_matrix(wide, CORRELATED_METRICS),
+        "correlations": correlation_matrix(wide, CORRELATED_METRICS, bound=samples),
         "decomposition": decompose(samples, "Throughput", target_rows=target_rows),
         "bottlenecks": bottlenecks(wide, target_rows, samples),
         "efficiency": resource_efficiency(wide),

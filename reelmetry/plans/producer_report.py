@@ -56,49 +56,43 @@ def _is(metric: str) -> Column:
     return F.col("metric") == metric
 
 
-def _or_zero(value: Column, *metrics: str) -> Column:
+def _or_zero(value: str, *metrics: str) -> str:
     """``value``, or 0 when one of the metrics has no row for the producer."""
-    absent = F.lit(False)
-    for m in metrics:
-        absent = absent | (F.count_if(_is(m)) == 0)
-    return F.when(absent, F.lit(0.0)).otherwise(value)
+    absent = " OR ".join(f"count_if(metric = '{m}') = 0" for m in metrics)
+    return f"CASE WHEN {absent} THEN 0.0D ELSE {value} END"
 
 
-def _mean(metric: str) -> Column:
-    return F.avg(F.when(_is(metric), F.col("value")))
+def _mean(metric: str) -> str:
+    return f"avg(value) FILTER (WHERE metric = '{metric}')"
 
 
-def _last(metric: str) -> Column:
-    return F.max_by("value", F.when(_is(metric), F.col("seq")))
+def _last(metric: str) -> str:
+    return _or_zero(f"max_by(value, seq) FILTER (WHERE metric = '{metric}')", metric)
 
 
-def _mean_of_pair(a: str, b: str) -> Column:
-    return _or_zero((_mean(a) + _mean(b)) / 2, a, b)
+def _mean_of_pair(a: str, b: str) -> str:
+    return _or_zero(f"({_mean(a)} + {_mean(b)}) / 2", a, b)
 
 
-def _grouped_stats() -> dict[str, Column]:
-    """Statistics that one grouping with map-side combining can give."""
-    rate = telescoped_mean_difference(F.col("value"), F.col("seq"), _is("Frame_prod"))
-    peak = F.max(F.when(_is("Throughput"), F.col("value")))
-    return {
-        "frame_production_rate": _or_zero(rate, "Frame_prod"),
-        "frames_produced_total": _or_zero(_last("Frame_prod"), "Frame_prod"),
-        "avg_latency": _or_zero(_mean("Avg_latency") * 1000, "Avg_latency"),
-        "consumer_lag": _or_zero(_mean("Cons_lag"), "Cons_lag"),
-        "message_consumption_time": _or_zero(_mean("Msg_cons_time") * 1000, "Msg_cons_time"),
-        "messages_consumed_total": _or_zero(_last("Msg_cons"), "Msg_cons"),
-        "cpu_usage": _or_zero(_mean("CPU"), "CPU"),
-        "memory_usage": _or_zero(_mean("Memory"), "Memory"),
-        "disk_read_write": _mean_of_pair("Disk_read", "Disk_write"),
-        "network_io": _mean_of_pair("Network_received", "Network_sent"),
-        "avg_throughput": _or_zero(_mean("Throughput"), "Throughput"),
-        "peak_throughput": _or_zero(peak, "Throughput"),
-    }
+#: Statistics that one grouping with map-side combining can give.
+GROUPED_STATS = {
+    "frame_production_rate": _or_zero(telescoped_mean_difference("value", "seq", "metric = 'Frame_prod'"), "Frame_prod"),
+    "frames_produced_total": _last("Frame_prod"),
+    "avg_latency": _or_zero(f"{_mean('Avg_latency')} * 1000", "Avg_latency"),
+    "consumer_lag": _or_zero(_mean("Cons_lag"), "Cons_lag"),
+    "message_consumption_time": _or_zero(f"{_mean('Msg_cons_time')} * 1000", "Msg_cons_time"),
+    "messages_consumed_total": _last("Msg_cons"),
+    "cpu_usage": _or_zero(_mean("CPU"), "CPU"),
+    "memory_usage": _or_zero(_mean("Memory"), "Memory"),
+    "disk_read_write": _mean_of_pair("Disk_read", "Disk_write"),
+    "network_io": _mean_of_pair("Network_received", "Network_sent"),
+    "avg_throughput": _or_zero(_mean("Throughput"), "Throughput"),
+    "peak_throughput": _or_zero("max(value) FILTER (WHERE metric = 'Throughput')", "Throughput"),
+}
 
 
 def _grouped(samples: DataFrame, wanted: list[str]) -> DataFrame:
-    columns = _grouped_stats()
-    return samples.groupBy("producer").agg(*[columns[n].alias(n) for n in wanted])
+    return samples.groupBy("producer").agg(*[F.expr(GROUPED_STATS[n]).alias(n) for n in wanted])
 
 
 def _with_rate_over_gaps(stats: DataFrame, samples: DataFrame, target_rows: int) -> DataFrame:
@@ -147,7 +141,7 @@ def latency_analysis(samples: DataFrame, target_rows: int = TARGET_ROWS) -> Data
 
 def producer_stats(samples: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
     """All statistics, one row per producer."""
-    stats = _grouped(samples, list(_grouped_stats()))
+    stats = _grouped(samples, list(GROUPED_STATS))
     return _with_p99(_with_rate_over_gaps(stats, samples, target_rows), samples, target_rows)
 
 

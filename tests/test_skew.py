@@ -16,13 +16,13 @@ def plan_of(df):
 def test_attach_small(spark, limit):
     big = spark.range(5000).select(F.when(F.col("id") % 3 > 0, F.lit(0)).otherwise(F.col("id") % 50).alias("k"), "id")
     small = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    got = skew.attach_small(big, small, ["k"], spread_by="id", limit=limit, salts=8)
+    fits = skew.few_groups(small, ["k"], limit)
+    assert fits == (limit == 100)
+    got = skew.attach_small(big, small, ["k"], fits=fits, spread_by="id", salts=8)
     expected = big.join(small, "k")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
-    hinted = "BroadcastExchange" in plan_of(got)
-    assert hinted or limit == 2
-    if limit == 2:
-        assert "_salt" in plan_of(got)
+    assert ("_salt" in plan_of(got)) == (not fits)
+    assert not fits or "BroadcastExchange" in plan_of(got)
 
 
 @pytest.mark.parametrize("limit", [100, 2])
