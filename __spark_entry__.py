@@ -649,29 +649,24 @@ def bilinear_frames(spark, sf):
 
 
 def _gray_cell(y: int, x: int) -> str:
-    at = 3 * (4 * y + x) + 1
-    return f"((3735 * px[{at}] + 19235 * px[{at + 1}] + 9798 * px[{at + 2}] + 16384) // 32768)"
+    v = f"px[{8 * y + x + 1}]"
+    return f"((3735 * {v} + 19235 * (255 - {v}) + 9798 * ({v} * 7 % 256) + 16384) // 32768)"
 
 
-_GRAY_SQL = f"WITH {PIXELS} SELECT vec_id, {_hex_of(_shrink_cells(1, _gray_cell))} AS data FROM pixels"
-
-
-def _color_frames(spark, sf):
-    """The first 48 values of each embedding are a 4x4 BGR frame."""
-    return V.frames8(spark, sf).select("vec_id", F.substring("data", 1, 48).alias("data"))
+_GRAY_SQL = f"WITH {PIXELS} SELECT vec_id, {_hex_of(_shrink_cells(2, _gray_cell))} AS data FROM pixels"
 
 
 @register("gray_frames", _GRAY_SQL)
 def gray_frames(spark, sf):
-    made = gray_frame(F.col("data"), FrameShape(4, 4, 3), 1, 1)
-    return _color_frames(spark, sf).select("vec_id", F.hex(made["data"]).alias("data"))
+    made = gray_frame(F.col("data"), FrameShape(8, 8, 3), 2, 2)
+    return V.frames8(spark, sf, color=True).select("vec_id", F.hex(made["data"]).alias("data"))
 
 
 @register("transformed_frames", _GRAY_SQL)
 def transformed_frames(spark, sf):
     """The same through the pipeline stage."""
-    stage = FR.FrameTransformer(inputCol="data", outputCol="small", sourceHeight=4, sourceWidth=4, height=1, width=1)
-    return stage.transform(_color_frames(spark, sf)).select("vec_id", F.hex("small").alias("data"))
+    stage = FR.FrameTransformer(inputCol="data", outputCol="small", sourceHeight=8, sourceWidth=8, height=2, width=2)
+    return stage.transform(V.frames8(spark, sf, color=True)).select("vec_id", F.hex("small").alias("data"))
 
 
 @register("frame_errors", """SELECT doc_id AS path, CASE WHEN n <> 64 THEN 'frame size ' || n || ' is not 64' END AS error
@@ -855,10 +850,10 @@ def table_row_counts(spark, sf):
     return L.union_lists(*parts)
 
 
-@register("copied_table", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@register("copied_table", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def copied_table(spark, sf):
     """Extract to CSV with a header and read back."""
-    source = V.table(spark, sf, "nation")
+    source = V.table(spark, sf, "customer")
     path = scratch_path(spark, "copied")
     copy_table(source, path)
     return spark.read.schema(source.schema).option("header", True).csv(path)

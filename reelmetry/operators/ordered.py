@@ -24,6 +24,13 @@ from pyspark.sql import functions as F
 #: Rows that one window task may be given.
 TARGET_ROWS = 2_000_000
 
+#: Most chunks along the order: bounds the sketch, the cut points and the carry
+#: table of a series. Beyond, chunks grow; at 10**12 rows to 5 * 10**7 in all series.
+MAX_CHUNKS = 20_000
+
+#: Most chunks when the order is text, whose cut points are compared one by one.
+MAX_NAME_CHUNKS = 1_000
+
 #: Sampled names per chunk when the order is text.
 NAMES_PER_CHUNK = 50
 
@@ -156,7 +163,7 @@ def cut(df: DataFrame, keys: Sequence[str], order: str, target_rows: int = TARGE
     rows = profile.count()
     if rows <= target_rows:
         return OrderedSeries(df, keys, order, single=True)
-    pieces = math.ceil(rows / target_rows)
+    pieces = min(math.ceil(rows / target_rows), MAX_CHUNKS)
     if profile.schema[order].dataType.typeName() == "string":
         return _cut_names(df, keys, order, profile, rows, pieces)
     probabilities = [i / pieces for i in range(1, pieces)]
@@ -179,6 +186,7 @@ def _cut_names(df: DataFrame, keys: tuple[str, ...], order: str, profile: DataFr
                rows: int, pieces: int) -> OrderedSeries:
     """Chunks of text order. A bounded sample of names places the cut points;
     every row is kept and gets its chunk from those fixed points."""
+    pieces = min(pieces, MAX_NAME_CHUNKS)
     wanted = NAMES_PER_CHUNK * pieces
     sample = profile.select(order).filter(F.col(order).isNotNull()).sample(min(1.0, wanted / rows), seed=1)
     names = sorted(row[0] for row in sample.limit(2 * wanted).toLocalIterator())

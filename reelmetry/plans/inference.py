@@ -19,11 +19,11 @@ def score_frames(frames: DataFrame, model: PipelineModel, shape: FrameShape = Fr
 
 
 def infer(spark: SparkSession, video_path: str, model_path: str, out_path: str, decoder: Decoder | None = None,
-          shape: FrameShape = FrameShape(), glob: str = MP4_GLOB) -> None:
-    """The inference job: videos to a Parquet table of predictions.
+          shape: FrameShape = FrameShape(), glob: str = MP4_GLOB) -> int:
+    """The inference job: videos to a Parquet table of predictions; returns its rows.
 
     Without a decoder the containers are taken as raw frames back to back.
     """
     videos = read_binary(spark, video_path, glob)
     frames = decode_frames(videos, decoder) if decoder else split_raw(videos, shape)
-    write_parquet(score_frames(frames, load_model(model_path), shape), out_path)
+    return write_parquet(score_frames(frames, load_model(model_path), shape), out_path)

@@ -10,8 +10,14 @@ from pyspark.sql import DataFrame
 from reelmetry.plans.producer_report import ordered_report
 
 
-def write_parquet(df: DataFrame, path: str) -> None:
+def write_parquet(df: DataFrame, path: str) -> int:
+    """Write and return the row count, which the written footers hold.
+
+    No second run of the job, and no ``Observation``: once a session has used
+    one, MLlib's label indexer can no longer ship its tasks (Spark 4.1).
+    """
     df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 # --- fixed values: consumer and producer settings ---
 FETCH_OPTIONS = {
@@ -55,6 +56,11 @@ def read_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load()
 
 
+def write_stream(messages: DataFrame, options: dict[str, str], checkpoint: str) -> DataStreamWriter:
+    """Writer of (key, value) messages to a topic."""
+    return messages.writeStream.format("kafka").options(**options).option("checkpointLocation", checkpoint)
+
+
 def as_messages(frames: DataFrame, keyed: bool = True, extra: tuple[str, ...] = ()) -> DataFrame:
     """Frames as key and value. The key names the frame, so that a reader can
     drop the copies an at-least-once sink may write; unkeyed it is null."""

@@ -62,21 +62,29 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages_from_events(table(spark, sf_dir, "events"))
 
 
-def frames_from_embeddings(embeddings: DataFrame) -> DataFrame:
-    """Each 64-float embedding as an 8x8x1 frame; ``pixels`` keeps the numbers."""
+def frames_from_embeddings(embeddings: DataFrame, color: bool = False) -> DataFrame:
+    """Each 64-float embedding as an 8x8 frame, gray or BGR.
+
+    A value v is the gray level; in color it becomes (v, 255 - v, 7 v mod 256).
+    """
     level = F.transform(
         "embedding",
         lambda e: F.least(
             F.lit(255), F.greatest(F.lit(0), F.floor((e.cast("double") + 1) * 127.5).cast("int"))
         ),
     )
-    pixels = F.transform(level, lambda v: v.cast("int"))
-    hex_text = F.array_join(F.transform(pixels, lambda v: F.lpad(F.hex(v), 2, "0")), "")
+    def text(v: Column) -> Column:
+        return F.lpad(F.hex(v), 2, "0")
+
+    def bgr(v: Column) -> Column:
+        return F.concat(text(v), text(255 - v), text(v * 7 % 256))
+
+    hex_text = F.array_join(F.transform(level, bgr if color else text), "")
     return embeddings.select("vec_id", "label", F.unhex(hex_text).alias("data"))
 
 
-def frames8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frames_from_embeddings(table(spark, sf_dir, "embeddings"))
+def frames8(spark: SparkSession, sf_dir: str, color: bool = False) -> DataFrame:
+    return frames_from_embeddings(table(spark, sf_dir, "embeddings"), color)
 
 
 def image_list(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -141,7 +141,7 @@ def test_label_texts_to_csv(spark, tmp_path):
 
 def test_sinks_overwrite(spark, tmp_path):
     for n in (5, 3):
-        K.write_parquet(spark.range(n), str(tmp_path / "p"))
+        assert K.write_parquet(spark.range(n), str(tmp_path / "p")) == n
         copy_table(spark.range(n), str(tmp_path / "c"))
     assert spark.read.parquet(str(tmp_path / "p")).count() == 3
     assert spark.read.option("header", True).csv(str(tmp_path / "c")).columns == ["id"]

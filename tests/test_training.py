@@ -108,7 +108,7 @@ def test_inference_job(spark, trained, tmp_path):
     frames = rng.integers(0, 256, (4, 256, 256, 3), dtype=np.uint8)
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "video_01.mp4").write_bytes(frames.tobytes() + b"rest")
-    inference.infer(spark, str(tmp_path / "in"), model, str(tmp_path / "out"))
+    assert inference.infer(spark, str(tmp_path / "in"), model, str(tmp_path / "out")) == 4
     rows = spark.read.parquet(str(tmp_path / "out"))
     assert {"rawPrediction", "probability", "prediction", "frame_seq"} <= set(rows.columns)
     sums = [sum(r[0]) for r in rows.select(vector_to_array("probability")).collect()]
