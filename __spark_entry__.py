@@ -26,7 +26,7 @@ from reelmetry.operators import labels as L  # noqa: E402
 from reelmetry.operators import series as S  # noqa: E402
 from reelmetry.operators.correlate import correlation_matrix  # noqa: E402
 from reelmetry.operators.decompose import decompose, too_short  # noqa: E402
-from reelmetry.operators.ordered import cut  # noqa: E402
+from reelmetry.operators.ordered import cut, position  # noqa: E402
 from reelmetry.operators.quantiles import exact_quantile  # noqa: E402
 from reelmetry.plans import analysis as A  # noqa: E402
 from reelmetry.plans import producer_report as R  # noqa: E402
@@ -307,7 +307,7 @@ _TREND = f"""{WIDE}, n AS (
 @register("centred_trend", f"WITH {_TREND} SELECT producer, pos, round(observed, 6) AS observed, round(trend, 6) AS trend FROM t")
 def centred_trend(spark, sf):
     """Trend in blocks of 100 positions, so that block edges are exercised."""
-    series = cut(S.wide_table(V.hourly_samples(spark, sf), ["Throughput"]), ["producer"], "ts").position("pos")
+    series = cut(S.wide_table(V.hourly_samples(spark, sf), ["Throughput"]), ["producer"], "ts").run(position("pos"))
     observed = series.result().select("producer", "pos", F.col("Throughput").alias("observed"))
     return rounded(S.trend(observed, "observed", block_rows=100), "observed", "trend")
 

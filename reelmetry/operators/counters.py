@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from reelmetry.functions.text import scrape_labels
 from reelmetry.functions.times import lag_seconds
-from reelmetry.operators.ordered import TARGET_ROWS, cut_regular
+from reelmetry.operators.ordered import TARGET_ROWS, cut_regular, last_known, running_total
 from reelmetry.schemas import DEFAULT_BUCKETS
 
 LABELS = ["application", "instance", "job"]
@@ -107,7 +107,7 @@ def scrape_grid(scraped: DataFrame, interval_seconds: float, labels: Sequence[st
     )
     known = scraped.select(*labels, at.alias("_at"), "value")
     grid = ticks.join(known, [*labels, "_at"], "left")
-    filled = cut_regular(grid, labels, "_at", F.col("_step"), target_rows).last_known({"value": "value"}).result()
+    filled = cut_regular(grid, labels, "_at", F.col("_step"), target_rows).run(last_known("value", "value")).result()
     return filled.select(*labels, F.timestamp_micros("_at").cast("timestamp_ntz").alias("ts"), "value")
 
 
@@ -122,6 +122,6 @@ def scrape_counter(events: DataFrame, ts: str, interval_seconds: float, labels:
     width = _micros(interval_seconds)
     tick = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / width).cast("long")
     per_tick = events.groupBy(*labels, tick.alias("_tick")).agg(F.count("*").alias("increase"))
-    total = cut_regular(per_tick, labels, "_tick", F.col("_tick"), target_rows).running_total("increase", "value")
+    total = cut_regular(per_tick, labels, "_tick", F.col("_tick"), target_rows).run(running_total("increase", "value"))
     at = F.timestamp_micros((F.col("_tick") + 1) * width).cast("timestamp_ntz")
     return total.result().select(*labels, at.alias("ts"), "increase", "value")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelmetry.operators.ordered import TARGET_ROWS, centred_mean, cut
+from reelmetry.operators.ordered import TARGET_ROWS, centred_mean, cut, last_known, position
 from reelmetry.operators.series import align
 from reelmetry.operators.skew import BROADCAST_ROWS, attach_small, few_groups, store
 
@@ -19,12 +19,12 @@ def decompose(samples: DataFrame, metric: str = "Throughput", period: int = 30,
     producer, built with map-side combining.
     """
     timed = samples.filter(F.col("ts").isNotNull())
-    filled = cut(align(timed, [metric]), ["producer"], "ts", target_rows, profile=timed).last_known({metric: metric})
-    placed = filled.position("pos").result()
-    observed = placed.select("producer", "ts", "pos", F.coalesce(metric, F.lit(0.0)).alias("observed"))
+    series = cut(align(timed, [metric]), ["producer"], "ts", target_rows, profile=timed)
+    placed = series.run(last_known(metric, metric), position("pos"))
+    observed = placed.result().select("producer", "ts", "pos", F.coalesce(metric, F.lit(0.0)).alias("observed"))
     trended = centred_mean(observed, ["producer"], "pos", "observed", period, "trend", target_rows)
     trended = trended.withColumn("phase", (F.col("pos") % period).cast("int"))
-    if not filled.single:
+    if not series.single:
         trended = store(trended, "trend")  # read twice below
 
     phases = trended.groupBy("producer", "phase").agg(

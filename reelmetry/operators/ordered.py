@@ -14,7 +14,7 @@ When all rows fit one chunk the plain window is used: no carry table, no join.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
@@ -45,6 +45,82 @@ def _order_number(df: DataFrame, order: str) -> Column:
     return F.col(order).cast("double")
 
 
+@dataclass(frozen=True)
+class Step:
+    """One ordered operation, in the four parts that chunked running needs."""
+
+    name: str
+    #: value from the rows of the chunk alone, over the window it is given
+    local: Callable[[WindowSpec], Column]
+    #: what a chunk passes on, an aggregate over its rows ordered by the named column
+    passed_on: Callable[[str], Column]
+    #: what reaches a chunk, from the passed-on values of the others
+    reaching: Callable[[Column, WindowSpec], Column]
+    #: the result from the local and the reaching value (null in a first chunk)
+    combine: Callable[[Column, Column], Column]
+
+
+def _before(w: WindowSpec) -> WindowSpec:
+    return w.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def position(name: str = "pos") -> Step:
+    """0-based row position in the series."""
+    return Step(
+        name,
+        lambda w: (F.row_number().over(w) - 1).cast("long"),
+        lambda order: F.count("*"),
+        lambda n, w: F.sum(n).over(_before(w)),
+        lambda local, offset: local + F.coalesce(offset, F.lit(0)),
+    )
+
+
+def running_total(value: str, name: str) -> Step:
+    """Sum of ``value`` up to and with each row."""
+    return Step(
+        name,
+        lambda w: F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        lambda order: F.sum(value),
+        lambda total, w: F.sum(total).over(_before(w)),
+        lambda local, offset: local + F.coalesce(offset, F.lit(0)),
+    )
+
+
+def previous(value: str, name: str) -> Step:
+    """The value one row earlier, null included; null in the first row."""
+    return Step(
+        name,
+        lambda w: F.struct(F.row_number().over(w).alias("n"), F.lag(value).over(w).alias("v")),
+        lambda order: F.max_by(value, order),
+        lambda last, w: F.lag(last).over(w),
+        lambda local, edge: F.when(local["n"] == 1, edge).otherwise(local["v"]),
+    )
+
+
+def last_known(value: Column | str, name: str) -> Step:
+    """Nearest non-null value at or before each row."""
+    value = F.col(value) if isinstance(value, str) else value
+    return Step(
+        name,
+        lambda w: F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        lambda order: F.max_by(value, F.when(value.isNotNull(), F.col(order))),
+        lambda last, w: F.last(last, ignorenulls=True).over(_before(w)),
+        lambda local, edge: F.coalesce(local, edge),
+    )
+
+
+def next_known(value: Column | str, name: str) -> Step:
+    """Nearest non-null value at or after each row."""
+    value = F.col(value) if isinstance(value, str) else value
+    return Step(
+        name,
+        lambda w: F.first(value, ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
+        lambda order: F.min_by(value, F.when(value.isNotNull(), F.col(order))),
+        lambda first, w: F.first(first, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)),
+        lambda local, edge: F.coalesce(local, edge),
+    )
+
+
 @dataclass(frozen=True)
 class OrderedSeries:
     """Rows of many series, cut into chunks along ``order``."""
@@ -54,104 +130,49 @@ class OrderedSeries:
     order: str
     single: bool
 
-    # -- windows -----------------------------------------------------------
-    @property
-    def _parts(self) -> list[str]:
-        return list(self.keys) if self.single else [*self.keys, CHUNK]
-
-    def _window(self) -> WindowSpec:
-        return Window.partitionBy(*self._parts).orderBy(self.order)
+    def run(self, *steps: Step) -> OrderedSeries:
+        """Add the result column of every step, all in one pass.
 
-    def _carry(self, aggs: Sequence[Column], carried: Sequence[Column]) -> DataFrame:
-        """One row per (series, chunk): aggregate, then look along the chunks.
-
-        Partial aggregation shrinks every chunk to one row before the shuffle,
-        so the window below sees only as many rows as there are chunks.
+        Partial aggregation shrinks each chunk to one row before the shuffle, so
+        the windows along the chunks see only as many rows as there are chunks.
         """
-        summary = self.df.groupBy(*self.keys, CHUNK).agg(*aggs)
-        return summary.select(*self.keys, CHUNK, *carried)
-
-    def _chunk_window(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys).orderBy(CHUNK)
-
-    def _with(self, df: DataFrame) -> OrderedSeries:
-        return OrderedSeries(df, self.keys, self.order, self.single)
+        parts = list(self.keys) if self.single else [*self.keys, CHUNK]
+        within = Window.partitionBy(*parts).orderBy(self.order)
+        local = {f"_l{i}": step.local(within) for i, step in enumerate(steps)}
+        rows = self.df.withColumns(local)
+        if self.single:
+            results = {s.name: s.combine(F.col(f"_l{i}"), F.lit(None)) for i, s in enumerate(steps)}
+        else:
+            along = Window.partitionBy(*self.keys).orderBy(CHUNK)
+            summary = self.df.groupBy(*parts).agg(
+                *[step.passed_on(self.order).alias(f"_p{i}") for i, step in enumerate(steps)]
+            )
+            carry = summary.select(
+                *parts, *[step.reaching(F.col(f"_p{i}"), along).alias(f"_r{i}") for i, step in enumerate(steps)]
+            )
+            rows = rows.join(carry, parts, "left")
+            results = {s.name: s.combine(F.col(f"_l{i}"), F.col(f"_r{i}")) for i, s in enumerate(steps)}
+        rows = rows.withColumns(results).drop(*local, *[f"_r{i}" for i in range(len(steps))])
+        return OrderedSeries(rows, self.keys, self.order, self.single)
 
     def result(self) -> DataFrame:
         return self.df if self.single else self.df.drop(CHUNK)
 
-    # -- operations ----------------------------------------------------------
-    def position(self, name: str = "pos") -> OrderedSeries:
-        """0-based row position in the series."""
-        local = (F.row_number().over(self._window()) - 1).cast("long")
-        if self.single:
-            return self._with(self.df.withColumn(name, local))
-        before = F.coalesce(
-            F.sum("_n").over(self._chunk_window().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        )
-        offsets = self._carry([F.count("*").alias("_n")], [before.alias("_before")])
-        rows = self.df.withColumn("_local", local).join(offsets, self._parts, "left")
-        return self._with(rows.withColumn(name, F.col("_before") + F.col("_local")).drop("_before", "_local"))
-
-    def previous(self, value: str, name: str) -> OrderedSeries:
-        """The value one row earlier, null included; null in the first row."""
-        if self.single:
-            return self._with(self.df.withColumn(name, F.lag(value).over(self._window())))
-        last = self._carry(
-            [F.max_by(value, self.order).alias("_last")],
-            [F.lag("_last").over(self._chunk_window()).alias("_edge")],
-        )
-        w = self._window()
-        rows = self.df.withColumn("_rn", F.row_number().over(w)).withColumn("_lag", F.lag(value).over(w))
-        rows = rows.join(last, self._parts, "left")
-        picked = F.when(F.col("_rn") == 1, F.col("_edge")).otherwise(F.col("_lag"))
-        return self._with(rows.withColumn(name, picked).drop("_rn", "_lag", "_edge"))
-
-    def running_total(self, value: str, name: str) -> OrderedSeries:
-        """Sum of ``value`` up to and with each row."""
-        local = F.sum(value).over(self._window().rowsBetween(Window.unboundedPreceding, 0))
-        if self.single:
-            return self._with(self.df.withColumn(name, local))
-        before = F.sum("_s").over(self._chunk_window().rowsBetween(Window.unboundedPreceding, -1))
-        offsets = self._carry([F.sum(value).alias("_s")], [before.alias("_before")])
-        rows = self.df.withColumn("_local", local).join(offsets, self._parts, "left")
-        total = F.col("_local") + F.coalesce("_before", F.lit(0))
-        return self._with(rows.withColumn(name, total).drop("_before", "_local"))
-
-    def last_known(self, columns: dict[str, Column | str], *, forward: bool = True) -> OrderedSeries:
-        """Nearest non-null value at or before each row (after it, if not forward)."""
-        w = self._window()
-        unbounded = (
-            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            if forward
-            else w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-        )
-        pick = F.last if forward else F.first
-        exprs = {n: (F.col(c) if isinstance(c, str) else c) for n, c in columns.items()}
-        local = {n: pick(c, ignorenulls=True).over(unbounded) for n, c in exprs.items()}
-        if self.single:
-            return self._with(self.df.withColumns(local))
-        chunk_w = self._chunk_window()
-        beyond = (
-            chunk_w.rowsBetween(Window.unboundedPreceding, -1)
-            if forward
-            else chunk_w.rowsBetween(1, Window.unboundedFollowing)
-        )
-        edge_by = F.max_by if forward else F.min_by
-        carry = self._carry(
-            [edge_by(c, F.when(c.isNotNull(), F.col(self.order))).alias(f"_e_{n}") for n, c in exprs.items()],
-            [pick(f"_e_{n}", ignorenulls=True).over(beyond).alias(f"_c_{n}") for n in exprs],
-        )
-        rows = self.df.withColumns({f"_l_{n}": c for n, c in local.items()}).join(carry, self._parts, "left")
-        rows = rows.withColumns({n: F.coalesce(f"_l_{n}", f"_c_{n}") for n in exprs})
-        return self._with(rows.drop(*[f"_l_{n}" for n in exprs], *[f"_c_{n}" for n in exprs]))
+
+def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows that have a key. The carry joins would infer this filter for one
+    side only, and then the two sides could not share one shuffle."""
+    for key in keys:
+        df = df.filter(F.col(key).isNotNull())
+    return df
 
 
 def cut(df: DataFrame, keys: Sequence[str], order: str, target_rows: int = TARGET_ROWS,
         profile: DataFrame | None = None) -> OrderedSeries:
     """Cut the rows of every series into chunks of about ``target_rows``.
 
-    ``order`` must be unique within a series. The row count decides whether
+    ``order`` must be unique within a series; rows without a key belong to no
+    series and drop out. The row count decides whether
     cutting is needed; only then does a quantile sketch over ``order`` (one
     pruned column, bounded state) supply the cut points.
 
@@ -159,6 +180,7 @@ def cut(df: DataFrame, keys: Sequence[str], order: str, target_rows: int = TARGE
     compute: it must have the ``order`` column and at least the rows of ``df``.
     """
     keys = tuple(keys)
+    df = _keyed(df, keys)
     profile = df if profile is None else profile
     rows = profile.count()
     if rows <= target_rows:
@@ -201,7 +223,7 @@ def cut_regular(df: DataFrame, keys: Sequence[str], order: str, step: Column,
                 target_rows: int = TARGET_ROWS) -> OrderedSeries:
     """Cut gapless rows by their number ``step``: exact chunks, nothing to measure."""
     chunk = F.floor(step / target_rows).cast("int")
-    return OrderedSeries(df.withColumn(CHUNK, F.coalesce(chunk, F.lit(-1))), tuple(keys), order, single=False)
+    return OrderedSeries(_keyed(df, keys).withColumn(CHUNK, F.coalesce(chunk, F.lit(-1))), tuple(keys), order, single=False)
 
 
 def centred_mean(df: DataFrame, keys: Sequence[str], pos: str, value: str, period: int,

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmetry.operators.ordered import TARGET_ROWS, OrderedSeries, centred_mean, cut
+from reelmetry.operators.ordered import (
+    TARGET_ROWS, OrderedSeries, centred_mean, cut, last_known, next_known, position, previous,
+)
 from reelmetry.schemas import METRICS
 
 SERIES = ["producer", "metric"]
@@ -54,7 +56,7 @@ def _cut_aligned(samples: DataFrame, metrics: Sequence[str], target_rows: int) -
 def fill_forward(samples: DataFrame, metrics: Sequence[str] = tuple(METRICS),
                  target_rows: int = TARGET_ROWS) -> DataFrame:
     """Aligned table with every gap set to the last known value; leading gaps stay null."""
-    return _cut_aligned(samples, metrics, target_rows).last_known({m: m for m in metrics}).result()
+    return _cut_aligned(samples, metrics, target_rows).run(*[last_known(m, m) for m in metrics]).result()
 
 
 def wide_table(samples: DataFrame, metrics: Sequence[str] = tuple(METRICS),
@@ -77,9 +79,9 @@ def interpolate(samples: DataFrame, metric: str, target_rows: int = TARGET_ROWS)
 
     A trailing gap repeats the last value, a leading gap stays null.
     """
-    series = _cut_aligned(samples, [metric], target_rows).position("pos")
+    series = _cut_aligned(samples, [metric], target_rows).run(position("pos"))
     known = F.when(F.col(metric).isNotNull(), F.struct("pos", F.col(metric).alias("v")))
-    series = series.last_known({"_before": known}).last_known({"_after": known}, forward=False)
+    series = series.run(last_known(known, "_before"), next_known(known, "_after"))
     step = (F.col("_after.v") - F.col("_before.v")) / F.nullif(
         F.col("_after.pos") - F.col("_before.pos"), F.lit(0)
     )
@@ -89,12 +91,12 @@ def interpolate(samples: DataFrame, metric: str, target_rows: int = TARGET_ROWS)
 
 def positions(samples: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
     """0-based file-order position of every raw sample in its series."""
-    return cut(samples, SERIES, "seq", target_rows).position("pos").result()
+    return cut(samples, SERIES, "seq", target_rows).run(position("pos")).result()
 
 
 def first_difference(samples: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
     """Raw samples with ``diff``: value minus the previous value in file order."""
-    series = cut(samples, SERIES, "seq", target_rows).previous("value", "_previous")
+    series = cut(samples, SERIES, "seq", target_rows).run(previous("value", "_previous"))
     return series.result().withColumn("diff", F.col("value") - F.col("_previous")).drop("_previous")
 
 
@@ -123,4 +125,4 @@ def frame_markers(samples: DataFrame, every: int = 100, target_rows: int = TARGE
 def ordered_files(files: DataFrame, folder: str = "folder", name: str = "name",
                   target_rows: int = TARGET_ROWS) -> DataFrame:
     """Directory listing with a 0-based sequence by name within each folder."""
-    return cut(files, [folder], name, target_rows).position("frame_seq").result()
+    return cut(files, [folder], name, target_rows).run(position("frame_seq")).result()

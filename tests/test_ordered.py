@@ -5,7 +5,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from reelmetry.operators.ordered import CHUNK, centred_mean, cut, cut_regular
+from reelmetry.operators.ordered import (
+    CHUNK, centred_mean, cut, cut_regular, last_known, next_known, position, previous, running_total,
+)
 from reelmetry.operators.quantiles import exact_quantile
 from reelmetry.operators.series import ordered_files
 
@@ -43,8 +45,8 @@ def test_operations_match_pandas(spark, rows, target):
     series = cut(df, ["key"], "seq", target)
     assert series.single == (target == 10_000)
     got = collected(
-        series.position("pos").previous("value", "prev")
-        .last_known({"back": "value"}).last_known({"ahead": "value"}, forward=False).result()
+        series.run(position("pos"), previous("value", "prev"), last_known("value", "back"))
+        .run(next_known("value", "ahead")).result()
     )
     assert CHUNK not in got.columns and len(got) == len(rows)
     grouped = rows.groupby("key")
@@ -56,7 +58,7 @@ def test_operations_match_pandas(spark, rows, target):
 
 def test_running_total(spark, rows):
     df = spark_rows(spark, rows).withColumn("value", F.coalesce("value", F.lit(0.0)))
-    got = collected(cut(df, ["key"], "seq", 40).running_total("value", "total").result())
+    got = collected(cut(df, ["key"], "seq", 40).run(running_total("value", "total")).result())
     same(got.total, rows.fillna({"value": 0.0}).groupby("key")["value"].cumsum())
 
 
@@ -74,7 +76,7 @@ def test_chunks_are_bounded_for_bunched_order(spark):
 def test_cut_regular(spark):
     df = spark.range(100).select(F.lit("s").alias("key"), F.col("id").alias("seq"),
                                  F.when(F.col("id") % 30 == 0, F.col("id")).alias("value"))
-    got = collected(cut_regular(df, ["key"], "seq", F.col("seq"), 8).last_known({"value": "value"}).result())
+    got = collected(cut_regular(df, ["key"], "seq", F.col("seq"), 8).run(last_known("value", "value")).result())
     assert got.value.tolist() == [30 * (i // 30) for i in range(100)]
 
 
