@@ -683,13 +683,17 @@ def _wide_cells(x: int, channel: int) -> str:
     return f"((2 * px[{a + 1}] + 2 * px[{b + 1}] + 2) // 4)"
 
 
+def full_frames(spark, sf):
+    """256x256x3 frames, an 8x8 frame's bytes 3072 times; spread before they grow."""
+    spread = V.frames8(spark, sf).repartition(spark.sparkContext.defaultParallelism, "vec_id")
+    return spread.select("vec_id", F.unhex(F.repeat(F.hex("data"), 3072)).alias("data"))
+
+
 @register("full_size_frames", f"""WITH {PIXELS} SELECT vec_id, md5(unhex(repeat({_hex_of([_wide_cells(x, c) for x in range(16) for c in range(3)])}, 256))) AS digest
   FROM pixels""")
 def full_size_frames(spark, sf):
     """256x256x3 frames to 64x64x3: the frame job at its real frame size."""
-    spread = V.frames8(spark, sf).repartition(spark.sparkContext.defaultParallelism, "vec_id")
-    frames = spread.select("vec_id", F.unhex(F.repeat(F.hex("data"), 3072)).alias("data"))
-    return FR.resize_frames(frames).select("vec_id", F.md5("data").alias("digest"))
+    return FR.resize_frames(full_frames(spark, sf)).select("vec_id", F.md5("data").alias("digest"))
 
 
 @register("feature_values", f"""WITH {PIXELS} SELECT vec_id, array_to_string(list_transform(px, lambda v:

@@ -48,8 +48,8 @@ IMAGE_LIST_SCHEMA = T.StructType([
     T.StructField("label", T.StringType()),
 ])
 
-#: One decoded frame. The reference payload is ``data`` alone; the other
-#: columns restore the order that a keyless topic loses.
+#: One decoded frame. The payload is ``data``; the other columns keep the order
+#: that a keyless topic loses.
 FRAME_SCHEMA = T.StructType([
     T.StructField("video", T.StringType()),
     T.StructField("frame_seq", T.LongType()),

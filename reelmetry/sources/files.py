@@ -121,15 +121,19 @@ def series_of_path(df: DataFrame, path: str) -> DataFrame:
     })
 
 
-def read_metric_files(spark: SparkSession, base: str) -> DataFrame:
+def read_metric_files(spark: SparkSession, base: str, skip_unreadable: bool = False) -> DataFrame:
     """All ``<base>/<producer>/<metric>.csv`` files as one long table.
 
     ``seq`` increases in file order: a split's byte offset plus the row number
     in its task. A row takes more than one byte, so a task never counts as many
     rows as the bytes between two splits of a file. ``time_text`` is the raw
-    timestamp; an unreadable value is null and its row stays.
+    timestamp; an unreadable value is null and its row stays. An unreadable
+    file stops the job, or with ``skip_unreadable`` is passed over; a series
+    without rows then shows in ``missing_files``.
     """
-    rows = spark.read.schema(METRIC_CSV_SCHEMA).option("mode", "PERMISSIVE").csv(f"{base.rstrip('/')}/*/*.csv")
+    reader = spark.read.schema(METRIC_CSV_SCHEMA).option("mode", "PERMISSIVE")
+    reader = reader.option("ignoreCorruptFiles", skip_unreadable).option("ignoreMissingFiles", skip_unreadable)
+    rows = reader.csv(f"{base.rstrip('/')}/*/*.csv")
     row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     located = rows.select(
         "*", (F.col("_metadata.file_block_start") + row_in_task).alias("seq"), F.col("_metadata.file_path").alias("_p")
