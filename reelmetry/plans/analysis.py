@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelmetry.operators.correlate import correlation_matrix
-from reelmetry.operators.decompose import decompose
+from reelmetry.operators.decompose import decompose, decompose_wide
 from reelmetry.operators.ordered import TARGET_ROWS
 from reelmetry.operators.quantiles import exact_quantile
 from reelmetry.operators.series import missing_metrics, wide_table
@@ -43,9 +43,8 @@ def bottleneck_pairs(wide: DataFrame) -> DataFrame:
 
 
 def stored_wide_table(samples: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
-    """The aligned table for several analyses; a large one is written first."""
-    wide = wide_table(samples, target_rows=target_rows)
-    return wide if samples.count() <= target_rows else store(wide, "wide")
+    """The aligned table, written once for the analyses that read it."""
+    return store(wide_table(samples, target_rows=target_rows), "wide")
 
 
 def bottlenecks(wide: DataFrame, target_rows: int = TARGET_ROWS, bound: DataFrame | None = None) -> DataFrame:
@@ -90,12 +89,12 @@ def flag_anomalies(samples: DataFrame, metric: str = "Throughput", sigmas: float
 
 
 def full_report(samples: DataFrame, target_rows: int = TARGET_ROWS) -> dict[str, DataFrame]:
-    """All analyses of all producers, as lazy tables."""
+    """All analyses of all producers, as lazy tables over one stored aligned table."""
     wide = stored_wide_table(samples, target_rows)
     return {
-        "correlations": correlation_matrix(wide, CORRELATED_METRICS, bound=samples),
-        "decomposition": decompose(samples, "Throughput", target_rows=target_rows),
-        "bottlenecks": bottlenecks(wide, target_rows, samples),
+        "correlations": correlation_matrix(wide, CORRELATED_METRICS),
+        "decomposition": decompose_wide(wide, "Throughput", target_rows=target_rows),
+        "bottlenecks": bottlenecks(wide, target_rows),
         "efficiency": resource_efficiency(wide),
         "missing_metrics": missing_metrics(samples),
     }
@@ -105,7 +104,7 @@ def analysis_summary(samples: DataFrame, target_rows: int = TARGET_ROWS) -> Data
     """One printed-report row per producer: heading name, findings and efficiency."""
     wide = stored_wide_table(samples, target_rows)
     return (
-        bottlenecks(wide, target_rows, samples)
+        bottlenecks(wide, target_rows)
         .join(resource_efficiency(wide), "producer")
         .join(missing_metrics(samples), "producer")
         .withColumn("heading", F.concat(F.lit("ANALYZING: "), F.upper("producer")))

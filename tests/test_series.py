@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reelmetry.operators.correlate import correlation_matrix
-from reelmetry.operators.decompose import decompose, too_short
+from reelmetry.operators.decompose import decompose, decompose_wide, too_short
 from reelmetry.operators.series import (
     align, align_by_joins, fill_forward, first_difference, frame_markers, interpolate, mean_duplicates,
     missing_metrics, wide_table,
@@ -112,6 +112,9 @@ def test_frame_markers(df):
 def test_decompose(samples, df, target):
     got = decompose(df, "Throughput", 30, target).toPandas()
     assert set(got.producer) == {"kafka", "zio"}
+    again = decompose_wide(wide_table(df), "Throughput", 30, target).toPandas()
+    keys = ["producer", "pos"]
+    pd.testing.assert_frame_equal(got.sort_values(keys, ignore_index=True), again.sort_values(keys, ignore_index=True))
     for producer in ("kafka", "zio"):
         x = pandas_wide(samples, producer).ffill().fillna(0)["Throughput"].to_numpy()
         weights = np.r_[0.5, np.ones(29), 0.5] / 30
