@@ -19,6 +19,7 @@ from reelmetry.streaming.jobs import run_with_restarts
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="reelmetry", description=__doc__)
+    parser.add_argument("--input-gb", type=float, help="size of the input, to size the shuffles")
     jobs = parser.add_subparsers(dest="job", required=True)
 
     def job(name: str, text: str, *required: str) -> argparse.ArgumentParser:
@@ -79,4 +80,5 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
 if __name__ == "__main__":
     import sys
 
-    run(build_session(), sys.argv[1:])
+    size = _parser().parse_args().input_gb
+    run(build_session(input_bytes=int(size * 1024**3) if size else None), sys.argv[1:])

@@ -9,8 +9,8 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
-#: Settings every job of this package relies on. Cluster sizing (executors,
-#: memory, shuffle partitions) is left to spark-submit.
+#: Settings every job of this package relies on. Executors and memory are left
+#: to spark-submit.
 JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -22,11 +22,27 @@ JOB_CONF = {
 }
 
 
-def build_session(app_name: str = "reelmetry", master: str | None = None, **conf: str) -> SparkSession:
+#: Shuffle bytes one task should get, and the bounds of the partition count.
+SHUFFLE_TASK_BYTES = 256 * 1024 * 1024
+FEWEST_PARTITIONS, MOST_PARTITIONS = 200, 200_000
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Shuffle partitions for an input size; adaptive execution merges small ones.
+
+    The default of 200 would give a task half a terabyte of a 100 TB input.
+    """
+    wanted = -(-input_bytes // SHUFFLE_TASK_BYTES)
+    return min(max(wanted, FEWEST_PARTITIONS), MOST_PARTITIONS)
+
+
+def build_session(app_name: str = "reelmetry", master: str | None = None, input_bytes: int | None = None,
+                  **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**JOB_CONF, **conf}.items():
+    sized = {"spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes))} if input_bytes else {}
+    for key, value in {**JOB_CONF, **sized, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -16,7 +16,7 @@ BATCH_FRAMES = 64
 def open_path(path: str):
     """Random-access file behind a Spark path (file:, hdfs:, s3:, ...)."""
     if path.startswith("file:"):
-        path = "file:///" + path[len("file:"):].lstrip("/")
+        return pafs.LocalFileSystem().open_input_file("/" + path[len("file:"):].lstrip("/"))
     system, inner = pafs.FileSystem.from_uri(path)
     return system.open_input_file(inner)
 

@@ -59,6 +59,14 @@ def test_split_raw(spark, videos):
     assert [(r.path.rsplit("/", 1)[-1], r.leftover_bytes) for r in left] == [("video_03.mp4", 7)]
 
 
+def test_raw_file_slices_of_odd_paths(spark, tmp_path):
+    folder = tmp_path / "a b%20c"
+    folder.mkdir()
+    (folder / "video 1.mp4").write_bytes(bytes(range(96)))
+    got = SF.raw_file_frames(spark, str(tmp_path) + "/*", SHAPE, "*.mp4")
+    assert sorted((r.frame_seq, bytes(r.data)) for r in got.collect()) == [(0, bytes(range(48))), (1, bytes(range(48, 96)))]
+
+
 @pytest.mark.parametrize("per_slice", [1, 2, 100])
 def test_raw_file_slices(spark, videos, per_slice):
     folder, payloads = videos
