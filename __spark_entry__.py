@@ -176,7 +176,7 @@ def producer_statistics(spark, sf):
 @register("producer_statistics_chunked", _stats_sql(STAT_SQL))
 def producer_statistics_chunked(spark, sf):
     """The same with small chunks: the plan that large inputs get."""
-    return rounded(R.producer_stats(V.metric_samples(spark, sf), target_rows=200), *STAT_SQL)
+    return rounded(R.producer_stats(V.metric_samples(spark, sf), target_rows=40), *STAT_SQL)
 
 
 REPORT_TIME = datetime(2025, 4, 29, 15, 8, 30)
@@ -209,7 +209,7 @@ def report_text(spark, sf):
 @register("latency_quantiles", f"""WITH {SAMPLES} SELECT producer, metric, round(quantile_cont(value, 0.9), 6) AS q90
   FROM samples GROUP BY producer, metric""")
 def latency_quantiles(spark, sf):
-    return rounded(exact_quantile(V.metric_samples(spark, sf), S.SERIES, "value", 0.9, "q90", target_rows=700), "q90")
+    return rounded(exact_quantile(V.metric_samples(spark, sf), S.SERIES, "value", 0.9, "q90", target_rows=40), "q90")
 
 
 # --------------------------------------------------------------------------
@@ -270,7 +270,7 @@ def first_difference(spark, sf):
 
 @register("first_difference_chunked", _DIFF_SQL)
 def first_difference_chunked(spark, sf):
-    return rounded(S.first_difference(V.metric_samples(spark, sf), target_rows=900), "diff")
+    return rounded(S.first_difference(V.metric_samples(spark, sf), target_rows=40), "diff")
 
 
 _INTERPOLATE_SQL = f"""WITH {ALIGNED}, n AS (
@@ -315,7 +315,7 @@ def centred_trend(spark, sf):
 @register("series_position", f"""WITH {SAMPLES} SELECT producer, metric, seq,
   row_number() OVER (PARTITION BY producer, metric ORDER BY seq) - 1 AS pos FROM samples""")
 def series_position(spark, sf):
-    return S.positions(V.metric_samples(spark, sf), target_rows=2500).select("producer", "metric", "seq", "pos")
+    return S.positions(V.metric_samples(spark, sf), target_rows=40).select("producer", "metric", "seq", "pos")
 
 
 @register("frame_markers", f"""WITH {SAMPLES}, n AS (SELECT producer, metric, seq,
@@ -774,7 +774,7 @@ def image_numbers(spark, sf):
     files = V.table(spark, sf, "documents").select(
         F.col("source").alias("folder"), F.format_string("img_%d.JPG", "doc_id").alias("name")
     )
-    return S.ordered_files(files, target_rows=120)
+    return S.ordered_files(files, target_rows=20)
 
 
 _LIST = """lines AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN '  img/' || doc_id || '.jpg ' WHEN doc_id % 9 = 1

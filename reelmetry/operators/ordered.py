@@ -1,14 +1,14 @@
 """Ordered operations over series that may be too long for one task.
 
 A plain ``Window.partitionBy(series)`` puts a whole series into one task. Here
-the rows are first cut into consecutive *chunks* along the ordering column,
+long series are first cut into consecutive *chunks* along the ordering column,
 with cut points taken from a quantile sketch, so that a chunk holds a bounded
 number of rows however the data is skewed. Windows then run per
 (series, chunk), and what must flow from one chunk to the next (a row offset,
 a last known value) travels through a small table with one row per
 (series, chunk).
 
-When all rows fit one chunk the plain window is used: no carry table, no join.
+When every series fits one task the plain window is used: no carry table, no join.
 """
 
 from __future__ import annotations
@@ -21,11 +21,14 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from reelmetry.operators.skew import BROADCAST_ROWS
+
 #: Rows that one window task may be given.
 TARGET_ROWS = 2_000_000
 
 #: Most chunks along the order: bounds the sketch, the cut points and the carry
-#: table of a series. Beyond, chunks grow; at 10**12 rows to 5 * 10**7 in all series.
+#: table of a series. Beyond, chunks grow: 10**12 rows in long series make chunks
+#: of 5 * 10**7 rows, all series together.
 MAX_CHUNKS = 20_000
 
 #: Most chunks when the order is text, whose cut points are compared one by one.
@@ -169,43 +172,62 @@ def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def cut(df: DataFrame, keys: Sequence[str], order: str, target_rows: int = TARGET_ROWS,
         profile: DataFrame | None = None) -> OrderedSeries:
-    """Cut the rows of every series into chunks of about ``target_rows``.
+    """Cut every series of more than ``target_rows`` rows into chunks.
 
     ``order`` must be unique within a series; rows without a key belong to no
-    series and drop out. The row count decides whether
-    cutting is needed; only then does a quantile sketch over ``order`` (one
-    pruned column, bounded state) supply the cut points.
+    series and drop out. Row counts decide whether cutting is needed and for
+    which series; only then does a quantile sketch over ``order`` (one pruned
+    column, bounded state) supply the cut points. Series that fit a task stay
+    whole, so the carry table has a row for each of them and one per chunk of
+    the long ones.
 
     ``profile`` is the frame to count and sketch when ``df`` is costly to
-    compute: it must have the ``order`` column and at least the rows of ``df``.
+    compute: it must have the keys and the ``order`` column, and at least the
+    rows of ``df`` in every series.
     """
     keys = tuple(keys)
     df = _keyed(df, keys)
-    profile = df if profile is None else profile
+    profile = df if profile is None else _keyed(profile, keys)
+    whole = OrderedSeries(df, keys, order, single=True)
     rows = profile.count()
     if rows <= target_rows:
-        return OrderedSeries(df, keys, order, single=True)
+        return whole
+    long_series = None
+    if rows / target_rows <= BROADCAST_ROWS:  # a proven bound on the number of long series
+        counted = profile.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > target_rows)
+        found = counted.collect()
+        if not found:
+            return whole
+        long_series = df.sparkSession.createDataFrame(found, counted.schema).drop("_n")
+        profile = profile.join(F.broadcast(long_series), list(keys), "left_semi")
+        rows = sum(row["_n"] for row in found)
     pieces = min(math.ceil(rows / target_rows), MAX_CHUNKS)
-    if profile.schema[order].dataType.typeName() == "string":
-        return _cut_names(df, keys, order, profile, rows, pieces)
+    textual = profile.schema[order].dataType.typeName() == "string"
+    chunked = _chunk_names(df, order, profile, rows, pieces) if textual else _chunk_numbers(df, order, profile, pieces)
+    if chunked is None:
+        return whole
+    # Never null, so the joins on it add no filter that would keep Spark from
+    # reusing the shuffle under both join sides.
+    chunk = F.coalesce(F.col(CHUNK).cast("int"), F.lit(-1))
+    if long_series is not None:
+        chunked = chunked.join(F.broadcast(long_series.withColumn("_long", F.lit(True))), list(keys), "left")
+        chunk = F.when(F.col("_long"), chunk).otherwise(F.lit(-1))
+    return OrderedSeries(chunked.withColumn(CHUNK, chunk).drop("_long"), keys, order, single=False)
+
+
+def _chunk_numbers(df: DataFrame, order: str, profile: DataFrame, pieces: int) -> DataFrame | None:
     probabilities = [i / pieces for i in range(1, pieces)]
     points = profile.select(_order_number(profile, order).alias(_NUMERIC)).approxQuantile(
         _NUMERIC, probabilities, 1 / (10 * pieces)
     )
     splits = [-math.inf, *sorted(set(points)), math.inf]
     if len(splits) < 3:
-        return OrderedSeries(df, keys, order, single=True)
+        return None
     bucketizer = Bucketizer(splits=splits, inputCol=_NUMERIC, outputCol=CHUNK, handleInvalid="keep")
-    numbered = df.withColumn(_NUMERIC, _order_number(df, order))
-    # Never null, so the joins on it add no filter that would keep Spark from
-    # reusing the shuffle under both join sides.
-    chunk = F.coalesce(F.col(CHUNK).cast("int"), F.lit(-1))
-    chunked = bucketizer.transform(numbered).withColumn(CHUNK, chunk).drop(_NUMERIC)
-    return OrderedSeries(chunked, keys, order, single=False)
+    return bucketizer.transform(df.withColumn(_NUMERIC, _order_number(df, order))).drop(_NUMERIC)
 
 
-def _cut_names(df: DataFrame, keys: tuple[str, ...], order: str, profile: DataFrame,
-               rows: int, pieces: int) -> OrderedSeries:
+def _chunk_names(df: DataFrame, order: str, profile: DataFrame, rows: int, pieces: int) -> DataFrame | None:
     """Chunks of text order. A bounded sample of names places the cut points;
     every row is kept and gets its chunk from those fixed points."""
     pieces = min(pieces, MAX_NAME_CHUNKS)
@@ -214,9 +236,9 @@ def _cut_names(df: DataFrame, keys: tuple[str, ...], order: str, profile: DataFr
     names = sorted(row[0] for row in sample.limit(2 * wanted).toLocalIterator())
     points = sorted({names[len(names) * i // pieces] for i in range(1, pieces)}) if names else []
     if not points:
-        return OrderedSeries(df, keys, order, single=True)
+        return None
     passed = F.size(F.filter(F.array(*[F.lit(p) for p in points]), lambda p: p <= F.col(order)))
-    return OrderedSeries(df.withColumn(CHUNK, passed), keys, order, single=False)
+    return df.withColumn(CHUNK, passed)
 
 
 def cut_regular(df: DataFrame, keys: Sequence[str], order: str, step: Column,

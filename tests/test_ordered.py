@@ -73,6 +73,14 @@ def test_chunks_are_bounded_for_bunched_order(spark):
     assert sizes.max() <= 150 and sizes.sum() == 2000
 
 
+def test_only_long_series_are_cut(spark, rows):
+    df = spark_rows(spark, rows)
+    chunks = cut(df, ["key"], "seq", 100).df.groupBy("key").agg(F.countDistinct(CHUNK).alias("n")).collect()
+    got = {r.key: r.n for r in chunks}
+    assert got["hot"] > 2 and got["a"] > 1 and got["b"] == 1 and got["one"] == 1
+    assert cut(df, ["key"], "seq", 400).single and not cut(df, ["key"], "seq", 399).single
+
+
 def test_cut_regular(spark):
     df = spark.range(100).select(F.lit("s").alias("key"), F.col("id").alias("seq"),
                                  F.when(F.col("id") % 30 == 0, F.col("id")).alias("value"))
