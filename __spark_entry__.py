@@ -33,7 +33,7 @@ from reelmetry.plans import producer_report as R  # noqa: E402
 from reelmetry.plans import training as TR  # noqa: E402
 from reelmetry.plans.etl import copy_table  # noqa: E402
 from reelmetry.schemas import (  # noqa: E402
-    CORRELATED_METRICS, DEFAULT_BUCKETS, FRAME_TIME_BUCKETS, IMAGE_LIST_SCHEMA, METRIC_DISPLAY_NAMES, METRICS, FrameShape,
+    CORRELATED_METRICS, DEFAULT_BUCKETS, FRAME_TIME_BUCKETS, METRIC_DISPLAY_NAMES, METRICS, FrameShape,
 )
 from reelmetry.session import scratch_path  # noqa: E402
 from reelmetry.sinks import tables as K  # noqa: E402
