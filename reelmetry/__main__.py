@@ -36,6 +36,7 @@ def _parser() -> argparse.ArgumentParser:
     one.add_argument("--fraction", type=float, default=0.01)
     one = job("infer", "score the frames of videos", "videos", "model", "out")
     one.add_argument("--raw", action="store_true", help="containers hold raw frames")
+    one.add_argument("--open-in-task", action="store_true", help="read files in the tasks, for files above 2 GB")
     one = job("copy-table", "database table to CSV", "url", "table", "out")
     one.add_argument("--partition-column")
     one.add_argument("--bounds", type=int, nargs=2)
@@ -63,7 +64,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     elif args.job == "train":
         training.train(spark, args.list, args.images, args.model, args.fraction).show(truncate=False)
     elif args.job == "infer":
-        print(inference.infer(spark, args.videos, args.model, args.out, decoder), "predictions")
+        print(inference.infer(spark, args.videos, args.model, args.out, decoder,
+                              open_in_task=args.open_in_task), "predictions")
     elif args.job == "copy-table":
         bounds = tuple(args.bounds) if args.bounds else None
         etl.copy_database_table(spark, args.url, args.table, args.out, partition_column=args.partition_column,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 from collections.abc import Callable, Iterable, Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark import keyword_only
@@ -19,9 +20,11 @@ from pyspark.sql import types as T
 from reelmetry.functions.pixels import gray_frame, resize_frame, signed_values
 from reelmetry.operators.skew import keep_listed
 from reelmetry.schemas import FRAME_CHANNELS, FRAME_HEIGHT, FRAME_WIDTH, THUMB_HEIGHT, THUMB_WIDTH, FrameShape
+from reelmetry.sources.slices import open_path
 
-#: Encoded container to frames; ``None`` stands for a frame that did not convert.
-Decoder = Callable[[bytes], Iterable[bytes | None]]
+#: Encoded container (bytes or an open file) to frames; ``None`` stands for a frame
+#: that did not convert.
+Decoder = Callable[[bytes | BinaryIO], Iterable[bytes | None]]
 
 
 def split_raw(containers: DataFrame, shape: FrameShape = FrameShape(), content: str = "content",
@@ -50,13 +53,17 @@ def split_leftovers(containers: DataFrame, shape: FrameShape = FrameShape(), con
 
 
 def decode_frames(containers: DataFrame, decoder: Decoder, content: str = "content", key: str = "path",
-                  on_error: str = "skip", batch: int = 64) -> DataFrame:
+                  on_error: str = "skip", batch: int = 64, open_in_task: bool = False) -> DataFrame:
     """Frames of encoded containers, through a decoder that runs in the tasks.
 
     ``on_error``: ``skip`` leaves bad frames out, ``null`` keeps a row with the
     message in their place, ``fail`` stops the job. A decoder that raises ends
     its container there. Frames are yielded in small batches, so a task never
     holds a whole decoded video.
+
+    With ``open_in_task`` the content column is not read: the task opens the
+    path and the decoder gets the open file, so a video may be larger than the
+    2 GB of a row and need not fit in memory.
     """
     if on_error not in ("skip", "null", "fail"):
         raise ValueError(f"on_error must be skip, null or fail, not {on_error!r}")
@@ -65,10 +72,12 @@ def decode_frames(containers: DataFrame, decoder: Decoder, content: str = "conte
         T.StructField("data", T.BinaryType()), T.StructField("error", T.StringType()),
     ])
 
-    def frames_of(name: str, payload: bytes) -> Iterator[tuple]:
-        number = -1
+    def frames_of(name: str, payload: bytes | None) -> Iterator[tuple]:
+        number, source = -1, payload
         try:
-            for number, frame in enumerate(decoder(payload)):
+            if open_in_task:
+                source = open_path(name)
+            for number, frame in enumerate(decoder(source)):
                 if frame is not None:
                     yield name, number, frame, None
                 elif on_error == "fail":
@@ -80,6 +89,9 @@ def decode_frames(containers: DataFrame, decoder: Decoder, content: str = "conte
                 raise
             if on_error == "null":
                 yield name, number + 1, None, str(problem)
+        finally:
+            if open_in_task and source is not None:
+                source.close()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.string(), pa.int64(), pa.binary(), pa.string()]
@@ -91,9 +103,10 @@ def decode_frames(containers: DataFrame, decoder: Decoder, content: str = "conte
             )
 
         for incoming in batches:
-            for name, payload in zip(incoming.column(0), incoming.column(1)):
+            for index, name in enumerate(incoming.column(0).to_pylist()):
+                payload = None if open_in_task else incoming.column(1)[index].as_py()
                 held: list[tuple] = []
-                for row in frames_of(name.as_py(), payload.as_py()):
+                for row in frames_of(name, payload):
                     held.append(row)
                     if len(held) == batch:
                         yield pack(held)
@@ -101,7 +114,8 @@ def decode_frames(containers: DataFrame, decoder: Decoder, content: str = "conte
                 if held:
                     yield pack(held)
 
-    return containers.select(key, content).mapInArrow(run, schema)
+    columns = [key] if open_in_task else [key, content]
+    return containers.select(*columns).mapInArrow(run, schema)
 
 
 def video_decoder(width: int = FRAME_WIDTH, height: int = FRAME_HEIGHT) -> Decoder:
@@ -111,10 +125,10 @@ def video_decoder(width: int = FRAME_WIDTH, height: int = FRAME_HEIGHT) -> Decod
     except ImportError as missing:
         raise RuntimeError("decoding encoded video needs the PyAV package (import av) on all executors") from missing
 
-    def decode(payload: bytes) -> Iterator[bytes]:
+    def decode(payload: bytes | BinaryIO) -> Iterator[bytes]:
         import av
 
-        with av.open(io.BytesIO(payload)) as container:
+        with av.open(io.BytesIO(payload) if isinstance(payload, bytes) else payload) as container:
             for frame in container.decode(video=0):
                 yield frame.to_ndarray(width=width, height=height, format="bgr24").tobytes()
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from reelmetry.operators.frames import Decoder, decode_frames, resize_frames, split_raw, with_features
 from reelmetry.schemas import FrameShape
 from reelmetry.sinks.tables import write_parquet
-from reelmetry.sources.files import MP4_GLOB, read_binary
+from reelmetry.sources.files import MP4_GLOB, raw_file_frames, read_binary
 from reelmetry.sources.tables import load_model
 
 
@@ -19,11 +19,17 @@ def score_frames(frames: DataFrame, model: PipelineModel, shape: FrameShape = Fr
 
 
 def infer(spark: SparkSession, video_path: str, model_path: str, out_path: str, decoder: Decoder | None = None,
-          shape: FrameShape = FrameShape(), glob: str = MP4_GLOB) -> int:
+          shape: FrameShape = FrameShape(), glob: str = MP4_GLOB, open_in_task: bool = False) -> int:
     """The inference job: videos to a Parquet table of predictions; returns its rows.
 
     Without a decoder the containers are taken as raw frames back to back.
+    ``open_in_task``: read the files in the tasks, for videos of any size.
     """
     videos = read_binary(spark, video_path, glob)
-    frames = decode_frames(videos, decoder) if decoder else split_raw(videos, shape)
+    if decoder:
+        frames = decode_frames(videos, decoder, open_in_task=open_in_task)
+    elif open_in_task:
+        frames = raw_file_frames(spark, video_path, shape, glob)
+    else:
+        frames = split_raw(videos, shape)
     return write_parquet(score_frames(frames, load_model(model_path), shape), out_path)

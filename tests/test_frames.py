@@ -98,6 +98,22 @@ def test_decode_errors_do_not_stop_the_job(spark, videos, broken_decoder, on_err
         assert (3, "bad tail") in seen["03.mp4"] and len(seen["01.mp4"]) == 3
 
 
+def test_decoding_opened_files(spark, videos):
+    folder, payloads = videos
+
+    def read_frames(source):
+        while len(frame := source.read(48)) == 48:
+            yield frame
+
+    containers = SF.read_videos(spark, str(folder))
+    got = FR.decode_frames(containers, read_frames, open_in_task=True, batch=2)
+    assert as_dict(got) == expected_frames(payloads)
+    assert "content" not in got._jdf.queryExecution().executedPlan().toString()
+    gone = containers.select(F.concat("path", F.lit(".gone")).alias("path"))
+    errors = FR.decode_frames(gone, read_frames, open_in_task=True, on_error="null").collect()
+    assert len(errors) == 2 and all(r.data is None and "gone" in r.error for r in errors)
+
+
 def test_decode_can_fail(spark, videos, broken_decoder):
     with pytest.raises(PythonException, match="did not convert"):
         FR.decode_frames(SF.read_videos(spark, str(videos[0])), broken_decoder, on_error="fail").collect()

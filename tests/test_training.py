@@ -109,6 +109,7 @@ def test_inference_job(spark, trained, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "video_01.mp4").write_bytes(frames.tobytes() + b"rest")
     assert inference.infer(spark, str(tmp_path / "in"), model, str(tmp_path / "out")) == 4
+    assert inference.infer(spark, str(tmp_path / "in"), model, str(tmp_path / "out"), open_in_task=True) == 4
     rows = spark.read.parquet(str(tmp_path / "out"))
     assert {"rawPrediction", "probability", "prediction", "frame_seq"} <= set(rows.columns)
     sums = [sum(r[0]) for r in rows.select(vector_to_array("probability")).collect()]
