@@ -1060,6 +1060,25 @@ def stream_deduplicated(spark, sf):
     return _drained(spark, once.select("video", "frame_seq"), "deduplicated")
 
 
+# --------------------------------------------------------------------------
+# Training-data operators, if they are there
+# --------------------------------------------------------------------------
+
+try:
+    import corpus_pipeline as _pipeline
+    from reelmetry.llm import queries as _llm
+except ImportError as missing:
+    # Only the absence of these modules themselves counts, not a fault inside them.
+    if missing.name not in ("corpus_pipeline", "reelmetry.llm", "reelmetry.llm.queries"):
+        raise
+else:
+    _QUERIES.update(_llm.queries())
+    _QUERIES["pipeline"] = _pipeline.run
+    _SQL.update(_llm.oracle_sql())
+    if _pipeline.ORACLE_SQL:
+        _SQL["pipeline"] = _pipeline.ORACLE_SQL
+
+
 # --------------------------------------------------------------------------
 # Contract
 # --------------------------------------------------------------------------
