@@ -6,31 +6,32 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelmetry.operators.skew import store
 
-#: Labelled documents that are fitted on at most, folds for the probabilities fed forward, words of the vocabulary at most.
-TRAINING_ROWS, FOLDS, WORDS = 12_000, 3, 1 << 16
-#: Share of the documents that must speak for a word before it gets a weight.
-LEAST_SHARE = 0.003
-
+#: Labelled documents that are fitted on at most, folds for the probabilities fed forward.
+TRAINING_ROWS, FOLDS = 12_000, 3
+#: Lengths of word beginnings that count as features.
+STEMS = (4, 5)
+#: A word is a feature from this log-likelihood ratio statistic on (seven documents of a category with a tenth of all); at most so many are.
+EVIDENCE, MOST_WORDS = 30.0, 4_096
+#: Weight of the models' squared coefficients.
+RIDGE = 1e-3
 
 #: Columns that scoring makes on the way.
 _OWN = ["letters", "words", "shape", "features", "rawPrediction", "probability", "prediction"]
 
 
-def penalty(count: int) -> float:
-    """The lasso's weight for ``count`` documents. A word in a smaller share of them than this gets no weight for certain."""
-    return LEAST_SHARE + 1 / max(count, 1)
-
-
 def with_letters(df: DataFrame) -> DataFrame:
-    """Adds ``letters`` (the text's lower-cased runs of letters) and ``shape`` (shares of odd characters, capitals, repeats)."""
+    """Adds ``letters`` and ``shape`` (shares of odd characters, capitals, repeats).
+
+    ``letters`` holds the text's distinct lower-cased runs of letters, and the first
+    few letters of the longer ones, so that a stem is known in forms not seen before.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     size = F.greatest(F.length(text), F.lit(1))
     df = df.withColumn("letters", F.array_remove(F.split(F.lower(text), r"[^\p{L}]+"), ""))
@@ -43,46 +44,73 @@ def with_letters(df: DataFrame) -> DataFrame:
         "_word_length": F.least(size / words, F.lit(50)) / 50,
     }
     df = df.withColumns({k: v.cast("double") for k, v in shape.items()})
-    return VectorAssembler(inputCols=list(shape), outputCol="shape").transform(df).drop(*shape)
+    df = VectorAssembler(inputCols=list(shape), outputCol="shape").transform(df).drop(*shape)
+    distinct = F.array_distinct("letters")
+    stems = [
+        F.transform(F.filter(distinct, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("~"))) for n in STEMS
+    ]
+    return df.withColumn("letters", F.concat(distinct, *stems))
 
 
-def _inputs(df: DataFrame, earlier: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=["words", "shape", *(f"p_{c}" for c in earlier)], outputCol="features").transform(df)
+@dataclass
+class Link:
+    """One category's model: the words it looks at, and its coefficients."""
+
+    words: CountVectorizerModel
+    linear: LogisticRegressionModel
+
+    def score(self, df: DataFrame, category: str, earlier: Sequence[str]) -> DataFrame:
+        out = self.linear.transform(_inputs(df, self.words, earlier))
+        return out.withColumn(f"p_{category}", vector_to_array("probability")[1]).drop("words", "features", "rawPrediction", "probability", "prediction")
 
 
-def _scored(df: DataFrame, model: LogisticRegressionModel, category: str) -> DataFrame:
-    out = model.transform(df).withColumn(f"p_{category}", vector_to_array("probability")[1])
-    return out.drop("features", "rawPrediction", "probability", "prediction")
+def _inputs(df: DataFrame, words: CountVectorizerModel, earlier: Sequence[str]) -> DataFrame:
+    return VectorAssembler(inputCols=["words", "shape", *(f"p_{c}" for c in earlier)], outputCol="features").transform(words.transform(df))
 
 
 @dataclass
 class Chain:
     """Fitted models in order, and for each the probability from which it speaks."""
 
-    vocabulary: CountVectorizerModel | None
     categories: list[str]
-    models: list[LogisticRegressionModel | None]
+    models: list[Link | None]
     thresholds: list[float]
 
     def score(self, docs: DataFrame) -> DataFrame:
         """``docs`` with ``p_<category>`` and ``is_<category>`` for every category; clashing columns are replaced."""
         added = [f"{k}_{c}" for c in self.categories for k in ("p", "is")]
-        out = docs.drop(*_OWN, *added)
-        if self.vocabulary is not None:
-            out = self.vocabulary.transform(with_letters(out)).drop("letters")
+        out = with_letters(docs.drop(*_OWN, *added))
         for i, (category, model) in enumerate(zip(self.categories, self.models, strict=True)):
-            if model is None:
-                out = out.withColumn(f"p_{category}", F.lit(0.0))
-            else:
-                out = _scored(_inputs(out, self.categories[:i]), model, category)
+            out = out.withColumn(f"p_{category}", F.lit(0.0)) if model is None else model.score(out, category, self.categories[:i])
         flags = {f"is_{c}": F.col(f"p_{c}") >= t for c, t in zip(self.categories, self.thresholds, strict=True)}
         return out.drop(*_OWN).withColumns(flags)
 
 
-def _fit(rows: DataFrame, category: str, count: int) -> LogisticRegressionModel:
-    """A lasso on unscaled features: a word's weight is zero unless it stands for enough documents."""
-    return LogisticRegression(
-        labelCol=category, featuresCol="features", elasticNetParam=1.0, regParam=penalty(count), standardization=False, maxIter=30, tol=1e-3).fit(rows)
+def _telling_words(counts: DataFrame, category: str, base: float) -> list[str]:
+    """Words whose documents have the category clearly more or less often than all, the clearest first.
+
+    ``counts`` has ``letter``, ``n`` and ``t``, its documents and those of the category.
+    """
+    def term(part, expected):
+        return F.when(part > 0, part * F.log(part / expected)).otherwise(0.0)
+
+    n, t = F.col("n"), F.col("t")
+    statistic = 2 * (term(t, n * base) + term(n - t, n * (1 - base)))
+    found = counts.withColumn("g", statistic).where(F.col("g") >= EVIDENCE).orderBy(F.desc("g"), "letter").limit(MOST_WORDS)
+    return [r["letter"] for r in found.select("letter").collect()]
+
+
+def _fit(rows: DataFrame, counts: DataFrame, category: str, earlier: Sequence[str]) -> Link | None:
+    """A model of one category; None if the labels are all alike."""
+    seen = rows.agg(F.avg(category).alias("share")).first()["share"]
+    if seen is None or not 0 < seen < 1:
+        return None
+    # One word at least: "~" is no run of letters.
+    vocabulary = _telling_words(counts, category, seen) or ["~"]
+    words = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="letters", outputCol="words")
+    words.setBinary(True)
+    linear = LogisticRegression(labelCol=category, featuresCol="features", regParam=RIDGE, standardization=False, maxIter=25, tol=1e-4)
+    return Link(words, linear.fit(_inputs(rows, words, earlier).select("features", category)))
 
 
 def _best_threshold(rows: DataFrame, category: str) -> float:
@@ -118,42 +146,35 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], r
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
     # Equal texts in one fold, else a copy would tell its label.
     texts = texts.dropDuplicates(["doc_id"]).withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(folds)))
-    read = store(with_letters(texts).drop("text"), "letters")
-    count = read.count()
-    if not count:
-        return Chain(None, categories, [None] * len(categories), [1.1] * len(categories))
-    counter = CountVectorizer(inputCol="letters", outputCol="words", binary=True, vocabSize=WORDS, minDF=max(1.0, penalty(count) * count))
-    try:
-        vocabulary = counter.fit(read)
-    except IllegalArgumentException:  # no word is in enough documents
-        return Chain(None, categories, [None] * len(categories), [1.1] * len(categories))
-    base = store(vocabulary.transform(read).drop("letters").coalesce(4), "labelled")
-    models: list[LogisticRegressionModel | None] = []
+    base = store(with_letters(texts).drop("text").coalesce(8), "labelled")
+    counted = store(
+        base.select("fold", *categories, F.explode("letters").alias("letter")).groupBy("letter", "fold")
+        .agg(F.count(F.lit(1)).alias("n"), *(F.sum(c).alias(f"t_{c}") for c in categories)),
+        "words",
+    )
+    models: list[Link | None] = []
     thresholds: list[float] = []
     for i, category in enumerate(categories):
-        ready = _inputs(base, categories[:i]).cache()
-        kinds = ready.groupBy("fold").agg(F.min(category).alias("low"), F.max(category).alias("high")).collect()
-        if not kinds or min(k["low"] for k in kinds) == max(k["high"] for k in kinds):
-            models.append(None)
-            thresholds.append(1.1)
+        earlier = categories[:i]
+
+        def words_of(rows: DataFrame, category: str = category) -> DataFrame:
+            return rows.groupBy("letter").agg(F.sum("n").alias("n"), F.sum(f"t_{category}").alias("t"))
+
+        model = _fit(base, words_of(counted), category, earlier)
+        models.append(model)
+        if model is None:
             base = base.withColumn(f"p_{category}", F.lit(0.0))
-            ready.unpersist()
+            thresholds.append(1.1)
             continue
-        model = _fit(ready, category, count)
-        parts = []
+        scored = None
         for fold in range(folds):
-            rest = ready.where(F.col("fold") != fold)
-            seen = rest.agg(F.min(category), F.max(category), F.count(F.lit(1))).first()
-            maker = model if seen[0] == seen[1] else _fit(rest, category, seen[2])
-            parts.append(_scored(ready.where(F.col("fold") == fold), maker, category))
-        scored = parts[0]
-        for p in parts[1:]:
-            scored = scored.unionByName(p)
+            other = F.col("fold") != fold
+            maker = _fit(base.where(other), words_of(counted.where(other)), category, earlier) or model
+            part = maker.score(base.where(~other), category, earlier)
+            scored = part if scored is None else scored.unionByName(part)
         base = store(scored, "out-of-fold")
-        ready.unpersist()
-        models.append(model)
         thresholds.append(_best_threshold(base, category))
-    return Chain(vocabulary, categories, models, thresholds)
+    return Chain(categories, models, thresholds)
 
 
 #: The pipeline's chain: poor quality first, then toxicity.
