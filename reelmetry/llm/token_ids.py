@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 import os
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
 #: Words remembered per worker process, and the longest of them.
-REMEMBERED, REMEMBERED_CHARS = 350_000, 48
+REMEMBERED, REMEMBERED_CHARS = 450_000, 48
 #: ASCII marks that no contraction begins with: a word of letters and one of them are two words for the pattern.
 _MARKS = frozenset(".,;:!?")
 
@@ -40,6 +41,12 @@ class WordIds:
         self.lowers = any(s.get("type") == "Lowercase" for s in steps)
         self.specials = [t["content"].lower() for t in spec.get("added_tokens") or []]
         self.dtype = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
+        # For words of letters in lower case: the same merges without normalizer and pattern.
+        rest = (pre.get("pretokenizers") or [])[1:]
+        self.lean = None
+        if self.apart and [r.get("type") for r in rest] == ["ByteLevel"] and not rest[0].get("use_regex", True):
+            lean = {**spec, "normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *rest]}}
+            self.lean = Tokenizer.from_str(json.dumps(lean))
         suffix = spec["model"].get("end_of_word_suffix")
         self.ends = np.array([(self.model.id_to_token(i) or "").endswith(suffix) for i in range(self.model.get_vocab_size())]) if suffix else None
         self.words: dict[str, bytes] = {}
@@ -53,7 +60,9 @@ class WordIds:
         if not words or self.ends is None:
             return self._encoded(words)
         joined = [" ".join(words[i : i + 64]) for i in range(0, len(words), 64)]
-        ids = np.concatenate([np.array(e.ids, dtype=self.dtype) for e in self.model.encode_batch_fast(joined, add_special_tokens=False)])
+        plain = self.lean is not None and all(self._lowered(j) == j and j.encode("latin-1", "ignore").decode("latin-1") == j for j in joined)
+        model = self.lean if plain else self.model
+        ids = np.concatenate([np.array(e.ids, dtype=self.dtype) for e in model.encode_batch_fast(joined, add_special_tokens=False)])
         last = np.flatnonzero(self.ends[ids])
         if len(last) != len(words):
             return self._encoded(words)
@@ -77,7 +86,7 @@ class WordIds:
     def learn(self, words: set[str]) -> dict[str, bytes]:
         """Ids of new words; letters before a mark are encoded apart and remembered."""
         if len(self.parts) > REMEMBERED:
-            self.parts.clear()
+            self.parts = dict(islice(self.parts.items(), REMEMBERED // 3))
         parts, head, whole = self.parts, {}, []
         for w in words:
             if w.isalpha():
@@ -99,21 +108,19 @@ class WordIds:
     def encode_many(self, texts: list[str]) -> list[bytes]:
         if not self.apart:
             return self._encoded(texts)
+        if len(self.words) > REMEMBERED:  # the first words to come are mostly the common ones
+            self.words = dict(islice(self.words.items(), REMEMBERED // 3))
+        known = self.words
         split = [self._lowered(t).replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*split) - self.words.keys()
+        found = [list(map(known.get, words)) for words in split]
+        new = {w for words, ids in zip(split, found, strict=True) if None in ids for w, b in zip(words, ids, strict=True) if b is None}
         if new:
-            if len(self.words) + len(new) > REMEMBERED:
-                self.words.clear()
-                new = set().union(*split)
-            found = self.learn(new)
-            long = {w: found[w] for w in found if len(w) > REMEMBERED_CHARS}
-            self.words.update(found)
-            out = [b"".join([self.words[w] for w in words]) for words in split]
-            for w in long:
-                del self.words[w]
-            return out
-        known = self.words
-        return [b"".join([known[w] for w in words]) for words in split]
+            known.update(self.learn(new))
+            found = [list(map(known.get, words)) if None in ids else ids for words, ids in zip(split, found, strict=True)]
+            for w in new:
+                if len(w) > REMEMBERED_CHARS:
+                    del known[w]
+        return [b"".join(ids) for ids in found]
 
 
 @lru_cache(maxsize=2)
