@@ -10,11 +10,22 @@ from itertools import islice
 import numpy as np
 
 #: Words remembered per worker process, and the longest of them.
-REMEMBERED, REMEMBERED_CHARS = 450_000, 48
+REMEMBERED, REMEMBERED_CHARS = 800_000, 48
 #: ASCII marks that no contraction begins with: a word of letters and one of them are two words for the pattern.
 _MARKS = frozenset(".,;:!?")
 
 
+def _places(items: list) -> list[int]:
+    """Where a list has None."""
+    out, at = [], -1
+    try:
+        while True:
+            at = items.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
+
+
 class WordIds:
     """Ids of texts as little-endian bytes.
 
@@ -86,7 +97,7 @@ class WordIds:
     def learn(self, words: set[str]) -> dict[str, bytes]:
         """Ids of new words; letters before a mark are encoded apart and remembered."""
         if len(self.parts) > REMEMBERED:
-            self.parts = dict(islice(self.parts.items(), REMEMBERED // 3))
+            self.parts = dict(islice(self.parts.items(), REMEMBERED // 2))
         parts, head, whole = self.parts, {}, []
         for w in words:
             if w.isalpha():
@@ -109,17 +120,18 @@ class WordIds:
         if not self.apart:
             return self._encoded(texts)
         if len(self.words) > REMEMBERED:  # the first words to come are mostly the common ones
-            self.words = dict(islice(self.words.items(), REMEMBERED // 3))
+            self.words = dict(islice(self.words.items(), REMEMBERED // 2))
         known = self.words
         split = [self._lowered(t).replace("\n", " ").split(" ") for t in texts]
         found = [list(map(known.get, words)) for words in split]
-        new = {w for words, ids in zip(split, found, strict=True) if None in ids for w, b in zip(words, ids, strict=True) if b is None}
+        gaps = [_places(ids) for ids in found]
+        new = {words[i] for words, at in zip(split, gaps, strict=True) for i in at}
         if new:
-            known.update(self.learn(new))
-            found = [list(map(known.get, words)) if None in ids else ids for words, ids in zip(split, found, strict=True)]
-            for w in new:
-                if len(w) > REMEMBERED_CHARS:
-                    del known[w]
+            fresh = self.learn(new)
+            for words, ids, at in zip(split, found, gaps, strict=True):
+                for i in at:
+                    ids[i] = fresh[words[i]]
+            known.update((w, b) for w, b in fresh.items() if len(w) <= REMEMBERED_CHARS)
         return [b"".join(ids) for ids in found]
 
 
