@@ -120,8 +120,31 @@ def _may_link(percent: int) -> Column:
     return (small * 100 >= large * percent) & (_differing_bits("sketch", "other_sketch") <= most_odd_bits(percent))
 
 
+def _compared(percent: int):
+    """Pairs of full sets: how many shingles they share, whether that makes a link, and which of ``other``'s the node has, as a bitmap."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shared, linked, bits = [], [], []
+            for i in range(batch.num_rows):
+                a = batch.column("shingles")[i].values.to_numpy().view(U64)
+                b = batch.column("other_shingles")[i].values.to_numpy().view(U64)
+                at = np.searchsorted(a, b)
+                both = a[np.minimum(at, len(a) - 1)] == b
+                count = int(both.sum())
+                shared.append(count)
+                linked.append(100 * count >= percent * (len(a) + len(b) - count))
+                raw = np.packbits(both)
+                bits.append(np.append(raw, np.zeros(-len(raw) % 8, np.uint8)).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("other"), pa.array(shared, pa.int64()), pa.array(linked, pa.bool_()), _lists(bits)],
+                names=["node", "other", "shared", "linked", "bits"])
+
+    return run
+
+
 def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``node``, ``other``) whose full shingle sets reach the threshold, as links ``u``, ``v``."""
+    """The pairs (``node``, ``other``) compared on their full shingle sets."""
     wanted = pairs.select(F.explode(F.array("node", "other")).alias("node")).distinct()
     located = store(nodes.join(wanted, "node").select("node", "doc_key", "text_hash"), "located")
     found = keep_listed(texts, located, ["doc_key", "text_hash"])
@@ -131,12 +154,25 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: in
         "sets",
     )
     other = sets.select(F.col("node").alias("other"), F.col("shingles").alias("other_shingles"))
-    shared = F.size(F.array_intersect("shingles", "other_shingles"))
-    union = F.size("shingles") + F.size("other_shingles") - F.col("shared")
-    return (
-        pairs.join(sets, "node").join(other, "other").withColumn("shared", shared)
-        .where(F.col("shared") * 100 >= union * percent).select(F.col("node").alias("u"), F.col("other").alias("v"))
-    )
+    both = pairs.join(sets, "node").join(other, "other").select("node", "other", "shingles", "other_shingles")
+    return both.mapInArrow(_compared(percent), "node long, other long, shared long, linked boolean, bits array<long>")
+
+
+def _links(compared: DataFrame) -> DataFrame:
+    return compared.where("linked").select(F.col("node").alias("u"), F.col("other").alias("v"))
+
+
+def _reachable(percent: int) -> Column:
+    """Whether a pair can still be a link, after both were compared with the same third node.
+
+    They share what both have of the third node's shingles, exactly, and of the
+    rest at most what the one with fewer has.
+    """
+    common = F.aggregate(
+        F.zip_with("bits", "other_bits", lambda a, b: F.bit_count(a.bitwiseAND(b))), F.lit(0), lambda total, n: total + n)
+    most = common + F.least(F.col("n") - F.col("shared"), F.col("other_n") - F.col("other_shared"))
+    known = F.col("pivot").isNotNull() & F.col("other_pivot").isNotNull() & (F.col("pivot") == F.col("other_pivot"))
+    return ~F.coalesce(known, F.lit(False)) | (most * (100 + percent) >= (F.col("n") + F.col("other_n")) * percent)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -148,12 +184,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     reachable over links), ``kept``.
 
     Method. MinHash samples are cut into bands; rows with equal sets become one
-    node first, so copies cost nothing later. Each node of a bucket (band key) is
-    compared with the bucket's smallest node; what the odd sketches and sizes
-    allow is confirmed on the full sets. Only buckets that still hold more than
-    one component are compared further, and only across components: rows outside
-    the bucket's largest component against the bucket, size and sketch tested
-    inside the join, so that what leaves the join is a likely link. Links are
+    node first, so copies cost nothing later. Each node is compared on the full
+    sets with the earliest of its buckets' (band keys') first nodes that sizes and
+    odd sketches allow. Only buckets that still hold more than one component are
+    compared further, and only across components: rows outside the bucket's largest
+    component against the bucket. Size, sketch, and, of nodes compared with the same
+    third one, what they can share at most are tested inside the join, so that what
+    leaves the join is a likely link, to be confirmed as well. Links are
     joined to components on Spark. No group is capped; two linked sets are missed
     only if they meet in no band or the sketch errs by six standard errors.
 
@@ -176,16 +213,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     signed = filled.select(F.col("row").alias("node"), F.col("n_shingles").alias("n"), "bands", "sketch")
     nodes = store(heads.select("node", "doc_key", "text_hash").join(signed, "node"), "nodes")
 
-    entries = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    entries = store(entries.join(shared.drop("size"), "bucket"), "entries")
+    # The earliest document of a bucket is its pivot: what the others were copied from, if it is there.
+    entries = nodes.select("node", "doc_key", F.explode("bands").alias("bucket"))
+    shared = entries.groupBy("bucket").agg(F.min(F.struct("doc_key", "node")).alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    entries = store(entries.drop("doc_key").join(shared.drop("size"), "bucket"), "entries")
 
     light = nodes.select("node", "n", "sketch")
     renamed = light.toDF("other", "other_n", "other_sketch")
-    stars = entries.where("node <> pivot").select("node", F.col("pivot").alias("other")).distinct()
+    stars = entries.where("node <> pivot.node").select("node", F.col("pivot.node").alias("other"), "pivot.doc_key").distinct()
     stars = stars.join(light, "node").join(renamed, "other").where(_may_link(percent))
-    stars = store(stars.groupBy("node").agg(F.min("other").alias("other")), "pairs")
-    links = store(_confirmed(stars, nodes, texts, percent), "confirmed")
+    stars = store(stars.groupBy("node").agg(F.min(F.struct("doc_key", "other")).alias("least")).select("node", "least.other"), "pairs")
+    compared = store(_confirmed(stars, nodes, texts, percent), "confirmed")
+    links = _links(compared)
     parts = store(connected_components(links), "parts")
 
     # Buckets that hold several components still may hide links between them.
@@ -195,17 +234,19 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         sizes.groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("most"), F.count(F.lit(1)).alias("parts"))
         .where("parts > 1").select("bucket", F.col("most.component").alias("major"))
     )
-    members = store(placed.join(open_buckets, "bucket").join(light, "node"), "members")
+    seen = compared.select("node", F.col("other").alias("pivot"), "shared", "bits")
+    members = store(placed.join(open_buckets, "bucket").join(light, "node").join(seen, "node", "left"), "members")
     minor = members.where("component <> major").drop("major")
-    others = members.select("bucket", *(F.col(c).alias(f"other_{c}") for c in ("component", "n", "sketch")), F.col("node").alias("other"), "major")
+    twins = ("component", "n", "sketch", "pivot", "shared", "bits")
+    others = members.select("bucket", "major", F.col("node").alias("other"), *(F.col(c).alias(f"other_{c}") for c in twins))
     once = (F.col("other_component") == F.col("major")) | (F.col("node") < F.col("other"))
-    across = minor.join(others, "bucket").where((F.col("component") != F.col("other_component")) & once & _may_link(percent))
-    across = across.select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other")).distinct()
-    tried = stars.select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other"))
-    across = store(across.join(tried, ["node", "other"], "left_anti"), "pairs")
+    untried = ~F.col("pivot").eqNullSafe(F.col("other")) & ~F.col("other_pivot").eqNullSafe(F.col("node"))
+    apart = (F.col("component") != F.col("other_component")) & once & untried
+    across = minor.join(others, "bucket").where(apart & _may_link(percent) & _reachable(percent))
+    across = store(across.select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other")).distinct(), "pairs")
     if not across.isEmpty():
         more = store(_confirmed(across, nodes, texts, percent), "confirmed")
-        parts = store(connected_components(links.unionByName(more)), "parts")
+        parts = store(connected_components(links.unionByName(_links(more))), "parts")
 
     member = (
         rows.select("row", "doc_id", "text_hash", "n_shingles", "set_key").join(heads.select("set_key", "node"), "set_key", "left")
