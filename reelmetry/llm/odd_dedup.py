@@ -162,6 +162,12 @@ def _links(compared: DataFrame) -> DataFrame:
     return compared.where("linked").select(F.col("node").alias("u"), F.col("other").alias("v"))
 
 
+def _first_meeting() -> Column:
+    """Whether ``bucket`` is the first that both nodes are in, so that a pair leaves the join once."""
+    shared = F.filter(F.zip_with("bands", "other_bands", lambda a, b: F.when(a == b, a)), lambda key: key.isNotNull())
+    return F.get(shared, 0) == F.col("bucket")
+
+
 def _reachable(percent: int) -> Column:
     """Whether a pair can still be a link, after both were compared with the same third node.
 
@@ -235,14 +241,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .where("parts > 1").select("bucket", F.col("most.component").alias("major"))
     )
     seen = compared.select("node", F.col("other").alias("pivot"), "shared", "bits")
-    members = store(placed.join(open_buckets, "bucket").join(light, "node").join(seen, "node", "left"), "members")
+    members = store(placed.join(open_buckets, "bucket").join(nodes.select("node", "n", "sketch", "bands"), "node").join(seen, "node", "left"), "members")
     minor = members.where("component <> major").drop("major")
-    twins = ("component", "n", "sketch", "pivot", "shared", "bits")
+    twins = ("component", "n", "sketch", "bands", "pivot", "shared", "bits")
     others = members.select("bucket", "major", F.col("node").alias("other"), *(F.col(c).alias(f"other_{c}") for c in twins))
     once = (F.col("other_component") == F.col("major")) | (F.col("node") < F.col("other"))
     untried = ~F.col("pivot").eqNullSafe(F.col("other")) & ~F.col("other_pivot").eqNullSafe(F.col("node"))
     apart = (F.col("component") != F.col("other_component")) & once & untried
-    across = minor.join(others, "bucket").where(apart & _may_link(percent) & _reachable(percent))
+    across = minor.join(others, "bucket").where(apart & _first_meeting() & _may_link(percent) & _reachable(percent))
     across = store(across.select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other")).distinct(), "pairs")
     if not across.isEmpty():
         more = store(_confirmed(across, nodes, texts, percent), "confirmed")
