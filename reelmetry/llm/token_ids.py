@@ -10,7 +10,7 @@ from itertools import islice
 import numpy as np
 
 #: Words remembered per worker process, and the longest of them.
-REMEMBERED, REMEMBERED_CHARS = 800_000, 48
+REMEMBERED, REMEMBERED_CHARS = 250_000, 48
 #: ASCII marks that no contraction begins with: a word of letters and one of them are two words for the pattern.
 _MARKS = frozenset(".,;:!?")
 
