@@ -12,6 +12,7 @@ from typing import Any
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 Turn = tuple[str, str]
 
@@ -148,9 +149,9 @@ def canonical_turns(records: DataFrame, record: str = "record", mappings: Iterab
     layouts = Layouts(mappings)
     added = ["schema", "turns", "formatted", "loss_spans", "error"]
     kept = [f for f in records.schema.fields if f.name not in added]
-    schema = records.select([f.name for f in kept]).schema
-    for name, kind in zip(added, ("string", "array<struct<role:string,text:string>>", "string", "array<struct<start:long,end:long>>", "string"), strict=True):
-        schema = schema.add(name, kind)
+    own = StructType.fromDDL(
+        "schema string, turns array<struct<role:string,text:string>>, formatted string, loss_spans array<struct<start:long,end:long>>, error string")
+    schema = StructType([*kept, *own.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema

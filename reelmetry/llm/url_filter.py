@@ -51,7 +51,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def matching_rule(rules: Sequence[Rule]) -> Column:
     """The longest rule that fits (``rule``, ``verdict``), null if none; of equal length the first given."""
-    chosen = F.lit(None)
+    chosen = F.lit(None).cast("struct<rule:string,verdict:string>")
     for rule in sorted(rules, key=lambda r: len(r.name)):
         fits = ((F.col("host") == rule.host) | F.endswith("host", F.lit("." + rule.host))) & F.startswith("path", F.lit(rule.path))
         named = F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.verdict).alias("verdict"))
