@@ -15,6 +15,7 @@ from reelmetry.functions.text import scrape_labels
 from reelmetry.functions.times import lag_seconds
 from reelmetry.operators.ordered import TARGET_ROWS, cut_regular, last_known, running_total
 from reelmetry.schemas import DEFAULT_BUCKETS
+from reelmetry.session import spread_count
 
 LABELS = ["application", "instance", "job"]
 
@@ -98,9 +99,11 @@ def scrape_grid(scraped: DataFrame, interval_seconds: float, labels: Sequence[st
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     bounds = scraped.groupBy(*labels).agg(F.min(at).alias("_from"), F.max(at).alias("_to"))
     steps = ((F.col("_to") - F.col("_from")) / width).cast("long")
-    blocks = bounds.withColumn("_steps", steps).withColumn(
+    sized = bounds.withColumn("_steps", steps)
+    pieces = sized.agg(F.sum((F.col("_steps") / block).cast("long") + 1)).first()[0] or 1
+    blocks = sized.withColumn(
         "_block", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("_steps") / block).cast("long")))
-    ).repartition(*labels, "_block")
+    ).repartition(spread_count(scraped.sparkSession, pieces), *labels, "_block")
     last = F.least(F.col("_steps"), (F.col("_block") + 1) * block - 1)
     ticks = blocks.withColumn("_step", F.explode(F.sequence(F.col("_block") * block, last))).select(
         *labels, "_step", (F.col("_from") + F.col("_step") * width).alias("_at")

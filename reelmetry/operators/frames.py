@@ -53,12 +53,13 @@ def split_leftovers(containers: DataFrame, shape: FrameShape = FrameShape(), con
 
 
 def decode_frames(containers: DataFrame, decoder: Decoder, content: str = "content", key: str = "path",
-                  on_error: str = "skip", batch: int = 64, open_in_task: bool = False) -> DataFrame:
+                  on_error: str = "null", batch: int = 64, open_in_task: bool = False) -> DataFrame:
     """Frames of encoded containers, through a decoder that runs in the tasks.
 
-    ``on_error``: ``skip`` leaves bad frames out, ``null`` keeps a row with the
-    message in their place, ``fail`` stops the job. A decoder that raises ends
-    its container there. Frames are yielded in small batches, so a task never
+    ``on_error``: ``null`` keeps a row with the message in a bad frame's place,
+    ``skip`` leaves it out, ``fail`` stops the job. A decoder that raises ends
+    its container there. Errors of opening or reading a file always fail the
+    task, so that Spark tries it again: a passing fault never shortens a video. Frames are yielded in small batches, so a task never
     holds a whole decoded video.
 
     With ``open_in_task`` the content column is not read: the task opens the
@@ -85,7 +86,7 @@ def decode_frames(containers: DataFrame, decoder: Decoder, content: str = "conte
                 elif on_error == "null":
                     yield name, number, None, "frame did not convert"
         except Exception as problem:
-            if on_error == "fail":
+            if on_error == "fail" or isinstance(problem, OSError):
                 raise
             if on_error == "null":
                 yield name, number + 1, None, str(problem)

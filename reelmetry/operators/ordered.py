@@ -233,7 +233,7 @@ def _chunk_names(df: DataFrame, order: str, profile: DataFrame, rows: int, piece
     pieces = min(pieces, MAX_NAME_CHUNKS)
     wanted = NAMES_PER_CHUNK * pieces
     sample = profile.select(order).filter(F.col(order).isNotNull()).sample(min(1.0, wanted / rows), seed=1)
-    names = sorted(row[0] for row in sample.limit(2 * wanted).toLocalIterator())
+    names = sorted(row[0] for row in sample.toLocalIterator())
     points = sorted({names[len(names) * i // pieces] for i in range(1, pieces)}) if names else []
     if not points:
         return None

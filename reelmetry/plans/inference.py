@@ -27,7 +27,7 @@ def infer(spark: SparkSession, video_path: str, model_path: str, out_path: str,
     """
     videos = read_binary(spark, video_path, glob)
     if decoder:
-        frames = decode_frames(videos, decoder, open_in_task=open_in_task)
+        frames = decode_frames(videos, decoder, open_in_task=open_in_task).drop("error")
     elif open_in_task:
         frames = raw_file_frames(spark, video_path, shape, glob)
     else:

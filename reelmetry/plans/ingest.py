@@ -37,9 +37,9 @@ def resized_messages(messages: DataFrame, shape: FrameShape = FrameShape(), heig
 
 
 def resize(spark: SparkSession, servers: str, checkpoint: str, source: str = kafka.FRAME_TOPIC,
-           target: str = kafka.PROCESSED_TOPIC, min_partitions: int | None = None) -> StreamingQuery:
-    """Frame topic to thumbnail topic."""
-    read = kafka.source_options(servers, source, starting="earliest", per_trigger=kafka.RECORDS_PER_POLL * 20,
+           target: str = kafka.PROCESSED_TOPIC, min_partitions: int | None = None, records_per_batch: int | None = None) -> StreamingQuery:
+    """Frame topic to thumbnail topic; a batch takes all there is unless ``records_per_batch`` says less."""
+    read = kafka.source_options(servers, source, starting="earliest", per_trigger=records_per_batch,
                                 min_partitions=min_partitions)
     messages = resized_messages(kafka.read_stream(spark, read))
     return kafka.write_stream(messages, kafka.sink_options(servers, target), checkpoint).start()

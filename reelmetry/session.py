@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -36,6 +35,12 @@ def shuffle_partitions(input_bytes: int) -> int:
     return min(max(wanted, FEWEST_PARTITIONS), MOST_PARTITIONS)
 
 
+def spread_count(spark: SparkSession, units: int) -> int:
+    """Tasks for so many independent pieces of work whose rows are too small for adaptive execution to keep apart."""
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return max(1, min(units, most))
+
+
 def build_session(app_name: str = "reelmetry", master: str | None = None, input_bytes: int | None = None,
                   **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -50,17 +55,13 @@ def build_session(app_name: str = "reelmetry", master: str | None = None, input_
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can read, for written intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local master, where
-    driver and executors are one process, may fall back to a temporary folder.
+    A cluster names it in ``spark.checkpoint.dir``; without that setting it is a
+    folder in the warehouse, which all executors share as well.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="reelmetry-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    return f"{spark.conf.get('spark.sql.warehouse.dir', 'spark-warehouse').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

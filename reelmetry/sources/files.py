@@ -14,6 +14,7 @@ from reelmetry.operators.labels import parse_image_list
 from reelmetry.operators.series import ordered_files
 from reelmetry.operators.skew import BROADCAST_ROWS, rows_within
 from reelmetry.schemas import IMAGE_LIST_SCHEMA, METRIC_CSV_SCHEMA, METRICS, FrameShape
+from reelmetry.session import spread_count
 from reelmetry.sources.slices import slice_reader
 
 # --- fixed values: file name patterns ---
@@ -47,12 +48,10 @@ def read_videos(spark: SparkSession, folder: str, tasks: int | None = None, glob
     return files.repartition(tasks, "path") if tasks else files
 
 
-def stream_videos(spark: SparkSession, folder: str, glob: str = VIDEO_GLOB, files_per_batch: int = 16) -> DataFrame:
-    """New video files as they appear; each file once per checkpoint."""
-    return (
-        spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-        .option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_batch).load(folder)
-    )
+def stream_videos(spark: SparkSession, folder: str, glob: str = VIDEO_GLOB, files_per_batch: int | None = None) -> DataFrame:
+    """New video files as they appear; each file once per checkpoint, all that are there in a batch unless ``files_per_batch`` says less."""
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).load(folder)
 
 
 def read_image_list(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -87,6 +86,8 @@ def lookup_images(listed: DataFrame, images: DataFrame, limit: int = BROADCAST_R
     right = images.withColumn("_path", bare_path(F.col("path"))).drop("path")
     if rows_within(listed, limit):
         left = F.broadcast(left)
+    else:
+        left = left.hint("merge")
     return right.join(left, "_path").drop("_path")
 
 
@@ -127,7 +128,7 @@ def read_metric_files(spark: SparkSession, base: str, skip_unreadable: bool = Fa
     ``seq`` increases in file order: a split's byte offset plus the row number
     in its task. A row takes more than one byte, so a task never counts as many
     rows as the bytes between two splits of a file. ``time_text`` is the raw
-    timestamp; an unreadable value is null and its row stays. An unreadable
+    timestamp; an unreadable value or ``NaN`` is null and its row stays. An unreadable
     file stops the job, or with ``skip_unreadable`` is passed over; a series
     without rows then shows in ``missing_files``.
     """
@@ -140,7 +141,7 @@ def read_metric_files(spark: SparkSession, base: str, skip_unreadable: bool = Fa
     )
     return series_of_path(located, "_p").select(
         "producer", "metric", F.col("timestamp").alias("time_text"),
-        parse_sample_time(F.col("timestamp")).alias("ts"), "value", "seq",
+        parse_sample_time(F.col("timestamp")).alias("ts"), F.when(~F.isnan("value"), F.col("value")).alias("value"), "seq",
     )
 
 
@@ -176,5 +177,8 @@ def raw_file_frames(spark: SparkSession, folder: str, shape: FrameShape = FrameS
     first = F.col("_slice") * frames_per_slice
     ranges = slices.select(
         "path", first.alias("first"), F.least(F.lit(frames_per_slice), F.col("_frames") - first).alias("n")
-    ).repartition("path", "first")
+    )
+    # The rows are a few bytes each: without a number, adaptive execution would merge them into one task.
+    pieces = listing.agg(F.sum(F.ceil(F.col("_frames") / frames_per_slice))).first()[0] or 1
+    ranges = ranges.repartition(spread_count(spark, pieces), "path", "first")
     return ranges.mapInArrow(slice_reader(size), "path string, frame_seq bigint, data binary")

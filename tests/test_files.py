@@ -173,3 +173,29 @@ def test_two_decimals_like_python(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     assert [r[0] for r in df.select(X.two_decimals(F.col("v"))).collect()] == [f"{v:.2f}" for v in values]
     assert df.select(X.two_decimals(F.lit(None).cast("double"))).first()[0] == "nan"
+
+
+def test_not_a_number_is_no_value(spark, tmp_path):
+    folder = tmp_path / "producer-1"
+    folder.mkdir()
+    (folder / "CPU.csv").write_text("2024-01-01 00:00:00,1\n2024-01-01 00:00:01,NaN\n2024-01-01 00:00:02,\n2024-01-01 00:00:03,3\n")
+    got = SF.read_metric_files(spark, str(tmp_path)).orderBy("seq").collect()
+    assert [r["value"] for r in got] == [1.0, None, None, 3.0]
+
+
+def test_slices_and_blocks_land_in_many_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from reelmetry.operators import counters as C
+    from reelmetry.schemas import FrameShape
+    from reelmetry.session import spread_count
+
+    (tmp_path / "video_01.mp4").write_bytes(bytes(48 * 800))
+    frames = SF.raw_file_frames(spark, str(tmp_path), FrameShape(4, 4, 3), frames_per_slice=1)
+    wanted = spread_count(spark, 800)
+    assert frames.count() == 800
+    assert frames.select(F.spark_partition_id()).distinct().count() >= wanted // 2
+    scraped = spark.sql("SELECT 'a' AS application, 'b' AS instance, 'c' AS job, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 3998) AS ts, "
+                        "double(id) AS value FROM range(2)")
+    grid = C.scrape_grid(scraped, 2.0, block=1)
+    assert grid.count() == 2000

@@ -110,8 +110,18 @@ def test_decoding_opened_files(spark, videos):
     assert as_dict(got) == expected_frames(payloads)
     assert "content" not in got._jdf.queryExecution().executedPlan().toString()
     gone = containers.select(F.concat("path", F.lit(".gone")).alias("path"))
-    errors = FR.decode_frames(gone, read_frames, open_in_task=True, on_error="null").collect()
-    assert len(errors) == 2 and all(r.data is None and "gone" in r.error for r in errors)
+    with pytest.raises(PythonException, match="gone"):
+        FR.decode_frames(gone, read_frames, open_in_task=True).collect()
+
+
+def test_read_errors_fail_the_task(spark, videos):
+    def torn(payload):
+        yield payload[:48]
+        raise OSError("disk went away")
+
+    for on_error in ("null", "skip"):
+        with pytest.raises(PythonException, match="disk went away"):
+            FR.decode_frames(SF.read_videos(spark, str(videos[0])), torn, on_error=on_error).collect()
 
 
 def test_decode_can_fail(spark, videos, broken_decoder):

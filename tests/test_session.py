@@ -2,8 +2,6 @@
 
 from types import SimpleNamespace
 
-import pytest
-
 from reelmetry import session
 
 
@@ -19,13 +17,15 @@ def test_shared_folder_comes_from_the_session():
     assert session.scratch_path(fake("yarn", "hdfs://name/scratch/"), "wide").startswith("hdfs://name/scratch/wide-")
 
 
-def test_a_cluster_without_a_shared_folder_is_an_error():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_dir(fake("spark://host:7077"))
+def test_without_the_setting_the_warehouse_is_shared(spark):
+    plain = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: {"spark.sql.warehouse.dir": "hdfs://name/house/"}.get(key, default)),
+                            sparkContext=SimpleNamespace(getConf=lambda: SimpleNamespace(get=lambda key: None)))
+    assert session.shared_dir(plain) == "hdfs://name/house/_scratch"
 
 
-def test_a_local_master_may_use_a_temporary_folder():
-    assert "reelmetry-" in session.shared_dir(fake("local[4]"))
+def test_small_pieces_are_spread(spark):
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    assert session.spread_count(spark, 1) == 1 and session.spread_count(spark, 800) == wanted
 
 
 def test_shuffle_partitions():
