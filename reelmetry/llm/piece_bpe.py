@@ -21,7 +21,7 @@ from reelmetry.llm.common import slices, strings
 #: The character that stands for a space in pieces.
 SPACE = "▁"
 #: Chunks up to this length are remembered, so many at most.
-REMEMBERED_CHARS, REMEMBERED = 64, 250_000
+REMEMBERED_CHARS, REMEMBERED = 64, 700_000
 
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
