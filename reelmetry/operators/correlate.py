@@ -28,7 +28,9 @@ def correlation_matrix(wide: DataFrame, metrics: Sequence[str] = tuple(CORRELATE
         *[F.expr(f"max(`{m}`) > min(`{m}`)").alias(f"_v_{m}") for m in metrics],
     )
     fits = few_groups(wide if bound is None else bound, ["producer"])
-    joined = attach_small(wide.select("producer", "ts", *metrics), centres, ["producer"], fits=fits, spread_by="ts")
+    # The time differs from row to row, a metric may be constant.
+    times = [c for c in wide.columns if c == "ts"]
+    joined = attach_small(wide.select("producer", *times, *metrics), centres, ["producer"], fits=fits, spread_by=(times or metrics)[0])
     deviations = joined.selectExpr(
         "producer", *[f"CASE WHEN `_v_{m}` THEN `{m}` - `_m_{m}` END AS `{m}`" for m in metrics]
     )
