@@ -10,22 +10,11 @@ from itertools import islice
 import numpy as np
 
 #: Words remembered per worker process, and the longest of them.
-REMEMBERED, REMEMBERED_CHARS = 250_000, 48
+REMEMBERED, REMEMBERED_CHARS = 300_000, 48
 #: ASCII marks that no contraction begins with: a word of letters and one of them are two words for the pattern.
 _MARKS = frozenset(".,;:!?")
 
 
-def _places(items: list) -> list[int]:
-    """Where a list has None."""
-    out, at = [], -1
-    try:
-        while True:
-            at = items.index(None, at + 1)
-            out.append(at)
-    except ValueError:
-        return out
-
-
 class WordIds:
     """Ids of texts as little-endian bytes.
 
@@ -61,7 +50,7 @@ class WordIds:
         suffix = spec["model"].get("end_of_word_suffix")
         self.ends = np.array([(self.model.id_to_token(i) or "").endswith(suffix) for i in range(self.model.get_vocab_size())]) if suffix else None
         self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.marks = dict(zip(sorted(_MARKS), self._encoded(sorted(_MARKS)), strict=True))
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
@@ -94,27 +83,17 @@ class WordIds:
         low = text.lower()
         return text if any(s in low for s in self.specials) else low
 
-    def learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of new words; letters before a mark are encoded apart and remembered."""
-        if len(self.parts) > REMEMBERED:
-            self.parts = dict(islice(self.parts.items(), REMEMBERED // 2))
-        parts, head, whole = self.parts, {}, []
-        for w in words:
-            if w.isalpha():
-                head[w] = w
-            elif w[-1:] in _MARKS and w[:-1].isalpha():
-                head[w] = w[:-1]
-            else:
-                whole.append(w)
-        fresh = [p for p in set(head.values()) if p not in parts]
-        parts.update(zip(fresh, self._encoded_words(fresh), strict=True))
-        marks = {m: b for m, b in zip(sorted(_MARKS), self._encoded(sorted(_MARKS)), strict=True)}
-        found = {w: parts[p] if len(p) == len(w) else parts[p] + marks[w[-1]] for w, p in head.items()}
-        found.update(zip(whole, self._encoded(whole), strict=True))
-        for p in fresh:
-            if len(p) > REMEMBERED_CHARS:
-                del parts[p]
-        return found
+    def learn(self, words: set[str]) -> None:
+        """Remember the ids of new words; letters before a mark are encoded apart and remembered too."""
+        known = self.words
+        letters = [w for w in words if w.isalpha()]
+        rest = words.difference(letters)
+        marked = {w: w[:-1] for w in rest if w[-1:] in _MARKS and w[:-1].isalpha()}
+        letters += set(marked.values()).difference(known).difference(letters)
+        known.update(zip(letters, self._encoded_words(letters), strict=True))
+        known.update([(w, known[part] + self.marks[w[-1]]) for w, part in marked.items()])
+        whole = list(rest.difference(marked))
+        known.update(zip(whole, self._encoded(whole), strict=True))
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         if not self.apart:
@@ -123,16 +102,14 @@ class WordIds:
             self.words = dict(islice(self.words.items(), REMEMBERED // 2))
         known = self.words
         split = [self._lowered(t).replace("\n", " ").split(" ") for t in texts]
-        found = [list(map(known.get, words)) for words in split]
-        gaps = [_places(ids) for ids in found]
-        new = {words[i] for words, at in zip(split, gaps, strict=True) for i in at}
-        if new:
-            fresh = self.learn(new)
-            for words, ids, at in zip(split, found, gaps, strict=True):
-                for i in at:
-                    ids[i] = fresh[words[i]]
-            known.update((w, b) for w, b in fresh.items() if len(w) <= REMEMBERED_CHARS)
-        return [b"".join(ids) for ids in found]
+        new = set().union(*split).difference(known)
+        self.learn(new)
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        for w in [w for w in new if len(w) > REMEMBERED_CHARS]:
+            del known[w]
+            if w[-1] in _MARKS:
+                known.pop(w[:-1], None)
+        return out
 
 
 @lru_cache(maxsize=2)
