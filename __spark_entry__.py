@@ -135,9 +135,9 @@ STAT_SQL = {
 }
 
 
-def _stats_sql(names) -> str:
+def _stats_sql(names, samples: str = SAMPLES) -> str:
     columns = ", ".join(f"round({STAT_SQL[n]}, 6) AS {n}" for n in names)
-    return f"""WITH {SAMPLES}, diffs AS (
+    return f"""WITH {samples}, diffs AS (
       SELECT *, value - lag(value) OVER (PARTITION BY producer, metric ORDER BY seq) AS diff FROM samples)
       SELECT producer, {columns} FROM diffs GROUP BY producer"""
 
@@ -669,12 +669,14 @@ def transformed_frames(spark, sf):
     return stage.transform(V.frames8(spark, sf, color=True)).select("vec_id", F.hex("small").alias("data"))
 
 
-@register("frame_errors", """SELECT doc_id AS path, CASE WHEN n <> 64 THEN 'frame size ' || n || ' is not 64' END AS error
-  FROM (SELECT doc_id, octet_length(encode(lang || source)) AS n FROM documents)""")
+@register("frame_errors", """SELECT doc_id AS path, CASE WHEN n <> 64 THEN 'frame size ' || n || ' is not 64' END AS error, CASE WHEN n = 64 THEN 4 END AS small_bytes
+  FROM (SELECT doc_id, octet_length(encode(CASE WHEN doc_id % 2 = 0 THEN rpad(lang || source, 64, '.') ELSE lang || source END)) AS n FROM documents)""")
 def frame_errors(spark, sf):
-    """Payloads that are no frame give a message and a null, never a failure."""
-    docs = V.table(spark, sf, "documents").select(F.col("doc_id").alias("path"), F.encode(F.concat("lang", "source"), "UTF-8").alias("data"))
-    return FR.resize_frames(docs, TEXT_FRAME, 2, 2).filter(F.col("data").isNull()).select("path", "error")
+    """Payloads that are no frame give a message and a null, never a failure; every other document is made a frame."""
+    named = F.concat("lang", "source")
+    payload = F.when(F.col("doc_id") % 2 == 0, F.rpad(named, 64, ".")).otherwise(named)
+    docs = V.table(spark, sf, "documents").select(F.col("doc_id").alias("path"), F.encode(payload, "UTF-8").alias("data"))
+    return FR.resize_frames(docs, TEXT_FRAME, 2, 2).select("path", "error", F.octet_length("data").alias("small_bytes"))
 
 
 def _wide_cells(x: int, channel: int) -> str:
@@ -704,10 +706,11 @@ def feature_values(spark, sf):
     return V.frames8(spark, sf).select("vec_id", F.concat_ws(",", values.cast("array<int>")).alias("features"))
 
 
-@register("non_empty_payloads", """SELECT doc_id, hex(encode(regexp_extract(text, '[0-9]+'))) AS data FROM documents
-  WHERE regexp_extract(text, '[0-9]+') <> ''""")
+@register("non_empty_payloads", """SELECT doc_id, hex(encode(regexp_replace(text, '[^0-9]', '', 'g'))) AS data FROM documents
+  WHERE regexp_replace(text, '[^0-9]', '', 'g') <> ''""")
 def non_empty_payloads(spark, sf):
-    payload = F.encode(F.regexp_extract("text", "([0-9]+)", 1), "UTF-8")
+    """All digits of a text as its payload; texts without any have an empty one."""
+    payload = F.encode(F.regexp_replace("text", "[^0-9]", ""), "UTF-8")
     docs = V.table(spark, sf, "documents").select("doc_id", payload.alias("data"))
     return FR.drop_empty(docs).withColumn("data", F.hex("data"))
 
@@ -737,6 +740,40 @@ def metric_file_samples(spark, sf):
     return rounded(S.mean_duplicates(located), "value")
 
 
+#: A seventh of the samples is NaN in the files, an eleventh empty: no value, but a row.
+GAPPED = SAMPLES.replace("ts, value,", "date_trunc('hour', ts)::TIMESTAMP AS ts, CASE WHEN event_id % 7 <> 0 AND event_id % 11 <> 0 THEN value END AS value,")
+
+
+def _metric_files(spark, sf):
+    """The samples as CSV files, a folder per producer and metric, read back."""
+    value = F.when(F.col("seq") % 7 == 0, "NaN").when(F.col("seq") % 11 != 0, F.col("value").cast("string"))
+    rows = V.hourly_samples(spark, sf).select(
+        "producer", F.concat("metric", F.lit(".csv")).alias("metric"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), value.alias("value"), "seq")
+    path = scratch_path(spark, "metric-files")
+    in_order = rows.repartition("producer", "metric").sortWithinPartitions("producer", "metric", "seq").drop("seq")
+    in_order.write.partitionBy("producer", "metric").csv(path)
+    return SF.read_metric_files(spark, path)
+
+
+#: Statistics of values; "last value" is that of the last row, which may have none.
+_VALUE_STATS = [n for n in STAT_SQL if not n.endswith("_total")]
+
+
+@register("metric_files_statistics", _stats_sql(_VALUE_STATS, GAPPED))
+def metric_files_statistics(spark, sf):
+    """The report's statistics from files with NaN and empty values."""
+    return rounded(R.producer_stats(_metric_files(spark, sf)).select("producer", *_VALUE_STATS), *_VALUE_STATS)
+
+
+@register("metric_files_samples", f"""WITH {GAPPED} SELECT producer, metric, ts, count(*) AS rows, count(value) AS filled, round(sum(value), 6) AS total
+  FROM samples GROUP BY ALL""")
+def metric_files_samples(spark, sf):
+    """What the files hold, by producer, metric and hour."""
+    found = _metric_files(spark, sf).groupBy("producer", "metric", "ts").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("value").alias("filled"), F.sum("value").alias("total"))
+    return rounded(found, "total")
+
+
 @register("missing_metric_files", f"""WITH s AS (SELECT DISTINCT user_id::VARCHAR AS producer, ({_sql_list(METRICS)})[event_id % 12 + 1] AS metric FROM events),
   e AS (SELECT DISTINCT producer, unnest({_sql_list(METRICS)}) AS metric FROM s)
   SELECT producer, metric FROM e ANTI JOIN s USING (producer, metric)""")
@@ -939,25 +976,40 @@ def best_model(spark, sf):
     return TR.best_of_table(L.union_lists(*scores))
 
 
-def _embedding_features(spark, sf):
-    vectors = V.table(spark, sf, "embeddings").select(
-        "vec_id", F.concat(F.lit("class"), F.col("label")).alias("label"),
-        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
-    )
+def _separable_features(spark, sf):
+    """Features whose classes every candidate can part, so that SQL knows the answers.
+
+    The label as ten 0/1 columns (a linear model parts these) and ten times as a
+    number (a tree of depth 5 parts those, whichever columns it may look at).
+    """
+    label = F.col("label").cast("double")
+    marks = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: (label == i).cast("double"))
+    made = V.table(spark, sf, "embeddings").withColumn("features", array_to_vector(F.concat(marks, F.array_repeat(label, 10))))
+    vectors = made.select("vec_id", F.concat(F.lit("class"), F.col("label")).alias("label"), "features")
     return TR.index_labels(vectors)
 
 
-@register("trained_models")
+_LABEL_RANKS = """ranks AS (SELECT label, (row_number() OVER (ORDER BY count(*) DESC, 'class' || label) - 1)::DOUBLE AS rank
+  FROM embeddings GROUP BY label)"""
+#: What a right model predicts is the label's rank; its F1 comes from the counts, as for any prediction.
+_RIGHT_F1 = f"""SELECT sum(n * 2.0 * hit / (n + told)) / sum(n) AS f1 FROM (SELECT label, count(*) AS n, count(*) FILTER (told = rank) AS hit
+  FROM told GROUP BY label) JOIN (SELECT rank, label FROM ranks) USING (label) JOIN (SELECT told AS rank, count(*) AS told FROM told GROUP BY 1) USING (rank)"""
+
+
+@register("trained_models", f"""WITH {_LABEL_RANKS}, told AS (SELECT label, rank, rank AS told FROM embeddings JOIN ranks USING (label)), score AS ({_RIGHT_F1})
+  SELECT priority, model, round(f1, 6) AS f1, priority = 0 AS best FROM score, (VALUES (0::BIGINT, 'Random Forest'), (1, 'Logistic Regression'),
+    (2, 'Decision Tree')) m(priority, model)""")
 def trained_models(spark, sf):
-    """Cross-validated classifiers on the embeddings, with their held-out F1."""
-    best, scored = TR.fit_and_select(_embedding_features(spark, sf), "vec_id")
-    return TR.score_table(spark, best, scored)
+    """Cross-validated classifiers on the embeddings' labels, with their held-out F1; on a tie the first is the best."""
+    best, scored = TR.fit_and_select(_separable_features(spark, sf), "vec_id")
+    return rounded(TR.score_table(spark, best, scored), "f1")
 
 
-@register("predictions")
+@register("predictions", f"""WITH {_LABEL_RANKS} SELECT vec_id, rank AS prediction, 1.0::DOUBLE AS probability_sum,
+  (SELECT count(*) FROM ranks)::INT AS classes FROM embeddings JOIN ranks USING (label)""")
 def predictions(spark, sf):
-    """A model is fitted, saved, loaded and applied to all rows."""
-    features = _embedding_features(spark, sf)
+    """A model is fitted, saved, loaded and applied to all rows; it tells every row's label index."""
+    features = _separable_features(spark, sf)
     regression = TR.candidates()[1]
     path = scratch_path(spark, "model")
     K.save_model(regression.pipeline.fit(features), path)
