@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from reelmetry.functions.pixels import resize_image
 from reelmetry.operators.frames import with_features
 from reelmetry.operators.labels import down_sample, with_fold, with_split
-from reelmetry.operators.skew import store
+from reelmetry.operators.skew import BROADCAST_ROWS, rows_within, store
 from reelmetry.sinks.tables import save_model
 from reelmetry.sources.files import lookup_images, read_image_list, read_images
 
@@ -102,26 +102,31 @@ def score_table(spark: SparkSession, best: Scored, scored: list[Scored]) -> Data
     )
 
 
-def image_features(spark: SparkSession, list_path: str, image_path: str | list[str]) -> DataFrame:
-    """Labelled feature vectors of the listed images that can be read.
+def image_features(spark: SparkSession, listed: DataFrame, image_path: str | list[str]) -> DataFrame:
+    """Feature vectors of the images in ``listed`` (``image_path`` and more) that can be read.
 
-    Images are shrunk before they meet the list, so that a join by shuffle
+    A list of checked size is broadcast and picks the images before they are
+    shrunk. With a longer one they are shrunk first, so that the join by shuffle
     moves thumbnails, never the images.
     """
-    thumbnails = read_images(spark, image_path).select("path", resize_image(F.col("image")).alias("data"))
-    found = lookup_images(read_image_list(spark, list_path), thumbnails.filter(F.col("data").isNotNull()))
-    return with_features(found).drop("data")
+    images = read_images(spark, image_path)
+    data = resize_image(F.col("image")).alias("data")
+    if rows_within(listed, BROADCAST_ROWS):
+        found = lookup_images(listed, images).select(*listed.columns, data)
+    else:
+        found = lookup_images(listed, images.select("path", data))
+    return with_features(found.filter(F.col("data").isNotNull())).drop("data")
 
 
 def train(spark: SparkSession, list_path: str, image_path: str | list[str], model_path: str,
           fraction: float = 0.01, tries: list[Candidate] | None = None) -> DataFrame:
-    """The training job. Features are computed once and kept as a table."""
-    features = store(image_features(spark, list_path, image_path), "features")
+    """The training job. The list is sampled by key first; only the sample's features are made, once, and kept as a table."""
+    # The label index is fitted before sampling, on the whole list: it only needs names.
+    sampled = store(down_sample(index_labels(read_image_list(spark, list_path)), "image_path", fraction), "sample")
+    features = store(image_features(spark, sampled, image_path), "features")
     if features.isEmpty():
-        raise ValueError("no readable images in the list")
-    # The label index is fitted before sampling, on all rows: it only needs names.
-    sampled = down_sample(index_labels(features), "image_path", fraction)
-    best, scored = fit_and_select(sampled, "image_path", tries)
+        raise ValueError("no readable images in the sampled list")
+    best, scored = fit_and_select(features, "image_path", tries)
     save_model(best.model, model_path)
     return score_table(spark, best, scored)
 

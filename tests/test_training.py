@@ -4,13 +4,16 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from reelmetry.operators import labels as L
 from reelmetry.operators.frames import with_features
 from reelmetry.plans import inference, training
 from reelmetry.schemas import FrameShape
+from reelmetry.sources.files import read_image_list
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_buckets_do_not_depend_on_partitioning(spark):
@@ -91,10 +94,30 @@ def test_training_job(spark, trained):
     folder, model, scores = trained
     assert [r.model for r in scores] == ["Random Forest", "Logistic Regression", "Decision Tree"]
     assert sum(r.best for r in scores) == 1 and max(r.f1 for r in scores) == next(r.f1 for r in scores if r.best)
-    assert training.image_features(spark, str(folder / "list.csv"), str(folder)).count() == 40
+    listed = read_image_list(spark, str(folder / "list.csv"))
+    found = training.image_features(spark, listed, str(folder))
+    assert found.count() == 40 and found.columns == ["image_path", "label", "features"]
     assert len(PipelineModel.load(model).stages) == 1
 
 
+def test_a_long_list_gives_the_same_features(spark, trained, monkeypatch):
+    folder, _, _ = trained
+    listed = read_image_list(spark, str(folder / "list.csv")).filter("label = 'dark'")
+    short = {r.image_path: r.features for r in training.image_features(spark, listed, str(folder)).collect()}
+    monkeypatch.setattr(training, "BROADCAST_ROWS", 5)
+    assert {r.image_path: r.features for r in training.image_features(spark, listed, str(folder)).collect()} == short
+    assert len(short) == 20
+
+
+def test_models_on_real_embeddings(spark):
+    """Features that part the classes only in part: scores lie between chance and certainty, the best is marked."""
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").select(
+        "vec_id", F.col("label").cast("string").alias("label"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    best, scored = training.fit_and_select(training.index_labels(rows), "vec_id", training.candidates(**SMALL))
+    assert all(0 <= s.f1 <= 1 for s in scored) and best.f1 == max(s.f1 for s in scored)
+    assert best.model.transform(training.index_labels(rows)).filter("prediction IS NULL").isEmpty()
+
+
 def test_no_readable_image_is_an_error(spark, tmp_path):
     (tmp_path / "bad.png").write_bytes(b"x")
     (tmp_path / "list.csv").write_text(f"image_path,label\n{tmp_path}/bad.png,a\n")
