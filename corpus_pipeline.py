@@ -11,6 +11,9 @@ from reelmetry.llm.secret_markov import redact
 from reelmetry.llm.toxicity_chain import keep_civil
 from reelmetry.operators.skew import store
 
+#: Near copies share this percentage of their five-word shingles or more; op 2's contract has its own.
+SIMILARITY = 80
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain doesn't call toxic."""
@@ -19,7 +22,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return keep_one(docs)
+    return keep_one(docs, SIMILARITY)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -89,7 +89,7 @@ def words_of(text):
     return re.findall(r"[^\x20\x09-\x0D]+", low)
 
 
-def brute_components(rows):
+def brute_components(rows, percent=85):
     sets = [(i, frozenset(tuple(w[k:k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else []))
             for i, w in ((i, words_of(t)) for i, t in rows)]
     parent = list(range(len(sets)))
@@ -102,7 +102,7 @@ def brute_components(rows):
     for a in range(len(sets)):
         for b in range(a):
             x, y = sets[a][1], sets[b][1]
-            if x and y and 100 * len(x & y) >= 85 * len(x | y):
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
                 parent[find(a)] = find(b)
     groups = collections.defaultdict(list)
     for n, (i, _) in enumerate(sets):
@@ -409,3 +409,15 @@ def test_pipeline(spark, docs):
     assert not any(brute_spans(t) for _, t in texts(kept))
     packed = corpus_pipeline.run(spark, SF)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == stay
+
+
+def test_pipeline_near_copies_from_eighty_percent(spark):
+    import corpus_pipeline
+
+    base = [f"w{n}" for n in range(100)]
+    changed = lambda *at: " ".join(f"x{n}" if n in at else w for n, w in enumerate(base))
+    rows = [(1, " ".join(base)), (2, changed(30, 60)), (3, changed(20, 50, 80))]  # 86 / 106 and 81 / 111 of the first's shingles
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    stay = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, SF).collect()}
+    assert stay == {i for i, _, c in brute_components(rows, 80) if i == c} == {1, 3}
+    assert components(df) == brute_components(rows) and len({c for *_, c in components(df)}) == 3
