@@ -22,10 +22,15 @@ LEAST_VALUE = 6
 #: The kind of the spans that the models add.
 ADDED = "random"
 
-#: Characters of identifiers; what the models judge is a whole run of at least LEAST_RUN of them.
+#: Characters of identifiers; what the models judge is every stretch of a run of at least LEAST_RUN of them.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 LEAST_RUN = 16
 RUN = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{LEAST_RUN},}}"
+#: Least length of a likely stretch, so that two or three odd letters in a word don't make one; and the rest of a run that
+#: is taken with it, as a few letters of a random string may look ordinary.
+LEAST_STRETCH, LEAST_REST = 10, 6
+#: What joins words in paths and slugs; a stretch reaches to the nearest, if that is fewer than LEAST_RUN characters off.
+JOINS = "/_-"
 
 #: Bounds of the labelled samples: documents whose words are ordinary, strings of each random kind.
 SAMPLE_DOCUMENTS, SAMPLE_STRINGS = 1_000, 4_000
@@ -66,6 +71,16 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(long_enough, access, matches_with_places(text, HEX, 2)))
 
 
+def _to_join(inner: Column, outside: Column) -> Column:
+    """Characters of ``outside`` to add to ``inner``, or below 0 to drop from it, so that the part at their border is whole.
+
+    ``inner`` starts at the border. A part of which it has the smaller share is dropped, unless it has no other.
+    """
+    part, joins = F.length(F.regexp_extract(inner, rf"^[^{JOINS}]*", 0)), F.length(F.regexp_extract(inner, rf"^[^{JOINS}]*[{JOINS}]*", 0))
+    rest = F.length(F.regexp_extract(outside, rf"^[^{JOINS}]*", 0)) % LEAST_RUN
+    return F.when((part == 0) | ((part < rest) & (part < F.length(inner))), -joins).otherwise(rest)
+
+
 @dataclass
 class MarkovPair:
     """Log-likelihood ratios of character transitions (random against ordinary), row by row, and the deciding total.
@@ -76,21 +91,61 @@ class MarkovPair:
     ratios: list[float]
     threshold: float
 
-    def ratio(self, token: Column) -> Column:
-        """The log-likelihood ratio of a run of ALPHABET characters."""
+    def _walked(self, token: Column) -> Column:
+        """``out`` (start, end of the stretches that the random model explains far better) and ``most`` (the best one's ratio) of a run.
+
+        A running sum of the ratios starts anew where it isn't positive, or has fallen from its best by the threshold;
+        a stretch ends at its best. So neither ordinary text around a secret nor another secret hides it.
+        """
         states = len(ALPHABET) + 1
         table = F.from_json(F.lit(json.dumps(self.ratios)), "array<double>")
-        start = F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("state"))
+        none = F.array().cast("array<struct<start:int,end:int>>")
+        zero = {"at": 0, "state": 0, "total": 0.0, "start": 0, "best": 0.0, "end": 0, "most": 0.0}
+        start = F.struct(*(F.lit(v).alias(k) for k, v in zero.items()), none.alias("out"))
+
+        def closed(acc: Column) -> Column:
+            likely = (acc["best"] >= self.threshold) & (acc["end"] - acc["start"] >= LEAST_STRETCH)
+            return F.when(likely, F.concat(acc["out"], F.array(F.struct(acc["start"].alias("start"), acc["end"].alias("end"))))).otherwise(acc["out"])
 
         def step(acc: Column, letter: Column) -> Column:
             state = F.instr(F.lit(ALPHABET), letter)
-            return F.struct((acc["total"] + F.get(table, acc["state"] * states + state)).alias("total"), state.alias("state"))
+            over = (acc["total"] <= 0) | (acc["total"] < acc["best"] - self.threshold)
+            total = F.when(over, 0.0).otherwise(acc["total"]) + F.get(table, acc["state"] * states + state)
+            best = F.when(over, 0.0).otherwise(acc["best"])
+            return F.struct(
+                (acc["at"] + 1).alias("at"), state.alias("state"), total.alias("total"), F.when(over, acc["at"]).otherwise(acc["start"]).alias("start"),
+                F.greatest(best, total).alias("best"), F.when(total > best, acc["at"] + 1).otherwise(acc["end"]).alias("end"),
+                F.greatest(acc["most"], total).alias("most"), F.when(over, closed(acc)).otherwise(acc["out"]).alias("out"))
 
-        return F.aggregate(F.split(token, ""), start, step)["total"]
+        return F.aggregate(
+            F.split(token, ""), start, step, lambda acc: F.struct(closed(acc).alias("out"), acc["most"].alias("most")))
+
+    def ratio(self, token: Column) -> Column:
+        """The highest log-likelihood ratio of a stretch of a run of ALPHABET characters."""
+        return self._walked(token)["most"]
 
     def spans(self, text: Column, base: Column) -> Column:
-        """Runs that the random model explains far better, apart from the base spans."""
-        likely = F.filter(matches_with_places(text, RUN, len(KINDS)), lambda m: self.ratio(m["value"]) >= self.threshold)
+        """Stretches of runs that the random model explains far better, apart from the base spans."""
+
+        def placed(run: Column) -> Column:
+            def span(found: Column) -> Column:
+                size = F.length(run["value"])
+                inner = F.substr(run["value"], found["start"] + 1, found["end"] - found["start"])
+                before = F.substr(run["value"], F.greatest(found["start"] - LEAST_RUN, F.lit(0)) + 1, F.least(found["start"], F.lit(LEAST_RUN)))
+                after = F.substr(run["value"], found["end"] + 1, F.lit(LEAST_RUN))
+                back, ahead = _to_join(inner, F.reverse(before)), _to_join(F.reverse(inner), after)
+                fits = found["end"] + ahead > found["start"] - back
+                start = F.when(fits, found["start"] - back).otherwise(found["start"])
+                end = F.when(fits, found["end"] + ahead).otherwise(found["end"])
+                start = F.when(start < LEAST_REST, 0).otherwise(start)
+                end = F.when(size - end < LEAST_REST, size).otherwise(end)
+                return F.struct(
+                    (run["start"] + start).alias("start"), run["kind"].alias("kind"), (run["start"] + end).alias("end"),
+                    F.substr(run["value"], start + 1, end - start).alias("value"))
+
+            return F.transform(self._walked(run["value"])["out"], span)
+
+        likely = F.flatten(F.transform(matches_with_places(text, RUN, len(KINDS)), placed))
         return F.filter(likely, lambda m: ~F.exists(base, lambda b: (m["start"] < b["end"]) & (b["start"] < m["end"])))
 
 

@@ -262,6 +262,26 @@ def test_markov_models(spark, docs):
     assert secret_markov.train(spark.createDataFrame([], "token string, random boolean")).threshold == secret_markov.LEAST_RATIO
 
 
+BASE62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def random_strings(seed, size, count):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(BASE62) for _ in range(size)) for _ in range(count)]
+
+
+def test_secrets_in_paths(spark, docs):
+    model = secret_markov.train(secret_markov.labelled_samples(docs))
+    before, between = "there/other-nation-ment/", "/other/there/the-nation/"
+    found = random_strings(11, 20, 20) + random_strings(12, 32, 20)
+    rows = [(i, f"see {before}{s}{between}{s[::-1]} of the") for i, s in enumerate(found)]
+    df = spark.createDataFrame([*rows, (99, f"see {before * 4}there")], "doc_id long, text string")
+    clean = by_id(secret_markov.redact(df, model), "text")
+    assert not any(s in clean[i] or s[::-1] in clean[i] for i, s in enumerate(found))
+    assert sum(clean[i] == f"see {before}[SECRET]{between}[SECRET] of the" for i, _ in rows) >= 34, clean
+    assert clean[99] == f"see {before * 4}there"
+
+
 # 6 ------------------------------------------------------------------
 
 def check_packing(rows, expected):
