@@ -34,8 +34,8 @@ JOINS = "/_-"
 
 #: Bounds of the labelled samples: documents whose words are ordinary, strings of each random kind.
 SAMPLE_DOCUMENTS, SAMPLE_STRINGS = 1_000, 4_000
-#: Least log-likelihood ratio of a span, and how far above the highest ordinary one of the sample it must be.
-LEAST_RATIO, MARGIN = 12.0, 3.0
+#: Least log-likelihood ratio of a span, and how many deviations (1.4826 x the median one) above the ordinary median it must be.
+LEAST_RATIO, DEVIATIONS = 12.0, 6.0
 
 
 def _text(c: str = "text") -> Column:
@@ -181,24 +181,39 @@ def labelled_samples(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS, strings
     return ordinary.withColumn("random", F.lit(False)).unionByName(random.withColumn("random", F.lit(True)))
 
 
+def _logs(tokens: DataFrame) -> list[float]:
+    """Log-probabilities of the transitions, add-one smoothed, row by row."""
+    states = len(ALPHABET) + 1
+    counts = _transitions(tokens)
+    totals = [sum(counts.get((a, b), 0) for b in range(1, states)) for a in range(states)]
+    return [math.log((counts.get((a, b), 0) + 1) / (totals[a] + states - 1)) if b else 0.0 for a in range(states) for b in range(states)]
+
+
 def train(samples: DataFrame) -> MarkovPair:
     """Both models from labelled strings (``token``, ``random``), add-one smoothed; null tokens count for nothing.
 
-    The threshold lies above every ordinary run of the samples that is long enough to be judged.
+    Ordinary strings may hold secrets that nobody labelled. So a first ordinary
+    model sees only the strings too short to be judged; the long ones that look
+    random to it, unless they are plain numbers, are left out of the second. The
+    threshold is the long ones' median ratio and six robust deviations, which a
+    few strings, however long, don't move.
     """
     samples = store(samples.where("token IS NOT NULL AND random IS NOT NULL"), "strings")
-    states = len(ALPHABET) + 1
-    rows = []
-    for random in (True, False):
-        counts = _transitions(samples.where(F.col("random") == random))
-        totals = [sum(counts.get((a, b), 0) for b in range(1, states)) for a in range(states)]
-        rows.append([
-            math.log((counts.get((a, b), 0) + 1) / (totals[a] + states - 1)) if b else 0.0 for a in range(states) for b in range(states)
-        ])
-    model = MarkovPair([round(r - o, 6) for r, o in zip(*rows, strict=True)], LEAST_RATIO)
-    judged = samples.where(~F.col("random") & (F.length("token") >= LEAST_RUN))
-    highest = judged.agg(F.percentile(model.ratio(F.col("token")), F.lit(0.999)).alias("r")).first()["r"]
-    model.threshold = max(LEAST_RATIO, (highest or 0.0) + MARGIN)
+    ordinary, long = samples.where("NOT random"), F.length("token") >= LEAST_RUN
+    random = _logs(samples.where("random"))
+
+    def against(tokens: DataFrame) -> MarkovPair:
+        return MarkovPair([round(r - o, 6) for r, o in zip(random, _logs(tokens), strict=True)], LEAST_RATIO)
+
+    first = against(ordinary.where(~long))
+    number = F.col("token").rlike("^[0-9]+$")
+    known = store(ordinary.where(~long | number | (first.ratio(F.col("token")) < LEAST_RATIO)), "ordinary")
+    model = against(known)
+    judged = known.where(long).select(model.ratio(F.col("token")).alias("r"))
+    median = judged.agg(F.median("r").alias("m")).first()["m"]
+    if median is not None:
+        deviation = judged.agg(F.median(F.abs(F.col("r") - median)).alias("d")).first()["d"]
+        model.threshold = max(LEAST_RATIO, median + DEVIATIONS * 1.4826 * deviation)
     return model
 
 

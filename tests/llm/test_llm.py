@@ -282,6 +282,18 @@ def test_secrets_in_paths(spark, docs):
     assert clean[99] == f"see {before * 4}there"
 
 
+def test_unlabelled_secrets_in_the_sample(spark, docs):
+    hidden = [(-1 - i, f"the {s} of") for i, s in enumerate(random_strings(21, 40, 8))] + [(-99, "the " + random_strings(22, 50000, 1)[0])]
+    mixed = docs.select("doc_id", "text").unionByName(spark.createDataFrame(hidden, "doc_id long, text string"))
+    clean, model = (secret_markov.train(secret_markov.labelled_samples(d)) for d in (docs, mixed))
+    assert model.threshold == pytest.approx(clean.threshold, abs=0.5) and model.threshold < 20
+    found = [s for size in (20, 24, 32) for s in random_strings(size, size, 20)]
+    df = spark.createDataFrame([*((i, f"the {s} of") for i, s in enumerate(found)), *hidden], "doc_id long, text string")
+    redacted = by_id(secret_markov.redact(df, model), "text")
+    assert all(redacted[i] == "the [SECRET] of" for i in [*range(len(found)), *range(-8, 0)])
+    assert redacted[-99] == "the [SECRET]"
+
+
 # 6 ------------------------------------------------------------------
 
 def check_packing(rows, expected):
