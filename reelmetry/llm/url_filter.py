@@ -119,13 +119,13 @@ class UrlModel:
 
 
 def train_url_model(labelled: DataFrame, rows: int = TRAINING_ROWS, trees: int = 10, depth: int = 4) -> UrlModel:
-    """Fits on at most ``rows`` rows of ``labelled`` (``url``, ``block`` boolean), those of the smallest url hashes.
+    """Fits on at most ``rows`` distinct rows of ``labelled`` (``url``, ``block`` boolean), those of the smallest url hashes.
 
     Rows with a null label are left out; null urls are empty ones. With labels of
     one kind only, or none, the model says that kind, or allow.
     """
     host, path = host_and_path(F.col("url"))
-    picked = labelled.where("block IS NOT NULL").select("url", F.col("block").cast("double").alias("label"))
+    picked = labelled.where("block IS NOT NULL").select("url", F.col("block").cast("double").alias("label")).distinct()
     picked = picked.orderBy(F.xxhash64("url"), "url", "label").limit(rows).withColumns({"host": host, "path": path})
     sample = store(lexical_features(picked), "labelled-urls")
     kinds = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -173,6 +173,14 @@ def test_url_trees_learn(spark):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def test_url_sample_is_of_distinct_rows(spark):
+    urls = [(f"http://h{i}.org/{i}" if i % 2 else f"http://h{i}.org/a/b/c/{i}?x=1&y=2", i % 2 == 0) for i in range(40)]
+    df = spark.createDataFrame(urls, "url string, block boolean")
+    first = df.orderBy(F.xxhash64("url")).first()
+    model = url_filter.train_url_model(df.unionByName(spark.createDataFrame([tuple(first)] * 100, df.schema)), rows=40, trees=2)
+    assert model.trees is not None and model.suffixes == [("org", 1.0, 0.5)]
+
+
 # 4, 9 ---------------------------------------------------------------
 
 @pytest.fixture(scope="module")
