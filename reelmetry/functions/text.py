@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 # --- fixed values: file name and address patterns ---
 VIDEO_NAME = r"^video_[0-9]{2}\.mp4$"
 HOST_PORT = r"^([^:]+):\d+$"
-#: <producer>/<metric>.csv at the end of a path; a table partitioned by the two (name=value folders, part files) has the same
-SERIES_PATH = r"(?:[^/=]+=)?([^/=]+)/(?:[^/=]+=)?([^/=]+)\.csv(?:/part-[^/]+)?$"
+#: <producer>/<metric>.csv at the end of a path; a table partitioned by the two (producer= and metric= folders, part files) has the same
+SERIES_PATH = r"(?:^|/)(?:producer=)?([^/]+)/(?:metric=)?([^/]+)\.csv(?:/part-[^/]+)?$"
 
 
 def base_name(path: Column) -> Column:

@@ -199,3 +199,10 @@ def test_slices_and_blocks_land_in_many_tasks(spark, tmp_path):
                         "double(id) AS value FROM range(2)")
     grid = C.scrape_grid(scraped, 2.0, block=1)
     assert grid.count() == 2000
+
+
+def test_other_name_value_folders_stay_apart(spark):
+    paths = ["file:/d/team=a/CPU.csv", "file:/d/job=a/CPU.csv", "/d/producer=a/metric=CPU.csv/part-0-x.csv", "a/x=y.csv", "/d/producer=p=q/metric=m=n.csv/part-1"]
+    df = SF.series_of_path(spark.createDataFrame([(p,) for p in paths], "path string"), F.col("path"))
+    got = [(r.producer, r.metric) for r in df.collect()]
+    assert got == [("team=a", "CPU"), ("job=a", "CPU"), ("a", "CPU"), ("a", "x=y"), ("p=q", "m=n")]
