@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelmetry.llm import chat_schema, ctph, nnls_packing, odd_dedup, piece_bpe, secret_markov, token_counts, topk_segments, toxicity_chain, url_filter
+from reelmetry.llm import (
+    chat_schema, ctph, nnls_packing, odd_dedup, piece_bpe, secret_markov, sql, token_counts, token_files, topk_segments, toxicity_chain, turn_repair, url_filter,
+    word_variants,
+)
 
 #: Vocabulary files of public tokenizers; the names may be replaced by paths.
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
@@ -75,10 +78,22 @@ def op10_piecewise_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return ctph.edited_fingerprints(_table(spark, sf, "documents"))
 
 
+def op11_patched_frames(spark: SparkSession, sf: str) -> DataFrame:
+    return token_files.round_trip(_table(spark, sf, "documents"), tokenizer_path(WORDS))
+
+
+def op12_hirschberg_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return turn_repair.repair(turn_repair.damaged(_table(spark, sf, "conversations")))
+
+
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return word_variants.group_variants(_table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_segment_top_k, op2_odd_sketch_dedup, op3_url_trees, op4_piece_backtracking, op5_markov_secrets, op6_nnls_packing, op7_schema_chat,
-        op8_toxicity_chain, op9_resynchronised_counts, op10_piecewise_fingerprints,
+        op8_toxicity_chain, op9_resynchronised_counts, op10_piecewise_fingerprints, op11_patched_frames, op12_hirschberg_repair, op13_spelling_variants,
     )
     return {q.__name__: q for q in found}
 
@@ -91,4 +106,4 @@ scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v
   FROM good q JOIN good c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
 ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored)
 SELECT * FROM ranked WHERE rank <= 10"""
-    return {"op1_segment_top_k": top}
+    return {"op1_segment_top_k": top, "op12_hirschberg_repair": sql.turn_repair_sql(), "op13_spelling_variants": sql.word_variants_sql()}
