@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -222,6 +223,11 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda m: F.concat_ws(":", F.get(names, m["kind"]), m["start"], m["end"])), ",")
 
 
+def _of_kind(kind: int) -> Callable[[Column], Column]:
+    """Spark gives a second parameter of a function the element's place, so the kind is bound out here."""
+    return lambda m: m["kind"] == kind
+
+
 def scan(docs: DataFrame, model: MarkovPair | None = None) -> DataFrame:
     """``doc_id``, ``n_assign``, ``n_access``, ``n_hex``, ``base_sha256``, ``spans`` and ``n_added`` of every whole ``text``.
 
@@ -232,7 +238,7 @@ def scan(docs: DataFrame, model: MarkovPair | None = None) -> DataFrame:
     model = model or train(labelled_samples(docs))
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text().alias("text"))
     found = picked.withColumn("base", base_spans(F.col("text"))).withColumn("added", model.spans(F.col("text"), F.col("base")))
-    counts = [F.size(F.filter("base", lambda m, k=k: m["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    counts = [F.size(F.filter("base", _of_kind(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return found.select(
         "doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
         _joined(F.array_sort(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added"),
