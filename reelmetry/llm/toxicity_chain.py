@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelmetry.operators.skew import store
@@ -45,11 +45,14 @@ def with_letters(df: DataFrame) -> DataFrame:
     }
     df = df.withColumns({k: v.cast("double") for k, v in shape.items()})
     df = VectorAssembler(inputCols=list(shape), outputCol="shape").transform(df).drop(*shape)
-    distinct = F.array_distinct("letters")
-    stems = [
-        F.transform(F.filter(distinct, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("~"))) for n in STEMS
-    ]
-    return df.withColumn("letters", F.concat(distinct, *stems))
+    df = df.withColumn("letters", F.array_distinct("letters"))
+    return df.withColumn("letters", F.concat("letters", *(_stems(n) for n in STEMS)))
+
+
+def _stems(length: int) -> Column:
+    """The first ``length`` letters of the longer words of ``letters``; the length is bound out here, as Spark gives a second parameter the element's place."""
+    longer = F.filter("letters", lambda w: F.length(w) > length)
+    return F.transform(longer, lambda w: F.concat(F.substring(w, 1, length), F.lit("~")))
 
 
 @dataclass
