@@ -256,6 +256,8 @@ def test_secret_spans(spark, docs):
     expected = sorted((i, ",".join(f"{names[k]}:{a}:{b}" for a, k, b in brute_spans(t))) for i, t in texts(df))
     assert sorted((r.doc_id, ",".join(s for s in r.spans.split(",") if s and not s.startswith("random"))) for r in got) == expected
     assert sorted((r.doc_id, r.base_sha256) for r in got) == sorted((i, hashlib.sha256(s.encode()).hexdigest()) for i, s in expected)
+    counts = sorted((i, *(sum(k == kind for _, k, _ in brute_spans(t)) for kind in range(3))) for i, t in texts(df))
+    assert sorted((r.doc_id, r.n_assign, r.n_access, r.n_hex) for r in got) == counts and sum(c[2] for c in counts) > 0
     assert secret_markov.scan(df.limit(0), model).count() == 0
 
 
@@ -410,6 +412,26 @@ def test_toxicity_on_held_out_rows(spark):
     assert kept.columns == df.columns and kept.where("doc_id >= 400 AND toxic = 1").count() == 0
 
 
+def test_stems(spark):
+    df = spark.createDataFrame([("Worthless disgusting TERRIBLE morons worthless ab abcd",), (None,)], "text string")
+    found = [r.letters for r in toxicity_chain.with_letters(df).select("letters").collect()]
+    words = ["worthless", "disgusting", "terrible", "morons", "ab", "abcd"]
+    long = words[:4]
+    assert found == [words + [w[:4] + "~" for w in long] + [w[:5] + "~" for w in long], []]
+
+
+def test_no_function_takes_a_default_beside_its_element():
+    """Spark gives a second parameter of a column function the element's place, whatever its default says."""
+    import ast
+    import pathlib
+
+    import reelmetry
+
+    for path in pathlib.Path(reelmetry.__file__).parent.rglob("*.py"):
+        for node in ast.walk(ast.parse(path.read_text())):
+            assert not (isinstance(node, ast.Lambda) and node.args.defaults), f"{path}:{node.lineno}"
+
+
 def test_toxicity_edges(edge, spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     out = toxicity_chain.toxicity(edge, none).collect()
