@@ -40,6 +40,7 @@ from reelmetry.sinks import tables as K  # noqa: E402
 from reelmetry.sources import files as SF  # noqa: E402
 from reelmetry.sources import kafka as KF  # noqa: E402
 from reelmetry.streaming import jobs as J  # noqa: E402
+from reelmetry.streaming import ticks as TK  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1068,15 +1069,36 @@ def stream_consumer_metrics(spark, sf):
     return rounded(spark.read.parquet(path), "lag_seconds")
 
 
-@register("stream_scraped_gauge", f"""WITH {MESSAGES}, s AS (SELECT application, instance, job,
-  time_bucket(INTERVAL 1 HOUR, "timestamp") + INTERVAL 1 HOUR AS ts, round(arg_max(seconds, "timestamp"), 6) AS value
-  FROM messages GROUP BY ALL) SELECT * FROM s WHERE ts <= (SELECT max("timestamp") FROM messages)""")
-def stream_scraped_gauge(spark, sf):
-    """Hourly scrapes of a stream; a window closes when the watermark passes it."""
+_HOURLY_SCRAPES = f"""{MESSAGES}, s AS (SELECT application, instance, job, time_bucket(INTERVAL 1 HOUR, "timestamp") + INTERVAL 1 HOUR AS ts,
+  arg_max(seconds, "timestamp") AS value FROM messages GROUP BY ALL)"""
+
+
+def _timed_messages(spark, sf):
     messages = C.with_scrape_labels(V.messages_from_events(_stream(spark, sf, "events")))
-    timed = messages.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    scraped = J.scrape_stream(timed, "timestamp", "seconds", "0 seconds", "1 hour")
-    return rounded(_drained(spark, scraped, "scraped").withColumn("ts", F.col("ts").cast("timestamp_ntz")), "value")
+    return messages.select(*C.LABELS, F.col("timestamp").cast("timestamp").alias("timestamp"), "seconds")
+
+
+@register("stream_scraped_gauge", f"WITH {_HOURLY_SCRAPES} SELECT application, instance, job, ts, round(value, 6) AS value FROM s")
+def stream_scraped_gauge(spark, sf):
+    """Hourly scrapes of a stream up to its end; a window closes when the watermark passes it."""
+    path = scratch_path(spark, "scraped")
+    TK.drain_to_end(
+        _timed_messages(spark, sf), "timestamp", lambda m: J.scrape_stream(m, "timestamp", "seconds", "0 seconds", "1 hour"), path, f"{path}.checkpoint", 3600)
+    return rounded(spark.read.parquet(path).withColumn("ts", F.col("ts").cast("timestamp_ntz")), "value")
+
+
+@register("stream_scraped_ticks", f"""WITH {_HOURLY_SCRAPES},
+  r AS (SELECT application, instance, job, min(ts) AS t0, (SELECT max(ts) FROM s) AS t1 FROM s GROUP BY ALL),
+  g AS (SELECT application, instance, job, unnest(generate_series(t0, t1, INTERVAL 1 HOUR)) AS ts FROM r)
+  SELECT application, instance, job, ts, round(last_value(s.value IGNORE NULLS) OVER (PARTITION BY application, instance, job
+    ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS value FROM g LEFT JOIN s USING (application, instance, job, ts)""")
+def stream_scraped_ticks(spark, sf):
+    """The same at every hour from a label set's first sample to the end; quiet hours repeat the last value."""
+    path = scratch_path(spark, "ticks")
+    with TK.rocks_db(spark):
+        TK.drain_to_end(
+            _timed_messages(spark, sf), "timestamp", lambda m: TK.scrape_ticks(m, "timestamp", "seconds", "0 seconds", 3600), path, f"{path}.checkpoint", 3600)
+    return rounded(spark.read.parquet(path).withColumn("ts", F.col("ts").cast("timestamp_ntz")), "value")
 
 
 @register("stream_isolated_errors", """SELECT doc_id AS path, failed, CASE WHEN failed THEN 'frame size ' || n || ' is not 6' END AS error
