@@ -29,6 +29,8 @@ from reelmetry.operators.decompose import decompose, too_short  # noqa: E402
 from reelmetry.operators.ordered import cut, position  # noqa: E402
 from reelmetry.operators.quantiles import exact_quantile  # noqa: E402
 from reelmetry.plans import analysis as A  # noqa: E402
+from reelmetry.plans import inference as IF  # noqa: E402
+from reelmetry.plans import ingest as IN  # noqa: E402
 from reelmetry.plans import producer_report as R  # noqa: E402
 from reelmetry.plans import training as TR  # noqa: E402
 from reelmetry.plans.etl import copy_table  # noqa: E402
@@ -40,7 +42,9 @@ from reelmetry.sinks import tables as K  # noqa: E402
 from reelmetry.sources import files as SF  # noqa: E402
 from reelmetry.sources import kafka as KF  # noqa: E402
 from reelmetry.streaming import jobs as J  # noqa: E402
+from reelmetry.streaming import outcomes as OC  # noqa: E402
 from reelmetry.streaming import ticks as TK  # noqa: E402
+from reelmetry.streaming import totals as TT  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1069,6 +1073,27 @@ def stream_consumer_metrics(spark, sf):
     return rounded(spark.read.parquet(path), "lag_seconds")
 
 
+@register("stream_consumer_histogram", f"""WITH {_MEASURED}, h AS ({_histogram_sql(DEFAULT_BUCKETS).replace(f"WITH {MESSAGES} ", "")}),
+  t AS (SELECT application, instance, job, count(*) AS messages, count(*) FILTER (event_type = 'error') AS failures, sum(size_bytes)::BIGINT AS bytes,
+    round(arg_max(lag_seconds, "timestamp"), 6) AS lag_seconds FROM measured GROUP BY ALL)
+  SELECT h.*, messages, failures, bytes, lag_seconds FROM h JOIN t USING (application, instance, job)""")
+def stream_consumer_histogram(spark, sf):
+    """Histogram, failures, bytes and latest lag of a stream of many batches, each adding to the totals before it."""
+    folder = scratch_path(spark, "messages")
+    C.with_scrape_labels(V.messages(spark, sf)).repartition(4).write.parquet(folder)
+    messages = spark.readStream.schema(spark.read.parquet(folder).schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    path = scratch_path(spark, "totals")
+
+    def summary(batch: DataFrame) -> DataFrame:
+        measured = C.measure_messages(batch, F.lit(NOW).cast("timestamp"))
+        return TT.consumption_summary(measured, "seconds", F.col("event_type") == "error", latest=("lag_seconds",))
+
+    _drained_outcomes(messages, path, TT.add_to_totals(path, summary))
+    totals = TT.read_totals(spark, path)
+    rest = totals.select(*C.LABELS, "bytes", F.col("newest.lag_seconds").alias("lag_seconds"))
+    return rounded(TT.histogram_rows(totals).join(rest, C.LABELS), "sum", "lag_seconds")
+
+
 _HOURLY_SCRAPES = f"""{MESSAGES}, s AS (SELECT application, instance, job, time_bucket(INTERVAL 1 HOUR, "timestamp") + INTERVAL 1 HOUR AS ts,
   arg_max(seconds, "timestamp") AS value FROM messages GROUP BY ALL)"""
 
@@ -1112,6 +1137,81 @@ def stream_isolated_errors(spark, sf):
     return J.read_split(spark, path).select("path", "failed", "error")
 
 
+def _drained_outcomes(df, path, batches):
+    """Runs a stream over all there is through a batch function."""
+    J.writer(df, f"{path}.checkpoint", once=True).foreachBatch(batches).start().awaitTermination()
+
+
+_INGESTED = """raw AS (SELECT doc_id, octet_length(encode(text)) AS n FROM documents),
+  cut AS (SELECT doc_id, n, unnest(generate_series(0, greatest((n + 63) // 64 - 1, 0)))::BIGINT AS frame_seq FROM raw),
+  frames AS (SELECT doc_id AS video, frame_seq, CASE WHEN n = 0 THEN 'empty container'
+    WHEN n - frame_seq * 64 < 64 THEN 'partial frame of ' || (n - frame_seq * 64) || ' bytes' END AS error FROM cut)"""
+
+
+def _ingested(spark, sf):
+    """The ingest job's batches over texts as raw containers: sent messages, errors and counts."""
+    containers = _stream(spark, sf, "documents").select(F.col("doc_id").alias("path"), F.encode("text", "UTF-8").alias("content"))
+    frames = FR.envelope(J.unfold_outcomes(containers, TEXT_FRAME), TEXT_FRAME, keep=("error",))
+    path = scratch_path(spark, "ingested")
+
+    def send(good: DataFrame) -> None:
+        KF.as_messages(good).write.mode("append").parquet(f"{path}/sent")
+
+    _drained_outcomes(frames, path, OC.send_outcomes(path, send, ("video", "frame_seq")))
+    return path
+
+
+@register("stream_ingest_errors", f"WITH {_INGESTED} SELECT video, frame_seq, error FROM frames WHERE error IS NOT NULL")
+def stream_ingest_errors(spark, sf):
+    """The error table of ingest: every frame that was not sent, and why."""
+    return OC.read_errors(spark, _ingested(spark, sf))
+
+
+@register("stream_ingest_counts", f"""WITH {_INGESTED} SELECT count(*)::BIGINT AS rows, count(error)::BIGINT AS failures,
+  (count(*) - count(error))::BIGINT AS sent FROM frames""")
+def stream_ingest_counts(spark, sf):
+    """What the write of ingest counted, and the messages it sent."""
+    path = _ingested(spark, sf)
+    counts = OC.read_counts(spark, path).agg(F.sum("rows").alias("rows"), F.sum("failures").alias("failures"))
+    return counts.crossJoin(spark.read.parquet(f"{path}/sent").agg(F.count(F.lit(1)).alias("sent")))
+
+
+_MIXED = f"""mixed AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN 'frame size 10 is not 64' WHEN vec_id % 11 = 0 THEN 'missing frame' END AS error, data
+  FROM ({_SHRINK_SQL}))"""
+
+
+def _mixed_frames(frames):
+    """Frames of which some are cut off and some are missing."""
+    damaged = F.when(F.col("vec_id") % 7 == 0, F.substring("data", 1, 10)).when(F.col("vec_id") % 11 != 0, F.col("data"))
+    return frames.withColumn("data", damaged)
+
+
+@register("stream_resize_outcomes", f"""WITH {_MIXED}, n AS (SELECT count(*)::BIGINT AS rows, count(error)::BIGINT AS failures FROM mixed)
+  SELECT vec_id::VARCHAR AS key, CASE WHEN error IS NULL THEN data END AS value, error, rows, failures FROM mixed, n""")
+def stream_resize_outcomes(spark, sf):
+    """The resize job's table: thumbnails and errors apart, and its counts."""
+    frames = _mixed_frames(V.frames_from_embeddings(_stream(spark, sf, "embeddings")))
+    messages = frames.select(F.col("vec_id").cast("string").cast("binary").alias("key"), F.col("data").alias("value"))
+    path = scratch_path(spark, "resize-outcomes")
+    _drained_outcomes(IN.resized_outcomes(messages, FrameShape(8, 8, 1), 2, 2), path, OC.keep_outcomes(path))
+    both = OC.read_rows(spark, path).unionByName(OC.read_rows(spark, path, failed=True))
+    counts = OC.read_counts(spark, path).agg(F.sum("rows").alias("rows"), F.sum("failures").alias("failures"))
+    return both.select(F.col("key").cast("string").alias("key"), F.hex("value").alias("value"), "error").crossJoin(counts)
+
+
+@register("inference_outcomes", f"""WITH {_MIXED}, n AS (SELECT count(*)::BIGINT AS rows, count(error)::BIGINT AS failures FROM mixed)
+  SELECT vec_id, error, CASE WHEN error IS NULL THEN data END AS data, error IS NULL AS predicted, rows, failures FROM mixed, n""")
+def inference_outcomes(spark, sf):
+    """The inference job's table over good and bad frames: a prediction or a message, and the counts."""
+    frames, shape = V.frames8(spark, sf), FrameShape(8, 8, 1)
+    small = FR.with_features(FR.resize_frames(frames, shape, 2, 2)).withColumn("indexedLabel", F.col("label").cast("double"))
+    model = TR.candidates(depths=(2,))[2].pipeline.fit(small)
+    path = scratch_path(spark, "scored")
+    counts = OC.write_outcomes(IF.score_outcomes(_mixed_frames(frames), model, shape, 2, 2), path)
+    scored = spark.read.parquet(path).select("vec_id", "error", F.hex("data").alias("data"), F.col("prediction").isNotNull().alias("predicted"))
+    return scored.withColumns({"rows": F.lit(counts[0]).cast("long"), "failures": F.lit(counts[1]).cast("long")})
+
+
 @register("stream_union", """SELECT 'orders' AS producer, o_orderkey AS id, o_totalprice AS value FROM orders
   UNION ALL SELECT 'customer', c_custkey, c_acctbal FROM customer""")
 def stream_union(spark, sf):

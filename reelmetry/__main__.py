@@ -41,10 +41,12 @@ def _parser() -> argparse.ArgumentParser:
     one.add_argument("--partition-column")
     one.add_argument("--bounds", type=int, nargs=2)
     one.add_argument("--partitions", type=int, default=1)
-    one = job("ingest", "videos to frame messages", "videos", "servers", "checkpoint")
+    one = job("ingest", "videos to frame messages", "videos", "servers", "checkpoint", "table")
     one.add_argument("--topic", default="video-stream")
     one.add_argument("--raw", action="store_true", help="containers hold raw frames")
-    job("resize", "frame topic to thumbnail topic", "servers", "checkpoint")
+    one = job("resize", "frame topic to thumbnail topic", "servers", "checkpoint", "table")
+    one.add_argument("--min-partitions", type=int, help="tasks that read the topic, at least")
+    one.add_argument("--records-per-batch", type=int, help="records of a micro-batch, at most")
     job("consume", "consumer metrics of the frame topic", "servers", "out", "checkpoint")
     return parser
 
@@ -64,17 +66,17 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     elif args.job == "train":
         training.train(spark, args.list, args.images, args.model, args.fraction).show(truncate=False)
     elif args.job == "infer":
-        print(inference.infer(spark, args.videos, args.model, args.out, decoder,
-                              open_in_task=args.open_in_task), "predictions")
+        print(inference.infer(spark, args.videos, args.model, args.out, decoder, open_in_task=args.open_in_task), "predictions")
     elif args.job == "copy-table":
         bounds = tuple(args.bounds) if args.bounds else None
         etl.copy_database_table(spark, args.url, args.table, args.out, partition_column=args.partition_column,
                                 bounds=bounds, partitions=args.partitions)
     elif args.job == "ingest":
         config = IngestConfig(args.videos, args.servers, args.topic)
-        run_with_restarts(lambda: ingest.ingest(spark, config, args.checkpoint, decoder))
+        run_with_restarts(lambda: ingest.ingest(spark, config, args.checkpoint, args.table, decoder))
     elif args.job == "resize":
-        run_with_restarts(lambda: ingest.resize(spark, args.servers, args.checkpoint))
+        run_with_restarts(lambda: ingest.resize(
+            spark, args.servers, args.checkpoint, args.table, min_partitions=args.min_partitions, records_per_batch=args.records_per_batch))
     elif args.job == "consume":
         run_with_restarts(lambda: ingest.consume(spark, args.servers, args.out, args.checkpoint))
 

@@ -156,6 +156,26 @@ def signed_values(data: Column) -> Column:
     return _signed_doubles(data)
 
 
+def frame_features(data: Column, shape: FrameShape = FrameShape(), height: int = THUMB_HEIGHT, width: int = THUMB_WIDTH) -> Column:
+    """Struct (data, features): the resized frame and its signed values, from one conversion; a bad frame has null and zeros."""
+    size = height * width * shape.channels
+    dims = (shape.height, shape.width, shape.channels)
+
+    @F.arrow_udf(T.StructType([T.StructField("data", T.BinaryType()), T.StructField("features", T.ArrayType(T.FloatType()))]))
+    def convert(data: pa.Array) -> pa.Array:
+        data = _as_binary(data)
+        fits = pc.fill_null(pc.equal(pc.binary_length(data), shape.nbytes), False)
+        out = resize_pixels(_payload(data.filter(fits)).reshape(-1, *dims), height, width)
+        present = np.asarray(fits.to_numpy(zero_copy_only=False), dtype=bool)
+        values = np.zeros((len(present), size), dtype=np.float32)
+        values[present] = np.ascontiguousarray(out).reshape(-1, size).view(np.int8)
+        offsets = np.arange(0, (len(present) + 1) * size, size, dtype=np.int32)
+        features = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.reshape(-1)))
+        return pa.StructArray.from_arrays([_binary_array(out, size, present), features], names=["data", "features"])
+
+    return convert(data)
+
+
 def make_image_resizer(height: int, width: int):
     """Arrow function for images of any size and 1, 3 or 4 channels, as 3-channel BGR."""
 

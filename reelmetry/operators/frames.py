@@ -45,6 +45,21 @@ def split_raw(containers: DataFrame, shape: FrameShape = FrameShape(), content:
     )
 
 
+def split_raw_outcomes(containers: DataFrame, shape: FrameShape = FrameShape(), content: str = "content",
+                       keep: tuple[str, ...] = ("path",)) -> DataFrame:
+    """``split_raw`` with ``error``: bytes after the last whole frame are a row as well, without data, and so is an empty container."""
+    size = F.lit(shape.nbytes)
+    last = F.greatest(F.ceil(F.octet_length(content) / size).cast("int") - 1, F.lit(0))
+    numbered = containers.select(*keep, content, F.explode(F.sequence(F.lit(0), F.coalesce(last, F.lit(0)))).alias("_i"))
+    rest = F.least(F.coalesce(F.octet_length(content), F.lit(0)) - F.col("_i") * size, size)
+    return numbered.select(
+        *keep,
+        F.col("_i").cast("long").alias("frame_seq"),
+        F.when(rest == size, F.substring(F.col(content), F.col("_i") * size + 1, size)).alias("data"),
+        F.when(rest == 0, "empty container").when(rest < size, F.concat(F.lit("partial frame of "), rest, F.lit(" bytes"))).alias("error"),
+    )
+
+
 def split_leftovers(containers: DataFrame, shape: FrameShape = FrameShape(), content: str = "content",
                     keep: tuple[str, ...] = ("path",)) -> DataFrame:
     """Containers that end in a partial frame, a frame error each."""
@@ -137,15 +152,15 @@ def video_decoder(width: int = FRAME_WIDTH, height: int = FRAME_HEIGHT) -> Decod
 
 
 def envelope(frames: DataFrame, shape: FrameShape = FrameShape(), start: Column | None = None,
-             rate: float = 1.0, video: str = "path") -> DataFrame:
-    """Frame rows with video, sequence, time, geometry and payload size."""
+             rate: float = 1.0, video: str = "path", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Frame rows with video, sequence, time, geometry and payload size, and the columns ``keep``."""
     start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") if start is None else start
     micros = F.unix_micros(start.cast("timestamp")) + (F.col("frame_seq") * (1_000_000 / rate)).cast("long")
     return frames.select(
         F.col(video).alias("video"), "frame_seq",
         F.timestamp_micros(micros).cast("timestamp_ntz").alias("ts"),
         F.lit(shape.width).alias("width"), F.lit(shape.height).alias("height"),
-        F.lit(shape.channels).alias("channels"), "data", F.octet_length("data").alias("size_bytes"),
+        F.lit(shape.channels).alias("channels"), "data", F.octet_length("data").alias("size_bytes"), *keep,
     )
 
 

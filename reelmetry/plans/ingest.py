@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,7 +13,9 @@ from reelmetry.operators.frames import Decoder, drop_empty, envelope
 from reelmetry.schemas import FrameShape, IngestConfig
 from reelmetry.sources import kafka
 from reelmetry.sources.files import VIDEO_GLOB, stream_videos
-from reelmetry.streaming.jobs import replace_table, resize_stream, unfold_videos, writer
+from reelmetry.streaming.jobs import resize_stream, unfold_outcomes, unfold_videos, writer
+from reelmetry.streaming.outcomes import keep_outcomes, send_outcomes
+from reelmetry.streaming.totals import add_to_totals, consumption_summary
 
 
 def video_frames(spark: SparkSession, config: IngestConfig, decoder: Decoder | None = None,
@@ -21,28 +25,43 @@ def video_frames(spark: SparkSession, config: IngestConfig, decoder: Decoder | N
     return drop_empty(envelope(frames, config.frame, rate=config.frame_rate))
 
 
-def ingest(spark: SparkSession, config: IngestConfig, checkpoint: str, decoder: Decoder | None = None,
-           tasks: int | None = None) -> StreamingQuery:
-    """Videos to frame messages."""
-    messages = kafka.as_messages(video_frames(spark, config, decoder, tasks))
-    options = kafka.sink_options(config.bootstrap_servers, config.topic)
-    return kafka.write_stream(messages, options, checkpoint).trigger(processingTime="5 seconds").start()
+def video_outcomes(spark: SparkSession, config: IngestConfig, decoder: Decoder | None = None,
+                   tasks: int | None = None, glob: str = VIDEO_GLOB) -> DataFrame:
+    """``video_frames`` with the bad frames: no data, and a message in ``error``."""
+    frames = unfold_outcomes(stream_videos(spark, config.video_path, glob), config.frame, decoder, tasks)
+    return envelope(frames, config.frame, rate=config.frame_rate, keep=("error",))
+
+
+def to_topic(options: dict[str, str]) -> Callable[[DataFrame], None]:
+    """Sends messages (key, value) to a topic."""
+    return lambda messages: messages.write.format("kafka").options(**options).save()
+
+
+def ingest(spark: SparkSession, config: IngestConfig, checkpoint: str, table: str, decoder: Decoder | None = None, tasks: int | None = None,
+           send: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
+    """Videos to frame messages; ``table`` gets the errors and the counts of every batch."""
+    send = send or to_topic(kafka.sink_options(config.bootstrap_servers, config.topic))
+    batches = send_outcomes(table, lambda frames: send(kafka.as_messages(frames)), ("video", "frame_seq"))
+    return writer(video_outcomes(spark, config, decoder, tasks), checkpoint).foreachBatch(batches).start()
 
 
-def resized_messages(messages: DataFrame, shape: FrameShape = FrameShape(), height: int = 64, width: int = 64) -> DataFrame:
-    """Frame messages with the thumbnail as value; the key is passed on, bad frames drop out."""
-    frames = messages.select("key", F.col("value").alias("data"))
-    resized = resize_stream(frames, shape, height, width).filter("error is null")
-    return resized.select("key", F.col("data").alias("value"))
+def resized_outcomes(messages: DataFrame, shape: FrameShape = FrameShape(), height: int = 64, width: int = 64) -> DataFrame:
+    """Frame messages with the thumbnail as value; the key is passed on, a bad frame has no value and a message in ``error``."""
+    resized = resize_stream(messages.select("key", F.col("value").alias("data")), shape, height, width)
+    return resized.select("key", F.col("data").alias("value"), "error")
 
 
-def resize(spark: SparkSession, servers: str, checkpoint: str, source: str = kafka.FRAME_TOPIC,
+def resize(spark: SparkSession, servers: str, checkpoint: str, table: str, source: str = kafka.FRAME_TOPIC,
            target: str = kafka.PROCESSED_TOPIC, min_partitions: int | None = None, records_per_batch: int | None = None) -> StreamingQuery:
-    """Frame topic to thumbnail topic; a batch takes all there is unless ``records_per_batch`` says less."""
+    """Frame topic to thumbnail topic; a batch takes all there is unless ``records_per_batch`` says less.
+
+    ``table`` gets thumbnails and errors apart, and the counts; what is sent is read from there.
+    """
     read = kafka.source_options(servers, source, starting="earliest", per_trigger=records_per_batch,
                                 min_partitions=min_partitions)
-    messages = resized_messages(kafka.read_stream(spark, read))
-    return kafka.write_stream(messages, kafka.sink_options(servers, target), checkpoint).start()
+    send = to_topic(kafka.sink_options(servers, target))
+    batches = keep_outcomes(table, lambda rows: send(rows.select("key", "value")))
+    return writer(resized_outcomes(kafka.read_stream(spark, read)), checkpoint).foreachBatch(batches).start()
 
 
 def consumer_totals(messages: DataFrame, now: Column, application: str = "kafka-service",
@@ -58,9 +77,16 @@ def consumer_totals(messages: DataFrame, now: Column, application: str = "kafka-
     )
 
 
+def consumer_summary(messages: DataFrame, now: Column, application: str = "kafka-service", instance: str = "kafka-service:9091") -> DataFrame:
+    """A batch of messages as a summary that adds up: counts, bytes, missing payloads, and lag as latest value and histogram."""
+    labels = {"application": application, "instance": instance, "job": application}
+    measured = measure_messages(messages, now).withColumns({k: F.lit(v) for k, v in labels.items()})
+    return consumption_summary(measured, "lag_seconds", F.col("value").isNull(), latest=("lag_seconds",))
+
+
 def consume(spark: SparkSession, servers: str, out: str, checkpoint: str,
             topic: str = kafka.FRAME_TOPIC) -> StreamingQuery:
-    """Consumer metrics of a topic, from its latest offset on, as a table."""
+    """Consumer metrics of a topic, from its latest offset on; ``totals.read_totals`` reads them."""
     options = kafka.source_options(servers, topic, group_prefix="video-consumer", tuned_fetch=True)
-    totals = consumer_totals(kafka.read_stream(spark, options), F.current_timestamp())
-    return writer(totals, checkpoint, mode="complete").foreachBatch(replace_table(out)).start()
+    batches = add_to_totals(out, lambda batch: consumer_summary(batch, F.current_timestamp()))
+    return writer(kafka.read_stream(spark, options), checkpoint).foreachBatch(batches).start()

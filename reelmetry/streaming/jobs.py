@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from reelmetry.operators.counters import LABELS, scrape
-from reelmetry.operators.frames import Decoder, decode_frames, resize_frames, split_raw
+from reelmetry.operators.frames import Decoder, decode_frames, resize_frames, split_raw, split_raw_outcomes
 from reelmetry.schemas import FrameShape
 
 # --- fixed values: restart strategy and poll interval ---
@@ -27,6 +27,16 @@ def unfold_videos(videos: DataFrame, shape: FrameShape = FrameShape(), decoder:
     return decode_frames(spread, decoder) if decoder else split_raw(spread, shape)
 
 
+def unfold_outcomes(videos: DataFrame, shape: FrameShape = FrameShape(), decoder: Decoder | None = None,
+                    tasks: int | None = None) -> DataFrame:
+    """``unfold_videos`` with ``error``: frames that did not convert, partial and empty ones are rows with a message."""
+    spread = videos.repartition(tasks, "path") if tasks else videos
+    if decoder is None:
+        return split_raw_outcomes(spread, shape)
+    empty = F.octet_length("data") == 0
+    return decode_frames(spread, decoder).withColumn("error", F.when(F.col("error").isNull() & empty, "empty frame").otherwise(F.col("error")))
+
+
 def resize_stream(frames: DataFrame, shape: FrameShape = FrameShape(), height: int = 64, width: int = 64) -> DataFrame:
     return resize_frames(frames, shape, height, width)
 
