@@ -41,10 +41,12 @@ def _parser() -> argparse.ArgumentParser:
     one.add_argument("--partition-column")
     one.add_argument("--bounds", type=int, nargs=2)
     one.add_argument("--partitions", type=int, default=1)
-    one = job("ingest", "videos to frame messages", "videos", "servers", "checkpoint", "table")
+    one = job("ingest", "videos to frame messages", "videos", "servers", "checkpoint")
+    one.add_argument("--table", help="folder for errors and counts; beside the checkpoint if not given")
     one.add_argument("--topic", default="video-stream")
     one.add_argument("--raw", action="store_true", help="containers hold raw frames")
-    one = job("resize", "frame topic to thumbnail topic", "servers", "checkpoint", "table")
+    one = job("resize", "frame topic to thumbnail topic", "servers", "checkpoint")
+    one.add_argument("--table", help="folder for thumbnails, errors and counts; beside the checkpoint if not given")
     one.add_argument("--min-partitions", type=int, help="tasks that read the topic, at least")
     one.add_argument("--records-per-batch", type=int, help="records of a micro-batch, at most")
     job("consume", "consumer metrics of the frame topic", "servers", "out", "checkpoint")
@@ -54,6 +56,8 @@ def _parser() -> argparse.ArgumentParser:
 def run(spark: SparkSession, argv: Sequence[str]) -> None:
     args = _parser().parse_args(argv)
     decoder = None if getattr(args, "raw", True) else video_decoder()
+    if "table" in args and "checkpoint" in args:
+        args.table = args.table or f"{args.checkpoint.rstrip('/')}.table"
     if args.job == "report":
         samples = read_metric_files(spark, args.data)
         missing_files(samples).show(truncate=False)

@@ -51,6 +51,11 @@ def resized_outcomes(messages: DataFrame, shape: FrameShape = FrameShape(), heig
     return resized.select("key", F.col("data").alias("value"), "error")
 
 
+def resized_messages(messages: DataFrame, shape: FrameShape = FrameShape(), height: int = 64, width: int = 64) -> DataFrame:
+    """The messages of the good frames alone; the job keeps the bad ones as well."""
+    return resized_outcomes(messages, shape, height, width).filter("error is null").drop("error")
+
+
 def resize(spark: SparkSession, servers: str, checkpoint: str, table: str, source: str = kafka.FRAME_TOPIC,
            target: str = kafka.PROCESSED_TOPIC, min_partitions: int | None = None, records_per_batch: int | None = None) -> StreamingQuery:
     """Frame topic to thumbnail topic; a batch takes all there is unless ``records_per_batch`` says less.
