@@ -12,14 +12,18 @@ from pyspark.sql.window import Window
 
 from reelmetry.operators.skew import store
 
-#: Segments per vector at each level, coarse to fine.
-LEVELS = (2, 8, 16)
+#: Components per segment at each level, coarse to fine. Segments of two know both values, but not which is which.
+SEGMENT_SIZES = (32, 8, 4, 2)
+#: A level that drops less than this share of the pairs it sees is passed over for so many steps.
+LEAST_DROPPED, PASSED_STEPS = 0.02, 32
+#: Products up to this are exact in doubles. Vectors whose products may exceed a long take no part.
+EXACT, LARGEST = 2.0**53, 2.0**62
 #: Vectors of the bounded sample that gives the first score thresholds.
-SEED_ROWS = 1024
+SEED_ROWS = 2048
 #: Bytes of queries sent to the tasks at once; more queries go in several passes over the candidates.
 QUERY_BYTES = 32 << 20
-#: Candidates compared at a time.
-STEP = 512
+#: Pairs compared at a time.
+STEP_PAIRS = 1 << 20
 
 
 def integers(vector: str = "embedding", scale: int = 1024) -> Column:
@@ -27,10 +31,11 @@ def integers(vector: str = "embedding", scale: int = 1024) -> Column:
     return F.transform(F.col(vector), lambda x: F.floor(x.cast("double") * scale))
 
 
-def usable(vector: str = "embedding") -> Column:
-    """No null vector, no null or non-finite component, not empty."""
+def usable(vector: str = "embedding", scale: int = 1024) -> Column:
+    """No null vector, no null or non-finite component, not empty, and none so large that a product with its like exceeds a long."""
     bad = F.exists(F.col(vector), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return F.coalesce(F.col(vector).isNotNull() & (F.size(vector) > 0) & ~bad, F.lit(False))
+    most = F.array_max(F.transform(F.col(vector), lambda x: F.abs(x.cast("double")))) * scale + 1
+    return F.coalesce(F.col(vector).isNotNull() & (F.size(vector) > 0) & ~bad & (most * most * F.size(vector) < LARGEST), F.lit(False))
 
 
 def segment_statistics(x: np.ndarray, segments: int) -> np.ndarray:
@@ -42,9 +47,11 @@ def segment_statistics(x: np.ndarray, segments: int) -> np.ndarray:
     and (|q|**2 + |x|**2 - d2) / 2 comes to just that product.
     """
     cuts = np.linspace(0, x.shape[1], min(segments, x.shape[1]) + 1).astype(int)
-    parts = [x[:, a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-    columns = [np.sqrt(p.shape[1]) * f(p, axis=1) for p in parts for f in (np.mean, np.std)]
-    return np.stack(columns, axis=1)
+    sizes = np.diff(cuts)
+    means = np.add.reduceat(x, cuts[:-1], axis=1) / sizes
+    rest = x - np.repeat(means, sizes, axis=1)
+    deviations = np.sqrt(np.add.reduceat(rest * rest, cuts[:-1], axis=1) / sizes)
+    return np.concatenate([means, deviations], axis=1) * np.sqrt(np.concatenate([sizes, sizes]))
 
 
 def _best(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
@@ -56,37 +63,71 @@ def _best(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.
     return order[rank < k]
 
 
+def levels_of(size: int) -> list[int]:
+    """Numbers of segments for vectors of ``size`` components, coarse to fine."""
+    return sorted({max(1, size // n) for n in SEGMENT_SIZES})
+
+
 class Search:
     """One block of queries against candidates that come in steps."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, thresholds: np.ndarray | None = None) -> None:
-        self.ids, self.vectors, self.k = ids, vectors.astype(np.int64), k
-        self.statistics = [segment_statistics(vectors.astype(float), n) for n in LEVELS]
+        self.ids, self.vectors, self.k = ids, vectors.astype(float), k
+        self.levels = levels_of(vectors.shape[1])
+        self.statistics = [segment_statistics(self.vectors, n) for n in self.levels]
         self.least = np.full(len(ids), -np.inf) if thresholds is None else thresholds.astype(float).copy()
+        self.most = np.abs(self.vectors).max(initial=0)
         self.found = [np.empty(0, dtype=np.int64)] * 3  # query index, candidate id, score
+        self.passed = [0] * len(self.levels)
+        #: Pairs that came, and those left after each level.
+        self.pairs, self.left = 0, [0] * len(self.levels)
+
+    def _survivors(self, ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+        """Candidates x queries: whether the bound of every level reaches the query's threshold (ties do).
+
+        A level is one product of small matrices for all pairs. Levels that dropped
+        next to nothing are passed over for some steps; the finest always counts.
+        """
+        slack = self.least - 1e-6 * (1 + np.abs(self.least))
+        alive = ids[:, None] != self.ids[None, :]
+        self.pairs += int(alive.sum())
+        for i, n in enumerate(self.levels):
+            if self.passed[i] and i < len(self.levels) - 1:
+                self.passed[i] -= 1
+                self.left[i] += int(alive.sum())
+                continue
+            before = int(alive.sum())
+            alive &= segment_statistics(vectors, n) @ self.statistics[i].T >= slack
+            after = int(alive.sum())
+            self.left[i] += after
+            if before and before - after < LEAST_DROPPED * before:
+                self.passed[i] = PASSED_STEPS
+            if not after:
+                break
+        return alive
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        """Bounds level by level, exact products of what survives; ties with a threshold survive."""
+        """Candidates, some at a time, so that the pairs' bounds take little room."""
+        step = max(16, STEP_PAIRS // max(len(self.ids), 1))
+        for at in range(0, len(ids), step):
+            self._step(ids[at : at + step], vectors[at : at + step])
+
+    def _step(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        """Bounds level by level, then exact products of what survives, query by query."""
         floats = vectors.astype(float)
-        levels = [segment_statistics(floats, n) for n in LEVELS]
-        slack = self.least - 1e-6 * (1 + np.abs(self.least))
-        alive = levels[0] @ self.statistics[0].T >= slack
-        c, q = np.nonzero(alive)
-        for own, other in zip(levels[1:], self.statistics[1:], strict=True):
-            keep = [np.empty(0, dtype=bool)]
-            for at in range(0, len(c), 1 << 16):
-                part = slice(at, at + (1 << 16))
-                keep.append(np.einsum("ij,ij->i", own[c[part]], other[q[part]]) >= slack[q[part]])
-            kept = np.concatenate(keep)
-            c, q = c[kept], q[kept]
-        other = ids[c] != self.ids[q]
-        c, q = c[other], q[other]
-        whole = vectors.astype(np.int64)
-        exact = [np.empty(0, dtype=np.int64)]
-        for at in range(0, len(c), 1 << 16):
-            part = slice(at, at + (1 << 16))
-            exact.append(np.einsum("ij,ij->i", whole[c[part]], self.vectors[q[part]]))
-        joined = [np.concatenate(x) for x in zip(self.found, (q, ids[c], np.concatenate(exact)), strict=True)]
+        alive = self._survivors(ids, floats)
+        exact = self.most * np.abs(floats).max(initial=0) * floats.shape[1] < EXACT
+        left = floats if exact else vectors.astype(np.int64)
+        right = self.vectors if exact else self.vectors.astype(np.int64)
+        queries, candidates, scores = [self.found[0]], [self.found[1]], [self.found[2]]
+        for q in np.flatnonzero(alive.any(axis=0)):
+            own = np.flatnonzero(alive[:, q])
+            product = left[own] @ right[q]
+            high = np.flatnonzero(product >= self.least[q])
+            queries.append(np.full(len(high), q, dtype=np.int64))
+            candidates.append(ids[own[high]])
+            scores.append(product[high].astype(np.int64))
+        joined = [np.concatenate(x) for x in (queries, candidates, scores)]
         best = _best(*joined, self.k)
         self.found = [x[best] for x in joined]
         query, _, scores = self.found
@@ -112,9 +153,7 @@ def _scan(candidates: DataFrame, query_ids: np.ndarray, queries: np.ndarray, see
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Search(*shared.value[:2], k, shared.value[2])
         for batch in batches:
-            ids, vectors = batch.column("vec_id").to_numpy(), _matrix(batch.column("v"))
-            for at in range(0, len(ids), STEP):
-                own.add(ids[at : at + STEP], vectors[at : at + STEP])
+            own.add(batch.column("vec_id").to_numpy(), _matrix(batch.column("v")))
         query, ids, scores = own.found
         if len(query):
             yield pa.RecordBatch.from_arrays([pa.array(own.ids[query]), pa.array(ids), pa.array(scores)], names=["query_id", "vec_id", "score"])
@@ -128,9 +167,11 @@ def top_k(vectors: DataFrame, k: int = 10, query: Column | None = None, scale: i
     ``vectors`` has ``vec_id`` and ``embedding``; queries are the rows for which
     ``query`` holds (``vec_id`` divisible by 100 unless given), candidates all rows
     but those of the query's own ``vec_id``. Ties go to the smaller ``vec_id``. Rows
-    with a null id take no part, nor vectors that are null, empty or hold null or
-    non-finite components; only vectors of equal length are compared. Repeated rows
-    are candidates each. Other columns are ignored; no queries give no rows.
+    with a null id take no part, nor vectors that are null, empty, hold null or
+    non-finite components, or components so large that a product with a vector of
+    such ones would exceed a long; only vectors of equal length are compared.
+    Repeated rows are candidates each; vectors that share a query's id share its
+    ranking. Other columns are ignored; no queries give no rows.
 
     Means and deviations of few, then more segments give lower bounds of distances,
     that is upper bounds of products, which drop most candidates; the rest are
@@ -139,7 +180,7 @@ def top_k(vectors: DataFrame, k: int = 10, query: Column | None = None, scale: i
     size, one pass over the candidates each.
     """
     query = F.col("vec_id") % 100 == 0 if query is None else query
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where(usable() & F.col("vec_id").isNotNull())
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where(usable(scale=scale) & F.col("vec_id").isNotNull())
     asked = rows.where(query).select("vec_id", integers(scale=scale).alias("v"))
     candidates = rows.select("vec_id", integers(scale=scale).alias("v"))
     sizes = {r["size"]: r["rows"] for r in asked.groupBy(F.size("v").alias("size")).agg(F.count(F.lit(1)).alias("rows")).collect()}
