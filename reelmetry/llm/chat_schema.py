@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import re
 from collections.abc import Iterable, Iterator, Sequence
@@ -18,12 +19,12 @@ Turn = tuple[str, str]
 
 
 def field_paths(record: Any, at: str = "") -> set[str]:
-    """The paths of all leaves of a nested record; list items share ``[]``. Empty containers and null count as leaves."""
-    if isinstance(record, dict) and record:
-        return set().union(*(field_paths(v, f"{at}.{k}" if at else k) for k, v in record.items()))
+    """The paths of all leaves of a nested record; list items share ``[]``. An empty container is a leaf; null fields are absent."""
+    if isinstance(record, dict) and (known := {k: v for k, v in record.items() if v is not None}):
+        return set().union(*(field_paths(v, f"{at}.{k}" if at else k) for k, v in known.items()))
     if isinstance(record, (list, tuple)) and record:
         return set().union(*(field_paths(v, at + "[]") for v in record))
-    return {at}
+    return {at} if at and record is not None else set()
 
 
 def schema_fingerprint(paths: Iterable[str]) -> str:
@@ -35,9 +36,10 @@ def schema_fingerprint(paths: Iterable[str]) -> str:
 class Mapping:
     """How a layout becomes turns.
 
-    ``each`` names a list of messages with ``role`` and ``content`` inside; or
-    ``parts`` lists (role, fields), whose texts are joined by a blank line.
-    ``roles`` renames the layout's roles.
+    ``paths`` are the fields that a record of the layout has, ``optional`` those it
+    may have. ``each`` names a list of messages with ``role`` and ``content`` inside;
+    ``parts`` lists (role, fields), whose texts are joined by a blank line; without
+    either the record is one message. ``roles`` renames the layout's roles.
     """
 
     paths: Sequence[str]
@@ -46,8 +48,16 @@ class Mapping:
     content: str = "content"
     parts: Sequence[tuple[str, Sequence[str]]] = ()
     roles: dict[str, str] = field(default_factory=dict)
+    optional: Sequence[str] = ()
+
+    def path_sets(self) -> list[frozenset[str]]:
+        """All sets of paths that a record of the layout can have: with any of the optional ones, and with no messages."""
+        sets = [frozenset((*self.paths, *some)) for n in range(len(self.optional) + 1) for some in itertools.combinations(self.optional, n)]
+        return sets + ([frozenset((self.each,))] if self.each else [])
 
     def turns(self, record: dict) -> list[Turn]:
+        if not self.each and not self.parts:
+            return [(self.roles.get(r := _text(record.get(self.role)), r), _text(record.get(self.content)))]
         if self.each:
             items = record.get(self.each) or []
             return [(self.roles.get(r := _text(m.get(self.role)), r), _text(m.get(self.content))) for m in items]
@@ -63,29 +73,53 @@ def _text(value: Any) -> str:
 
 _SPEAKERS = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
-#: The layouts known from the start; more may be given to ``canonical_turns``.
+#: The layouts known from the start; more may be given to ``canonical_turns``. The last is a table's row with one message.
 MAPPINGS = (
     Mapping(("messages[].role", "messages[].content"), each="messages"),
     Mapping(("messages[].role", "messages[].text"), each="messages", content="text"),
     Mapping(("conversations[].from", "conversations[].value"), each="conversations", role="from", content="value", roles=_SPEAKERS),
-    Mapping(("prompt", "completion"), parts=(("user", ("prompt",)), ("assistant", ("completion",)))),
-    Mapping(("prompt", "response"), parts=(("user", ("prompt",)), ("assistant", ("response",)))),
-    Mapping(("question", "answer"), parts=(("user", ("question",)), ("assistant", ("answer",)))),
-    Mapping(("instruction", "output"), parts=(("user", ("instruction",)), ("assistant", ("output",)))),
-    Mapping(("instruction", "input", "output"), parts=(("user", ("instruction", "input")), ("assistant", ("output",)))),
-    Mapping(("system", "prompt", "response"), parts=(("system", ("system",)), ("user", ("prompt",)), ("assistant", ("response",)))),
+    Mapping(("prompt", "completion"), parts=(("system", ("system",)), ("user", ("prompt",)), ("assistant", ("completion",))), optional=("system",)),
+    Mapping(("prompt", "response"), parts=(("system", ("system",)), ("user", ("prompt",)), ("assistant", ("response",))), optional=("system",)),
+    Mapping(("question", "answer"), parts=(("user", ("context", "question")), ("assistant", ("answer",))), optional=("context",)),
+    Mapping(("instruction", "output"), parts=(("system", ("system",)), ("user", ("instruction", "input")), ("assistant", ("output",))), optional=("input", "system")),
+    Mapping((), content="text", optional=("role", "text")),
 )
+#: Fields that say nothing about the turns; they don't count as part of a layout.
+IGNORED = frozenset(("id", "uid", "source", "dataset", "lang", "language", "split", "created", "timestamp", "conv_id", "turn"))
+#: Sets of paths whose fingerprints a worker remembers.
+REMEMBERED = 4096
 
 
 class Layouts:
-    """Mappings by the fingerprint of their paths."""
+    """Mappings by the fingerprint of their paths.
+
+    ``ignored`` fields at the top of a record (with all that is in them) are left out
+    before the fingerprint is taken. Two mappings with one fingerprint are an error.
+    """
 
-    def __init__(self, mappings: Iterable[Mapping] = MAPPINGS) -> None:
-        self.by_fingerprint = {schema_fingerprint(m.paths): m for m in mappings}
+    def __init__(self, mappings: Iterable[Mapping] = MAPPINGS, ignored: Iterable[str] = IGNORED) -> None:
+        self.by_fingerprint: dict[str, Mapping] = {}
+        self.ignored, self._marks = frozenset(ignored), {}
+        for mapping in mappings:
+            for paths in mapping.path_sets():
+                other = self.by_fingerprint.setdefault(schema_fingerprint(paths), mapping)
+                if other != mapping and paths != {mapping.each}:  # lists without messages are alike
+                    raise ValueError(f"two mappings for the paths {sorted(paths)}")
+
+    def fingerprint(self, record: Any) -> str:
+        """The fingerprint of a record's layout."""
+        if isinstance(record, dict):
+            record = {k: v for k, v in record.items() if k not in self.ignored}
+        paths = frozenset(field_paths(record))
+        if (mark := self._marks.get(paths)) is None:
+            if len(self._marks) >= REMEMBERED:
+                self._marks.clear()
+            mark = self._marks[paths] = schema_fingerprint(paths)
+        return mark
 
     def select(self, record: Any) -> Mapping | None:
-        """The mapping of a record's layout; None if no mapping has exactly its paths."""
-        return self.by_fingerprint.get(schema_fingerprint(field_paths(record)))
+        """The mapping of a record's layout; None if there is none."""
+        return self.by_fingerprint.get(self.fingerprint(record)) if isinstance(record, dict) else None
 
 
 # Template. A turn is "### <Role>: <text></turn>\n". The marks below.
@@ -143,8 +177,11 @@ def canonical_turns(records: DataFrame, record: str = "record", mappings: Iterab
 
     Adds ``schema`` (fingerprint of the record's field paths), ``turns`` (array of
     role, text), ``formatted``, ``loss_spans`` (array of start, end) and ``error``:
-    null, or why there are no turns (unreadable JSON, unknown layout, null). Other
-    columns stay, unless they clash with an added one, which then wins.
+    null, or why there are no turns (unreadable JSON, unknown layout, null). Null and
+    IGNORED fields don't count; a list without messages gives no turns and no error.
+    Other columns stay, unless they clash with an added one, which then wins.
+    Repeated rows repeat, an empty table gives no rows; a record passes through a
+    task whole, however long.
     """
     layouts = Layouts(mappings)
     added = ["schema", "turns", "formatted", "loss_spans", "error"]
@@ -165,8 +202,7 @@ def canonical_turns(records: DataFrame, record: str = "record", mappings: Iterab
                 except ValueError:
                     rows.append((None, None, None, None, "not JSON"))
                     continue
-                mark = schema_fingerprint(field_paths(value))
-                mapping = layouts.by_fingerprint.get(mark)
+                mark, mapping = layouts.fingerprint(value), layouts.select(value)
                 if mapping is None:
                     rows.append((mark, None, None, None, "no record" if value is None else "unknown layout"))
                     continue
@@ -180,18 +216,16 @@ def canonical_turns(records: DataFrame, record: str = "record", mappings: Iterab
     return records.select([f.name for f in kept]).mapInArrow(run, schema)
 
 
-#: The layout of a table with one message a row.
-ROWS = Mapping(("conv_id", "turn", "role", "text"), each="rows", content="text")
-
 _DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
 def conversation_digests(rows: DataFrame) -> DataFrame:
     """Formats conversations of one message a row and digests what is read back; one row per ``conv_id``.
 
-    ``rows`` has ``conv_id``, ``turn``, ``role`` and ``text``; the layout's mapping
-    is selected by the fingerprint of these paths. Rows are taken by ``turn``
-    (null first), ties by role and text; null roles and texts are empty; rows with
+    ``rows`` has ``conv_id``, ``turn``, ``role`` and ``text``. Every row is a record, whose
+    own fingerprint selects its mapping among all ``MAPPINGS``: rows without a role or
+    a text are other layouts than those with both. Rows are taken by ``turn`` (null
+    first), ties by the formatted turn; null roles and texts are empty; rows with
     a null ``conv_id`` are one conversation; repeated rows are repeated turns;
     other columns are ignored; an empty table gives no rows.
 
@@ -199,23 +233,24 @@ def conversation_digests(rows: DataFrame) -> DataFrame:
     conversation's formatted turns then pass in order through one task, which
     keeps digests and counts only, never the conversation.
     """
-    mapping = Layouts([ROWS]).select({f: None for f in ("conv_id", "turn", "role", "text")})
-    if mapping is None:
-        raise ValueError("no mapping for the row layout")
     picked = rows.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
-        F.coalesce(F.col(mapping.role).cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(mapping.content).cast("string"), F.lit("")).alias("text"),
+        F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"),
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        layouts = Layouts()
         for batch in batches:
             parts, starts, ends = [], [], []
-            for role, text in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                (_, text), = mapping.turns({"rows": [{"role": role, "text": text}]})
-                part, span = formatted_turn(role, text)
-                parts.append(part)
-                starts.append(span[0] if span else None)
-                ends.append(span[1] if span else None)
+            for record in batch.to_pylist():
+                mapping = layouts.select(record)
+                if mapping is None:
+                    raise ValueError(f"no mapping for a row with {sorted(field_paths(record))}")
+                for role, text in mapping.turns(record):
+                    part, span = formatted_turn(role, text)
+                    parts.append(part)
+                    starts.append(span[0] if span else None)
+                    ends.append(span[1] if span else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("conv_id"), batch.column("turn"), pa.array(parts, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())],
                 names=["conv_id", "turn", "formatted", "loss_start", "loss_end"])
