@@ -82,6 +82,25 @@ def test_top_k_edges(spark, monkeypatch):
     assert topk_segments.top_k(df.limit(0)).count() == 0
 
 
+def test_segment_bounds_hold_and_prune():
+    rng = np.random.default_rng(3)
+    x, q = np.floor(1024 * rng.normal(size=(3000, 64)) / 8), np.floor(1024 * rng.normal(size=(40, 64)) / 8)
+    for n in topk_segments.levels_of(64):
+        assert (topk_segments.segment_statistics(x, n) @ topk_segments.segment_statistics(q, n).T >= x @ q.T - 1e-3).all()
+    search = topk_segments.Search(np.arange(40) + 10**6, q, 10)
+    search.add(np.arange(2048), x[:2048])
+    again = topk_segments.Search(np.arange(40) + 10**6, q, 10, search.least)
+    again.add(np.arange(3000), x)
+    assert again.pairs == 3000 * 40 and again.left == sorted(again.left, reverse=True) and again.left[-1] < 0.6 * again.pairs
+
+
+def test_products_beyond_doubles_and_longs(spark):
+    """Products above 2**53 are exact; vectors whose products may exceed a long take no part."""
+    rows = [(0, [3.0e5, 1.0]), (1, [2.9e5, 0.001]), (2, [2.9e5, 0.002]), (3, [1e20, 1.0]), (4, [-3.4e38, 0.0]), (5, [1.0, 1e6])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in topk_segments.top_k(df, 5).collect()) == brute_top([r for r in rows if r[0] not in (3, 4)], 5)
+
+
 # 2 ------------------------------------------------------------------
 
 def words_of(text):
@@ -383,6 +402,46 @@ def test_layouts(spark):
     assert chat_schema.canonical_turns(df.limit(0)).count() == 0
 
 
+def test_layouts_with_optional_and_ignored_fields(spark):
+    records = [
+        ({"id": 7, "messages": [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b"}], "source": {"url": "x"}}, [("user", "a"), ("assistant", "b")]),
+        ({"prompt": "a", "completion": "b", "system": "s"}, [("system", "s"), ("user", "a"), ("assistant", "b")]),
+        ({"prompt": "a", "completion": "b", "system": None}, [("user", "a"), ("assistant", "b")]),
+        ({"instruction": "a", "input": "i", "output": "b", "system": "s", "lang": "en"}, [("system", "s"), ("user", "a\n\ni"), ("assistant", "b")]),
+        ({"question": "a", "context": "c", "answer": "b"}, [("user", "c\n\na"), ("assistant", "b")]),
+        ({"messages": []}, []), ({"conversations": []}, []),
+        ({"role": "user", "text": "hi", "conv_id": 4, "turn": 0}, [("user", "hi")]), ({"text": "hi"}, [("", "hi")]), ({}, [("", "")]),
+        ({"messages": [{"role": "user", "content": "a"}], "prompt": "a"}, None), ("text", None), ([], None),
+    ]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, (r, _) in enumerate(records)], "id int, record string")
+    out = {r.id: r for r in chat_schema.canonical_turns(df).collect()}
+    for i, (_, turns) in enumerate(records):
+        assert (None if out[i].turns is None else [tuple(t) for t in out[i].turns]) == turns, records[i]
+        assert out[i].error == (None if turns is not None else "unknown layout")
+    assert len({out[i].schema for i in (0, 1, 3, 4, 7, 8, 9)}) == 7
+    with pytest.raises(ValueError, match="two mappings"):
+        chat_schema.Layouts([chat_schema.Mapping(("a",)), chat_schema.Mapping((), optional=("a",))])
+
+
+def test_conversation_query_equals_brute_force(spark):
+    """The whole table and conversation -7, formatted once more by the rules: every column."""
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    rows += [(-7, t, r, "\\### Assistant: </turn> ok") for t, r in enumerate(("user", "assistant"))]
+    got = {r.conv_id: tuple(r) for r in queries.queries()["op7_schema_chat"](spark, SF).collect()}
+    groups = collections.defaultdict(list)
+    for c, turn, role, text in sorted(rows):
+        groups[c].append((role, text or ""))
+    for c, turns in groups.items():
+        loss = "".join(t for r, t in turns if r == "assistant")
+        chars = 0
+        for role, text in turns:
+            marks = text.count("\\") + text.count("###") + text.count("</turn>")
+            chars += len("### ") + len(role) + len(": ") + len(text) + marks + len("</turn>\n")
+        whole = "".join(f"{r}\n{t}\n" for r, t in turns)
+        assert got.pop(c) == (c, len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), chars)
+    assert not got
+
+
 def test_template_is_reversible():
     rng = random.Random(4)
     parts = ["\\", "###", "### User: ", "</turn>", "\n", "<", "/turn>", "x", "é", "</turn>\n### Assistant: "]
