@@ -1176,6 +1176,30 @@ def stream_ingest_counts(spark, sf):
     return counts.crossJoin(spark.read.parquet(f"{path}/sent").agg(F.count(F.lit(1)).alias("sent")))
 
 
+_FILE_FRAMES = """files AS (SELECT source, hex(encode(string_agg(text || chr(10), '' ORDER BY doc_id))) AS h FROM documents GROUP BY source),
+  sized AS (SELECT *, length(h) // 2 AS n FROM files),
+  cut AS (SELECT *, unnest(generate_series(0, n // 4096))::BIGINT AS frame_seq FROM sized)"""
+
+
+@register("stream_sliced_frames", f"""WITH {_FILE_FRAMES} SELECT source, frame_seq,
+  CASE WHEN n - frame_seq * 4096 >= 4096 THEN md5(unhex(substr(h, frame_seq * 8192 + 1, 8192))) END AS digest,
+  CASE WHEN n - frame_seq * 4096 < 4096 THEN 'partial frame of ' || (n - frame_seq * 4096) || ' bytes' END AS error
+  FROM cut WHERE n > frame_seq * 4096 AND (frame_seq = 0 OR floor(frame_seq * 0.4) <> floor((frame_seq - 1) * 0.4) OR n - frame_seq * 4096 < 4096)""")
+def stream_sliced_frames(spark, sf):
+    """Arriving files of any size: a listing cut into byte ranges that tasks read, thinned from 5 to 2 frames per second.
+
+    The files hold the texts of one source each, a line per document.
+    """
+    folder = scratch_path(spark, "files")
+    texts = V.table(spark, sf, "documents").select("source", "doc_id", "text")
+    texts.repartition("source").sortWithinPartitions("source", "doc_id").select("source", "text").write.partitionBy("source").text(folder)
+    shape = FrameShape(64, 64, 1)
+    slices = SF.raw_slices(SF.stream_listing(spark, f"{folder}/*", "part-*"), shape, frames_per_slice=7)
+    frames = SF.slice_outcomes(slices, shape, 2 / 5)
+    source = F.regexp_extract(F.url_decode("path"), "source=([^/]*)/", 1).alias("source")
+    return _drained(spark, frames.select(source, "frame_seq", F.md5("data").alias("digest"), "error"), "sliced")
+
+
 _MIXED = f"""mixed AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN 'frame size 10 is not 64' WHEN vec_id % 11 = 0 THEN 'missing frame' END AS error, data
   FROM ({_SHRINK_SQL}))"""
 

@@ -44,6 +44,8 @@ def _parser() -> argparse.ArgumentParser:
     one = job("ingest", "videos to frame messages", "videos", "servers", "checkpoint")
     one.add_argument("--table", help="folder for errors and counts; beside the checkpoint if not given")
     one.add_argument("--topic", default="video-stream")
+    one.add_argument("--frame-rate", type=int, default=1, help="frames per second to send")
+    one.add_argument("--source-rate", type=float, help="frames per second in the files; without it all frames are sent")
     one.add_argument("--raw", action="store_true", help="containers hold raw frames")
     one = job("resize", "frame topic to thumbnail topic", "servers", "checkpoint")
     one.add_argument("--table", help="folder for thumbnails, errors and counts; beside the checkpoint if not given")
@@ -76,7 +78,7 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
         etl.copy_database_table(spark, args.url, args.table, args.out, partition_column=args.partition_column,
                                 bounds=bounds, partitions=args.partitions)
     elif args.job == "ingest":
-        config = IngestConfig(args.videos, args.servers, args.topic)
+        config = IngestConfig(args.videos, args.servers, args.topic, frame_rate=args.frame_rate, source_rate=args.source_rate)
         run_with_restarts(lambda: ingest.ingest(spark, config, args.checkpoint, args.table, decoder))
     elif args.job == "resize":
         run_with_restarts(lambda: ingest.resize(

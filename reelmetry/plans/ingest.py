@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reelmetry.operators.counters import LABELS, measure_messages
-from reelmetry.operators.frames import Decoder, drop_empty, envelope
+from reelmetry.operators.frames import Decoder, decode_frames, drop_empty, envelope, resample_constant
 from reelmetry.schemas import FrameShape, IngestConfig
 from reelmetry.sources import kafka
-from reelmetry.sources.files import VIDEO_GLOB, stream_videos
-from reelmetry.streaming.jobs import resize_stream, unfold_outcomes, unfold_videos, writer
+from reelmetry.sources.files import VIDEO_GLOB, raw_slices, slice_outcomes, stream_listing, stream_videos
+from reelmetry.streaming.jobs import resize_stream, unfold_videos, with_empty_errors, writer
 from reelmetry.streaming.outcomes import keep_outcomes, send_outcomes
 from reelmetry.streaming.totals import add_to_totals, consumption_summary
 
@@ -26,10 +26,24 @@ def video_frames(spark: SparkSession, config: IngestConfig, decoder: Decoder | N
 
 
 def video_outcomes(spark: SparkSession, config: IngestConfig, decoder: Decoder | None = None,
-                   tasks: int | None = None, glob: str = VIDEO_GLOB) -> DataFrame:
-    """``video_frames`` with the bad frames: no data, and a message in ``error``."""
-    frames = unfold_outcomes(stream_videos(spark, config.video_path, glob), config.frame, decoder, tasks)
-    return envelope(frames, config.frame, rate=config.frame_rate, keep=("error",))
+                   tasks: int | None = None, glob: str = VIDEO_GLOB, frames_per_slice: int = 512) -> DataFrame:
+    """Frames of arriving videos of any size in their envelope, the bad ones with a message in ``error`` and no data.
+
+    The stream is a listing without content. Raw containers are cut into byte ranges
+    that many tasks read, encoded ones are opened in the tasks. If the files'
+    rate is known, one frame per tick of ``frame_rate`` is kept, in the same pass:
+    of raw files the others are not even read.
+    """
+    files = stream_listing(spark, config.video_path, glob)
+    thinned = config.source_rate is not None and config.source_rate > config.frame_rate
+    if decoder is None:
+        slices = raw_slices(files, config.frame, frames_per_slice)
+        frames = slice_outcomes(slices, config.frame, config.frame_rate / config.source_rate if thinned else None, tasks)
+    else:
+        spread = files.repartition(tasks, "path") if tasks else files
+        frames = with_empty_errors(decode_frames(spread, decoder, open_in_task=True))
+        frames = resample_constant(frames, config.source_rate, config.frame_rate) if thinned else frames
+    return envelope(frames, config.frame, rate=config.source_rate or config.frame_rate, keep=("error",))
 
 
 def to_topic(options: dict[str, str]) -> Callable[[DataFrame], None]:

@@ -88,10 +88,14 @@ class IngestConfig:
     frame: FrameShape = FrameShape()
     frame_rate: int = 1
     video_format: str = "mp4"
+    #: Frames per second in the files; with it, frames are thinned to ``frame_rate``.
+    source_rate: float | None = None
 
     def __post_init__(self) -> None:
         for name in ("video_path", "topic", "video_format"):
             if not getattr(self, name):
                 raise ValueError(f"{name} must not be empty")
+        if self.source_rate is not None and self.source_rate <= 0:
+            raise ValueError("source_rate must be positive")
         if self.frame_rate <= 0:
             raise ValueError("frame_rate must be positive")

@@ -15,7 +15,7 @@ from reelmetry.operators.series import ordered_files
 from reelmetry.operators.skew import BROADCAST_ROWS, rows_within
 from reelmetry.schemas import IMAGE_LIST_SCHEMA, METRIC_CSV_SCHEMA, METRICS, FrameShape
 from reelmetry.session import spread_count
-from reelmetry.sources.slices import slice_reader
+from reelmetry.sources.slices import outcome_reader, slice_reader
 
 # --- fixed values: file name patterns ---
 VIDEO_GLOB = "video_[0-9][0-9].mp4"
@@ -182,3 +182,34 @@ def raw_file_frames(spark: SparkSession, folder: str, shape: FrameShape = FrameS
     pieces = listing.agg(F.sum(F.ceil(F.col("_frames") / frames_per_slice))).first()[0] or 1
     ranges = ranges.repartition(spread_count(spark, pieces), "path", "first")
     return ranges.mapInArrow(slice_reader(size), "path string, frame_seq bigint, data binary")
+
+
+def raw_slices(listing: DataFrame, shape: FrameShape = FrameShape(), frames_per_slice: int = 512) -> DataFrame:
+    """Byte ranges of raw containers, batch or stream: ``path``, ``first`` frame, ``n`` frames, ``rest`` bytes after the last one.
+
+    ``listing`` has ``path`` and ``length``; content is never a column, so a file may
+    be of any size.
+    """
+    size = shape.nbytes
+    frames, rest = F.floor(F.col("length") / size), F.col("length") % size
+    last = F.greatest(F.ceil((F.col("_frames") + (F.col("_rest") > 0).cast("long")) / frames_per_slice) - 1, F.lit(0))
+    cut = listing.select("path", frames.alias("_frames"), rest.alias("_rest")).select("*", last.alias("_last")).select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last"))).alias("_slice"))
+    first = F.col("_slice") * frames_per_slice
+    n = F.greatest(F.least(F.lit(frames_per_slice), F.col("_frames") - first), F.lit(0).cast("long"))
+    return cut.select(
+        "path", F.least(first, F.col("_frames")).alias("first"), n.alias("n"), F.when(F.col("_slice") == F.col("_last"), F.col("_rest")).otherwise(0).alias("rest"))
+
+
+def slice_outcomes(slices: DataFrame, shape: FrameShape = FrameShape(), ratio: float | None = None, tasks: int | None = None) -> DataFrame:
+    """Frames of ``raw_slices``: ``path``, ``frame_seq``, ``data``, ``error``; the slices are spread, each is read where it lands.
+
+    ``ratio``: wanted frames per frame of the file; the others are not read.
+    """
+    spread = slices.repartition(tasks or spread_count(slices.sparkSession, 1 << 30), "path", "first")
+    return spread.mapInArrow(outcome_reader(shape.nbytes, ratio), "path string, frame_seq bigint, data binary, error string")
+
+
+def stream_listing(spark: SparkSession, folder: str, glob: str = VIDEO_GLOB, files_per_batch: int | None = None) -> DataFrame:
+    """New files as they appear, ``path`` and ``length`` only."""
+    return stream_videos(spark, folder, glob, files_per_batch).select("path", "length")

@@ -27,14 +27,17 @@ def unfold_videos(videos: DataFrame, shape: FrameShape = FrameShape(), decoder:
     return decode_frames(spread, decoder) if decoder else split_raw(spread, shape)
 
 
+def with_empty_errors(frames: DataFrame) -> DataFrame:
+    """Frames without a byte get a message as well."""
+    empty = F.octet_length("data") == 0
+    return frames.withColumn("error", F.when(F.col("error").isNull() & empty, "empty frame").otherwise(F.col("error")))
+
+
 def unfold_outcomes(videos: DataFrame, shape: FrameShape = FrameShape(), decoder: Decoder | None = None,
                     tasks: int | None = None) -> DataFrame:
     """``unfold_videos`` with ``error``: frames that did not convert, partial and empty ones are rows with a message."""
     spread = videos.repartition(tasks, "path") if tasks else videos
-    if decoder is None:
-        return split_raw_outcomes(spread, shape)
-    empty = F.octet_length("data") == 0
-    return decode_frames(spread, decoder).withColumn("error", F.when(F.col("error").isNull() & empty, "empty frame").otherwise(F.col("error")))
+    return with_empty_errors(decode_frames(spread, decoder)) if decoder else split_raw_outcomes(spread, shape)
 
 
 def resize_stream(frames: DataFrame, shape: FrameShape = FrameShape(), height: int = 64, width: int = 64) -> DataFrame:

@@ -12,6 +12,7 @@ from reelmetry.operators.frames import split_raw, split_raw_outcomes
 from reelmetry.plans import inference, ingest, training
 from reelmetry.operators.frames import with_features
 from reelmetry.schemas import FrameShape, IngestConfig
+from reelmetry.sources import files as SF
 from reelmetry.streaming import jobs as J
 from reelmetry.streaming import outcomes as OC
 from reelmetry.streaming import ticks as TK
@@ -146,7 +147,8 @@ def test_ingest_job_counts_and_lists_bad_frames(spark, tmp_path):
     (folder / "video_01.mp4").write_bytes(bytes(range(48)) * 3 + b"rest")
     (folder / "video_02.mp4").write_bytes(bytes(48))
 
-    def decoder(payload):
+    def decoder(source):
+        payload = source.read()
         yield from (payload[i : i + 48] if len(payload[i : i + 48]) == 48 else None for i in range(0, len(payload), 48))
 
     for name, own in (("raw", None), ("decoded", decoder)):
@@ -234,3 +236,38 @@ def test_unfinished_totals_are_passed_over(spark, tmp_path):
     before = totals_of(spark, path)
     write(messages(spark, []), 2)
     assert totals_of(spark, path) == before
+
+
+# Arriving files ------------------------------------------------------
+
+@pytest.mark.parametrize("per_slice", [1, 3, 512])
+def test_files_are_read_in_slices(spark, tmp_path, per_slice):
+    shape, folder = FrameShape(2, 2, 1), tmp_path / "v"
+    folder.mkdir()
+    bodies = {"video_01.mp4": b"abcdefghijklmnop", "video_02.mp4": b"123456", "video_03.mp4": b"12", "video_04.mp4": bytes(range(44))}
+    for name, body in bodies.items():
+        (folder / name).write_bytes(body)
+    (folder / "other.txt").write_bytes(b"xxxx")
+    for rate, source in ((1, None), (2, 5.0)):
+        config = IngestConfig(str(folder), frame=shape, frame_rate=rate, source_rate=source)
+        out = str(tmp_path / f"out-{rate}")
+        J.drain_to_table(ingest.video_outcomes(spark, config, tasks=3, frames_per_slice=per_slice), out, f"{out}.c")
+        got = sorted((r.video.rsplit("/", 1)[1], r.frame_seq, bytes(r.data) if r.data else None, r.error) for r in spark.read.parquet(out).collect())
+        wanted = []
+        for name, body in bodies.items():
+            for i in range(0, len(body), 4):
+                n, frame = i // 4, body[i : i + 4]
+                if len(frame) < 4:
+                    wanted.append((name, n, None, f"partial frame of {len(frame)} bytes"))
+                elif source is None or n == 0 or n * 2 // 5 != (n - 1) * 2 // 5:
+                    wanted.append((name, n, frame, None))
+        assert got == sorted(wanted)
+    assert SF.stream_listing(spark, str(folder)).columns == ["path", "length"]
+
+
+def test_more_slices_than_files_use_more_tasks(spark, tmp_path):
+    (tmp_path / "video_01.mp4").write_bytes(bytes(4 * 400))
+    listing = SF.read_binary(spark, str(tmp_path)).select("path", "length")
+    frames = SF.slice_outcomes(SF.raw_slices(listing, FrameShape(2, 2, 1), 10), FrameShape(2, 2, 1), tasks=4)
+    assert frames.select(F.spark_partition_id().alias("p")).distinct().count() == 4
+    assert frames.count() == 400
