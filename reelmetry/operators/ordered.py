@@ -21,7 +21,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from reelmetry.operators.skew import BROADCAST_ROWS
+from reelmetry.operators.skew import BROADCAST_ROWS, store
 
 #: Rows that one window task may be given.
 TARGET_ROWS = 2_000_000
@@ -31,14 +31,9 @@ TARGET_ROWS = 2_000_000
 #: of 5 * 10**7 rows, all series together.
 MAX_CHUNKS = 20_000
 
-#: Most chunks when the order is text, whose cut points are compared one by one.
-MAX_NAME_CHUNKS = 1_000
-
-#: Sampled names per chunk when the order is text.
-NAMES_PER_CHUNK = 50
-
 CHUNK = "_chunk"
 _NUMERIC = "_order_number"
+_PLACE, _ID, _TASK = "_place", "_row_id", "_task"
 
 
 def _order_number(df: DataFrame, order: str) -> Column:
@@ -94,7 +89,8 @@ def previous(value: str, name: str) -> Step:
     return Step(
         name,
         lambda w: F.struct(F.row_number().over(w).alias("n"), F.lag(value).over(w).alias("v")),
-        lambda order: F.max_by(value, order),
+        # Rows without an order come first and have a chunk of their own.
+        lambda order: F.coalesce(F.max_by(value, order), F.max(F.when(F.col(order).isNull(), F.col(value)))),
         lambda last, w: F.lag(last).over(w),
         lambda local, edge: F.when(local["n"] == 1, edge).otherwise(local["v"]),
     )
@@ -106,7 +102,7 @@ def last_known(value: Column | str, name: str) -> Step:
     return Step(
         name,
         lambda w: F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        lambda order: F.max_by(value, F.when(value.isNotNull(), F.col(order))),
+        lambda order: F.coalesce(F.max_by(value, F.when(value.isNotNull(), F.col(order))), F.max(F.when(F.col(order).isNull(), value))),
         lambda last, w: F.last(last, ignorenulls=True).over(_before(w)),
         lambda local, edge: F.coalesce(local, edge),
     )
@@ -118,7 +114,7 @@ def next_known(value: Column | str, name: str) -> Step:
     return Step(
         name,
         lambda w: F.first(value, ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
-        lambda order: F.min_by(value, F.when(value.isNotNull(), F.col(order))),
+        lambda order: F.coalesce(F.min_by(value, F.when(value.isNotNull(), F.col(order))), F.min(F.when(F.col(order).isNull(), value))),
         lambda first, w: F.first(first, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)),
         lambda local, edge: F.coalesce(local, edge),
     )
@@ -202,8 +198,10 @@ def cut(df: DataFrame, keys: Sequence[str], order: str, target_rows: int = TARGE
         profile = profile.join(F.broadcast(long_series), list(keys), "left_semi")
         rows = sum(row["_n"] for row in found)
     pieces = min(math.ceil(rows / target_rows), MAX_CHUNKS)
-    textual = profile.schema[order].dataType.typeName() == "string"
-    chunked = _chunk_names(df, order, profile, rows, pieces) if textual else _chunk_numbers(df, order, profile, pieces)
+    if profile.schema[order].dataType.typeName() == "string":
+        numbered = number_in_order(df, keys, order, _PLACE)
+        return OrderedSeries(cut_regular(numbered, keys, order, F.col(_PLACE), target_rows).df.drop(_PLACE), keys, order, single=False)
+    chunked = _chunk_numbers(df, order, profile, pieces)
     if chunked is None:
         return whole
     # Never null, so the joins on it add no filter that would keep Spark from
@@ -227,18 +225,24 @@ def _chunk_numbers(df: DataFrame, order: str, profile: DataFrame, pieces: int) -
     return bucketizer.transform(df.withColumn(_NUMERIC, _order_number(df, order))).drop(_NUMERIC)
 
 
-def _chunk_names(df: DataFrame, order: str, profile: DataFrame, rows: int, pieces: int) -> DataFrame | None:
-    """Chunks of text order. A bounded sample of names places the cut points;
-    every row is kept and gets its chunk from those fixed points."""
-    pieces = min(pieces, MAX_NAME_CHUNKS)
-    wanted = NAMES_PER_CHUNK * pieces
-    sample = profile.select(order).filter(F.col(order).isNotNull()).sample(min(1.0, wanted / rows), seed=1)
-    names = sorted(row[0] for row in sample.toLocalIterator())
-    points = sorted({names[len(names) * i // pieces] for i in range(1, pieces)}) if names else []
-    if not points:
-        return None
-    passed = F.size(F.filter(F.array(*[F.lit(p) for p in points]), lambda p: p <= F.col(order)))
-    return df.withColumn(CHUNK, passed)
+def number_in_order(df: DataFrame, keys: Sequence[str], order: str, name: str = "pos") -> DataFrame:
+    """0-based row position in each series, for an order of any type and series of any length.
+
+    The rows are dealt by ranges of (keys, order) and sorted, so a long series lies
+    in consecutive tasks and a row's number in its task is at hand. The numbered rows
+    are stored once. A table of one row per series and task it touches gives the
+    rows before; no list of cut points is part of an expression. Rows without a key
+    drop out, rows without an order come first.
+    """
+    keys = list(keys)
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    dealt = _keyed(df, keys).repartitionByRange(tasks, *keys, order).sortWithinPartitions(*keys, order)
+    # The id is the task's number in the high bits and the row's in the lower 33.
+    rows = store(dealt.withColumn(_ID, F.monotonically_increasing_id()), "numbered").withColumn(_TASK, F.shiftright(_ID, 33))
+    runs = rows.groupBy(*keys, _TASK).agg(F.min(_ID).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(_before(Window.partitionBy(*keys).orderBy(_TASK))), F.lit(0))
+    offsets = runs.select(*keys, _TASK, (before - F.col("_first")).alias("_offset"))
+    return rows.join(offsets, [*keys, _TASK]).withColumn(name, F.col(_ID) + F.col("_offset")).drop(_ID, _TASK, "_offset")
 
 
 def cut_regular(df: DataFrame, keys: Sequence[str], order: str, step: Column,

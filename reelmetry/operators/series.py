@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelmetry.operators.ordered import (
-    TARGET_ROWS, OrderedSeries, centred_mean, cut, last_known, next_known, position, previous,
+    TARGET_ROWS, OrderedSeries, centred_mean, cut, last_known, next_known, number_in_order, position, previous,
 )
+from reelmetry.operators.skew import rows_within
 from reelmetry.schemas import METRICS
 
 SERIES = ["producer", "metric"]
@@ -125,4 +126,7 @@ def frame_markers(samples: DataFrame, every: int = 100, target_rows: int = TARGE
 def ordered_files(files: DataFrame, folder: str = "folder", name: str = "name",
                   target_rows: int = TARGET_ROWS) -> DataFrame:
     """Directory listing with a 0-based sequence by name within each folder."""
-    return cut(files, [folder], name, target_rows).run(position("frame_seq")).result()
+    if rows_within(files, target_rows):
+        in_folder = Window.partitionBy(folder).orderBy(name)
+        return files.filter(F.col(folder).isNotNull()).withColumn("frame_seq", (F.row_number().over(in_folder) - 1).cast("long"))
+    return number_in_order(files, [folder], name, "frame_seq")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reelmetry.operators.ordered import (
-    CHUNK, centred_mean, cut, cut_regular, last_known, next_known, position, previous, running_total,
+    CHUNK, centred_mean, cut, cut_regular, last_known, next_known, number_in_order, position, previous, running_total,
 )
 from reelmetry.operators.quantiles import exact_quantile
 from reelmetry.operators.series import ordered_files
@@ -131,3 +131,33 @@ def test_ordered_files_by_name(spark):
         for folder, group in got.groupby("folder"):
             assert group.sort_values("frame_seq").name.tolist() == sorted(n for f, n in names if f == folder)
             assert sorted(group.frame_seq) == list(range(len(group)))
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_numbers_in_order_of_skewed_names(spark, partitions):
+    """One folder and one long prefix hold nearly all names; a folder's numbers have no gap, whatever the tasks."""
+    names = [("hot", "a" * 200 + f"{i:05d}") for i in range(3000)] + [("hot", n) for n in ("b", "", "ä", "日")]
+    names += [(f"f{i}", str(j)) for i in range(40) for j in range(i)] + [("hot", None), (None, "x")]
+    df = spark.createDataFrame(names, "folder string, name string").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        got = number_in_order(df, ["folder"], "name", "pos").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(got) == len(names) - 1
+    for folder in {f for f, _ in names if f}:
+        own = sorted((r.pos, r.name) for r in got if r.folder == folder)
+        wanted = sorted((n for f, n in names if f == folder), key=lambda n: (n is not None, (n or "").encode()))
+        assert own == list(enumerate(wanted))
+
+
+@pytest.mark.parametrize("target", [10_000, 40])
+def test_a_row_without_an_order_comes_first(spark, target):
+    """One window or chunks: the row without an order is the one before the first."""
+    rows = [("k", None, 90.0)] + [("k", i, float(i) if i > 2 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "key string, seq long, value double")
+    series = cut(df, ["key"], "seq", target).run(previous("value", "prev"), last_known("value", "back"), next_known("value", "ahead"), position("pos"))
+    got = {r.seq: (r.prev, r.back, r.ahead, r.pos) for r in series.result().collect()}
+    assert got[None] == (None, 90.0, 90.0, 0)
+    assert got[0] == (90.0, 90.0, 3.0, 1) and got[1] == (None, 90.0, 3.0, 2) and got[4] == (3.0, 4.0, 4.0, 5)
