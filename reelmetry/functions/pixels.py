@@ -29,6 +29,9 @@ GRAY_WEIGHTS = (3735, 19235, 9798)
 GRAY_BITS = 15
 WEIGHT_BITS = 11
 
+#: Most row pairs that an expression cuts out one by one; taller frames are sent whole.
+MOST_PAIRS = 512
+
 
 def _axis_weights(source: int, target: int):
     """Left neighbour, right neighbour and right weight for every target index."""
@@ -69,6 +72,16 @@ def resize_pixels(frames: np.ndarray, height: int, width: int) -> np.ndarray:
     return np.clip((upper + lower + 2) >> 2, 0, 255).astype(np.uint8)
 
 
+def shrink_pairs(pairs: np.ndarray) -> np.ndarray:
+    """The 4:1 shrink of frames of which only the two middle rows of every four are there, shaped (n, h / 2, w, c)."""
+    total = pairs[:, 0::2, 1::4].astype(np.uint16)
+    total += pairs[:, 0::2, 2::4]
+    total += pairs[:, 1::2, 1::4]
+    total += pairs[:, 1::2, 2::4]
+    total += 2
+    return (total >> 2).astype(np.uint8)
+
+
 def gray_pixels(frames: np.ndarray) -> np.ndarray:
     """BGR frames (n, h, w, 3) to gray frames (n, h, w, 1)."""
     b, g, r = (frames[..., i].astype(np.int32) * GRAY_WEIGHTS[i] for i in range(3))
@@ -97,21 +110,38 @@ def _binary_array(flat: np.ndarray, size: int, present: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(present), buffers).cast(pa.binary())
 
 
+def _in_pairs(shape: FrameShape, height: int, width: int) -> bool:
+    """Whether a resize is the 4:1 shrink, which needs two rows of four."""
+    return (shape.height, shape.width) == (4 * height, 4 * width) and height <= MOST_PAIRS
+
+
+def _sent(data: Column, shape: FrameShape, height: int, width: int) -> Column:
+    """The bytes that a kernel needs of a frame, cut out before they leave the JVM; null for a payload of a wrong size."""
+    right = F.octet_length(data) == shape.nbytes
+    if not _in_pairs(shape, height, width):
+        return F.when(right, data)
+    row = shape.width * shape.channels
+    return F.when(right, F.concat(*[F.substring(data, (4 * y + 1) * row + 1, 2 * row) for y in range(height)]))
+
+
+def _resized(data: pa.Array, shape: FrameShape, height: int, width: int, gray: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The resized frames of the payloads that are there, and which are."""
+    data = _as_binary(data)
+    present = np.asarray(pc.is_valid(data).to_numpy(zero_copy_only=False), dtype=bool)
+    pairs = _in_pairs(shape, height, width)
+    frames = _payload(data.filter(pa.array(present))).reshape(-1, 2 * height if pairs else shape.height, shape.width, shape.channels)
+    frames = gray_pixels(frames) if gray else frames
+    return shrink_pairs(frames) if pairs else resize_pixels(frames, height, width), present
+
+
 def _frames_udf(shape: FrameShape, height: int, width: int, gray: bool):
-    """Arrow function from raw frames of one shape to resized frames; wrong sizes give null."""
-    nbytes, dims, channels = shape.nbytes, (shape.height, shape.width, shape.channels), shape.channels
-    if gray and channels != 3:
+    """Arrow function from what ``_sent`` sends of frames of one shape to resized frames; null stays null."""
+    if gray and shape.channels != 3:
         raise ValueError("gray conversion needs 3 channels")
 
     @F.arrow_udf(T.BinaryType())
     def convert(data: pa.Array) -> pa.Array:
-        data = _as_binary(data)
-        fits = pc.fill_null(pc.equal(pc.binary_length(data), nbytes), False)
-        frames = _payload(data.filter(fits)).reshape(-1, *dims)
-        if gray:
-            frames = gray_pixels(frames)
-        out = resize_pixels(frames, height, width)
-        present = np.asarray(fits.to_numpy(zero_copy_only=False), dtype=bool)
+        out, present = _resized(data, shape, height, width, gray)
         return _binary_array(out, height * width * out.shape[-1], present)
 
     return convert
@@ -129,14 +159,14 @@ def size_error(data: Column, shape: FrameShape) -> Column:
 def resize_frame(data: Column, shape: FrameShape = FrameShape(),
                  height: int = THUMB_HEIGHT, width: int = THUMB_WIDTH) -> Column:
     """Struct (data, error): the resized frame, or null and the reason."""
-    out = _frames_udf(shape, height, width, gray=False)(data)
+    out = _frames_udf(shape, height, width, gray=False)(_sent(data, shape, height, width))
     return F.struct(out.alias("data"), size_error(data, shape).alias("error"))
 
 
 def gray_frame(data: Column, shape: FrameShape = FrameShape(),
                height: int = THUMB_HEIGHT, width: int = THUMB_WIDTH) -> Column:
     """Struct (data, error): gray, then resized."""
-    out = _frames_udf(shape, height, width, gray=True)(data)
+    out = _frames_udf(shape, height, width, gray=True)(_sent(data, shape, height, width))
     return F.struct(out.alias("data"), size_error(data, shape).alias("error"))
 
 
@@ -159,21 +189,17 @@ def signed_values(data: Column) -> Column:
 def frame_features(data: Column, shape: FrameShape = FrameShape(), height: int = THUMB_HEIGHT, width: int = THUMB_WIDTH) -> Column:
     """Struct (data, features): the resized frame and its signed values, from one conversion; a bad frame has null and zeros."""
     size = height * width * shape.channels
-    dims = (shape.height, shape.width, shape.channels)
 
     @F.arrow_udf(T.StructType([T.StructField("data", T.BinaryType()), T.StructField("features", T.ArrayType(T.FloatType()))]))
     def convert(data: pa.Array) -> pa.Array:
-        data = _as_binary(data)
-        fits = pc.fill_null(pc.equal(pc.binary_length(data), shape.nbytes), False)
-        out = resize_pixels(_payload(data.filter(fits)).reshape(-1, *dims), height, width)
-        present = np.asarray(fits.to_numpy(zero_copy_only=False), dtype=bool)
+        out, present = _resized(data, shape, height, width, gray=False)
         values = np.zeros((len(present), size), dtype=np.float32)
         values[present] = np.ascontiguousarray(out).reshape(-1, size).view(np.int8)
         offsets = np.arange(0, (len(present) + 1) * size, size, dtype=np.int32)
         features = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.reshape(-1)))
         return pa.StructArray.from_arrays([_binary_array(out, size, present), features], names=["data", "features"])
 
-    return convert(data)
+    return convert(_sent(data, shape, height, width))
 
 
 def make_image_resizer(height: int, width: int):

@@ -186,7 +186,7 @@ def test_frames_are_converted_once(spark):
         with_features(J.resize_stream(frames, shape, 2, 2)).withColumn("indexedLabel", F.lit(0.0)))
     scored = inference.score_outcomes(frames, fitted, shape, 2, 2)
     plan = scored._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("convert(data") == 1, plan
+    assert plan.count("convert(") == 1, plan
 
 
 # Totals --------------------------------------------------------------
