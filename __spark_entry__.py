@@ -1258,6 +1258,20 @@ def stream_deduplicated(spark, sf):
     return _drained(spark, once.select("video", "frame_seq"), "deduplicated")
 
 
+@register("stream_resized_once", f"""WITH {_MIXED} SELECT 'v' || (vec_id % 3) || '/' || vec_id AS key, CASE WHEN error IS NULL THEN data END AS value, error FROM mixed""")
+def stream_resized_once(spark, sf):
+    """The resize job over a topic that holds every frame three times, in several batches: one thumbnail or error each."""
+    frames = _mixed_frames(V.frames8(spark, sf))
+    key = F.concat(F.lit("v"), F.col("vec_id") % 3, F.lit("/"), F.col("vec_id")).cast("binary").alias("key")
+    sent = frames.select(key, F.col("data").alias("value"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("copy"))
+    topic = scratch_path(spark, "topic")
+    sent.repartition(5, "copy", "key").select("key", "value").write.parquet(topic)
+    stream = spark.readStream.schema(spark.read.parquet(topic).schema).option("maxFilesPerTrigger", 2).parquet(topic)
+    with TK.rocks_db(spark):
+        once = _drained(spark, IN.resized_once(stream, FrameShape(8, 8, 1), 2, 2), "once")
+    return once.select(F.col("key").cast("string").alias("key"), F.hex("value").alias("value"), "error")
+
+
 # --------------------------------------------------------------------------
 # Training-data operators, if they are there
 # --------------------------------------------------------------------------

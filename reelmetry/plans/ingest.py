@@ -13,8 +13,10 @@ from reelmetry.operators.frames import Decoder, decode_frames, drop_empty, envel
 from reelmetry.schemas import FrameShape, IngestConfig
 from reelmetry.sources import kafka
 from reelmetry.sources.files import VIDEO_GLOB, raw_slices, slice_outcomes, stream_listing, stream_videos
+from reelmetry.streaming.copies import first_copies
 from reelmetry.streaming.jobs import resize_stream, unfold_videos, with_empty_errors, writer
 from reelmetry.streaming.outcomes import keep_outcomes, send_outcomes
+from reelmetry.streaming.ticks import rocks_db
 from reelmetry.streaming.totals import add_to_totals, consumption_summary
 
 
@@ -65,6 +67,15 @@ def resized_outcomes(messages: DataFrame, shape: FrameShape = FrameShape(), heig
     return resized.select("key", F.col("data").alias("value"), "error")
 
 
+def resized_once(messages: DataFrame, shape: FrameShape = FrameShape(), height: int = 64, width: int = 64) -> DataFrame:
+    """``resized_outcomes`` without the copies that an at-least-once topic may hold; messages without a frame key all stay."""
+    named = resized_outcomes(messages, shape, height, width)
+    key = F.decode(F.col("key"), "UTF-8")
+    found = named.withColumns({
+        "video": F.regexp_extract(key, kafka.FRAME_KEY, 1), "frame_seq": F.nullif(F.regexp_extract(key, kafka.FRAME_KEY, 2), F.lit("")).cast("long")})
+    return first_copies(found).select("key", "value", "error")
+
+
 def resized_messages(messages: DataFrame, shape: FrameShape = FrameShape(), height: int = 64, width: int = 64) -> DataFrame:
     """The messages of the good frames alone; the job keeps the bad ones as well."""
     return resized_outcomes(messages, shape, height, width).filter("error is null").drop("error")
@@ -74,13 +85,15 @@ def resize(spark: SparkSession, servers: str, checkpoint: str, table: str, sourc
            target: str = kafka.PROCESSED_TOPIC, min_partitions: int | None = None, records_per_batch: int | None = None) -> StreamingQuery:
     """Frame topic to thumbnail topic; a batch takes all there is unless ``records_per_batch`` says less.
 
-    ``table`` gets thumbnails and errors apart, and the counts; what is sent is read from there.
+    ``table`` gets thumbnails and errors apart, and the counts; what is sent is read
+    from there. A frame that the source topic holds several times is sent once.
     """
     read = kafka.source_options(servers, source, starting="earliest", per_trigger=records_per_batch,
                                 min_partitions=min_partitions)
     send = to_topic(kafka.sink_options(servers, target))
     batches = keep_outcomes(table, lambda rows: send(rows.select("key", "value")))
-    return writer(resized_outcomes(kafka.read_stream(spark, read)), checkpoint).foreachBatch(batches).start()
+    with rocks_db(spark):
+        return writer(resized_once(kafka.read_stream(spark, read)), checkpoint).foreachBatch(batches).start()
 
 
 def consumer_totals(messages: DataFrame, now: Column, application: str = "kafka-service",

@@ -23,6 +23,9 @@ BATCHING_OPTIONS = {"kafka.linger.ms": "100", "kafka.batch.size": "16384"}
 FRAME_TOPIC, PROCESSED_TOPIC = "video-stream", "processed-data"
 RECORDS_PER_POLL = 50
 
+#: The key of a frame message: video and frame number.
+FRAME_KEY = r"^(.*)/(\d+)$"
+
 
 def source_options(servers: str, topic: str = FRAME_TOPIC, *, starting: str = "latest",
                    per_trigger: int | None = None, min_partitions: int | None = None,
@@ -73,8 +76,8 @@ def from_messages(messages: DataFrame) -> DataFrame:
     """Frames of keyed messages, with the record time as ``ts``."""
     key = F.decode(F.col("key"), "UTF-8")
     return messages.select(
-        F.regexp_extract(key, r"^(.*)/(\d+)$", 1).alias("video"),
-        F.nullif(F.regexp_extract(key, r"^(.*)/(\d+)$", 2), F.lit("")).cast("long").alias("frame_seq"),
+        F.regexp_extract(key, FRAME_KEY, 1).alias("video"),
+        F.nullif(F.regexp_extract(key, FRAME_KEY, 2), F.lit("")).cast("long").alias("frame_seq"),
         F.col("timestamp").alias("ts"), F.col("value").alias("data"),
     )
 

@@ -14,6 +14,7 @@ from reelmetry.operators.frames import with_features
 from reelmetry.schemas import FrameShape, IngestConfig
 from reelmetry.sources import files as SF
 from reelmetry.streaming import jobs as J
+from reelmetry.streaming.copies import first_copies
 from reelmetry.streaming import outcomes as OC
 from reelmetry.streaming import ticks as TK
 from reelmetry.streaming import totals as TT
@@ -271,3 +272,25 @@ def test_more_slices_than_files_use_more_tasks(spark, tmp_path):
     frames = SF.slice_outcomes(SF.raw_slices(listing, FrameShape(2, 2, 1), 10), FrameShape(2, 2, 1), tasks=4)
     assert frames.select(F.spark_partition_id().alias("p")).distinct().count() == 4
     assert frames.count() == 400
+
+
+# Copies --------------------------------------------------------------
+
+def test_copies_over_batches_pass_once(spark, tmp_path, monkeypatch):
+    schema = "video string, frame_seq long, data string"
+    batches = [
+        [("a", 0, "x"), ("a", 0, "x"), ("a", 1, "x"), ("b", 0, "x"), ("a", None, "n")],
+        [("a", 1, "x"), ("a", 4095, "x"), ("a", 4096, "x"), ("a", None, "n"), ("b", 10**12, "x")],
+        [("a", 0, "x"), ("a", 4096, "x"), ("b", 10**12, "x"), (None, 5, "x"), (None, 5, "x")],
+        [("full", i % 4096, "x") for i in range(5000)],
+        [("full", 17, "x"), ("full", 4097, "x")],
+    ]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    with TK.rocks_db(spark):
+        J.drain_to_table(first_copies(stream), out, str(tmp_path / "c"))
+    got = sorted(((r.video, r.frame_seq) for r in spark.read.parquet(out).collect()), key=str)
+    named = {(v, n) for rows in batches for v, n, _ in rows if n is not None}
+    assert got == sorted([*named, ("a", None), ("a", None)], key=str)
