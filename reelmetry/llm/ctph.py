@@ -18,6 +18,9 @@ ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0
 CONTEXT, LEAST_BLOCK, SIGNATURE = 7, 3, 64
 #: Signatures that share no run of so many characters are unlike.
 SHARED_RUN = 7
+#: Bytes of a text walked at a time.
+PIECE = 1 << 20
+_MULTIPLIER = 0x5851F42D4C957F2D
 
 
 def _table() -> np.ndarray:
@@ -46,14 +49,14 @@ def _signature(chunk_ends: np.ndarray, sums: np.ndarray, inverse: np.ndarray, si
 
 
 class _Powers:
-    """Powers of a multiplier and its inverse modulo 2**64, as long as the longest text so far."""
+    """Powers of a multiplier and its inverse modulo 2**64, as long as the longest text so far, PIECE at most."""
 
     def __init__(self) -> None:
         self.up = self.down = np.ones(1, dtype=U64)
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n > len(self.up):
-            size, p = max(n, 1 << 16), 0x5851F42D4C957F2D
+            size, p = max(n, 1 << 16), _MULTIPLIER
             up, down = np.full(size, p, dtype=U64), np.full(size, pow(p, -1, 1 << 64), dtype=U64)
             up[0] = down[0] = 1
             self.up, self.down = np.cumprod(up), np.cumprod(down)
@@ -63,13 +66,43 @@ class _Powers:
 _POWERS = _Powers()
 
 
+def _long_ends(data: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where chunks of a long text end at a block size and at twice it, found piece by piece."""
+    single, double = [], []
+    for at in range(0, len(data), PIECE):
+        first = max(at - CONTEXT + 1, 0)  # the hash of a byte looks at those before it
+        rolling = _rolling(data[first : at + PIECE])[at - first :]
+        single.append(np.flatnonzero(rolling % U64(block) == U64(block - 1)) + at + 1)
+        double.append(np.flatnonzero(rolling % U64(2 * block) == U64(2 * block - 1)) + at + 1)
+    return np.concatenate(single), np.concatenate(double)
+
+
+def _long_signature(data: np.ndarray, chunk_ends: np.ndarray) -> str:
+    """``_signature`` of a long text, every chunk's hash summed piece by piece."""
+    ends = chunk_ends[: SIGNATURE - 1].tolist()
+    if not ends or ends[-1] != len(data):
+        ends.append(len(data))
+    up, _ = _POWERS.upto(PIECE)
+    sums, start = [], 0
+    for end in ends:
+        total = np.zeros(1, dtype=U64)
+        for at in range(start, end, PIECE):
+            part = _table()[data[at : min(at + PIECE, end)]]
+            total += np.sum(part * up[: len(part)], dtype=U64, keepdims=True) * np.array([pow(_MULTIPLIER, at - start, 1 << 64)], dtype=U64)
+        sums.append(total[0])
+        start = end
+    hashes = mix(np.array(sums, dtype=U64))
+    return ALPHABET[(hashes >> U64(58)).astype(np.int64)].tobytes().decode()
+
+
 def fingerprint(text: str) -> str:
     """``block:signature:signature at twice the block`` of a whole text; ``3::`` of an empty one.
 
     A chunk ends where the rolling hash of the last bytes has a remainder that the
     block size fixes, so a change moves only the boundaries near it. The block
     size is the smallest 3 * 2**k that would give at most 64 chunks, halved while
-    the signature has fewer than 32.
+    the signature has fewer than 32. Texts above PIECE bytes are walked in pieces,
+    so little more than the text is held.
     """
     data = np.frombuffer(text.encode(), dtype=np.uint8)
     size = len(data)
@@ -78,6 +111,12 @@ def fingerprint(text: str) -> str:
     block = LEAST_BLOCK
     while block * SIGNATURE < size:
         block *= 2
+    if size > PIECE:
+        found, double = _long_ends(data, block)
+        while block > LEAST_BLOCK and len(found) < SIGNATURE // 2:
+            block //= 2
+            found, double = _long_ends(data, block)
+        return f"{block}:{_long_signature(data, found)}:{_long_signature(data, double)}"
     rolling = _rolling(data)
     up, down = _POWERS.upto(size)
     sums = np.cumsum(_table()[data] * up)
