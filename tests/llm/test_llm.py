@@ -516,6 +516,52 @@ def test_fingerprints(docs, edge):
 
 # Pipeline -----------------------------------------------------------
 
+def plain_fingerprint(text):
+    """The fingerprint once more, byte by byte with Python's integers."""
+    wrap = (1 << 64) - 1
+
+    def mixed(x):
+        for _ in range(2):
+            x ^= x >> 32
+            x = x * 0xD6E8FEB86659FD93 & wrap
+        return x ^ (x >> 32)
+
+    def numbers(count, salt):
+        return [mixed(i * 0x9E3779B97F4A7C15 + salt & wrap) | 1 for i in range(1, count + 1)]
+
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    table, factors, data = numbers(256, 101), numbers(7, 103), text.encode()
+    if not data:
+        return "3::"
+    rolling = [mixed(sum(table[data[i - j]] * factors[j] for j in range(min(7, i + 1))) & wrap) >> 32 for i in range(len(data))]
+
+    def ends(b):
+        return [i + 1 for i, r in enumerate(rolling) if r % b == b - 1]
+
+    def signature(b):
+        cuts = ends(b)[:63]
+        if not cuts or cuts[-1] != len(data):
+            cuts.append(len(data))
+        return "".join(
+            letters[mixed(sum(table[c] * pow(0x5851F42D4C957F2D, k, 1 << 64) for k, c in enumerate(data[a:z])) & wrap) >> 58] for a, z in zip([0, *cuts], cuts, strict=False))
+
+    block = 3
+    while block * 64 < len(data):
+        block *= 2
+    while block > 3 and len(ends(block)) < 32:
+        block //= 2
+    return f"{block}:{signature(block)}:{signature(2 * block)}"
+
+
+def test_fingerprints_equal_plain_ones(monkeypatch):
+    rng = random.Random(8)
+    texts = ["", "a", "ab" * 40, "é🎉" * 30, "x" * 700] + ["".join(rng.choices("abc deé\n", k=rng.randint(1, 1500))) for _ in range(25)]
+    expected = [plain_fingerprint(t) for t in texts]
+    assert [ctph.fingerprint(t) for t in texts] == expected
+    monkeypatch.setattr(ctph, "PIECE", 50)  # long texts are walked in pieces
+    assert [ctph.fingerprint(t) for t in texts] == expected
+
+
 def test_pipeline(spark, docs):
     import corpus_pipeline
 
