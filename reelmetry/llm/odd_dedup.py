@@ -17,6 +17,8 @@ from reelmetry.operators.skew import keep_listed, store
 SHINGLE = 5
 #: A link needs 100 * intersection >= PERCENT * union.
 PERCENT = 85
+#: Rounds of further pivots, taken while more comparisons than these per node would be left and this share of a round's pairs are links.
+MORE_PIVOTS, PAIRS_PER_NODE, LEAST_LINKED = 6, 4, 0.05
 #: 32 bands of 5 samples: a pair at similarity 0.85 meets in no band with probability (1 - 0.85**5)**32 < 1e-8.
 BANDS, ROWS = 32, 5
 SAMPLES = BANDS * ROWS
@@ -181,6 +183,34 @@ def _reachable(percent: int) -> Column:
     return ~F.coalesce(known, F.lit(False)) | (most * (100 + percent) >= (F.col("n") + F.col("other_n")) * percent)
 
 
+def _placed(entries: DataFrame, parts: DataFrame) -> DataFrame:
+    """Nodes of the buckets with their components so far."""
+    return entries.select("bucket", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _open_buckets(placed: DataFrame) -> DataFrame:
+    """Buckets of several components: ``total`` nodes and ``most``, the largest component with its size."""
+    sizes = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"))
+    return sizes.groupBy("bucket").agg(
+        F.max(F.struct("size", "component")).alias("most"), F.sum("size").alias("total"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+
+
+def _next_stars(placed: DataFrame, totals: DataFrame, used: DataFrame, light: DataFrame, renamed: DataFrame, percent: int) -> DataFrame:
+    """For each node of an open bucket one more node to compare it with: ``node``, ``other``.
+
+    A bucket's new pivot is its node with the most company over all buckets (what
+    copies were made from meets the most of them) that was none before. A node that
+    has several gets the one with the most company.
+    """
+    inside = placed.join(totals.select("bucket", "total"), "bucket")
+    company = inside.groupBy("node").agg(F.sum("total").alias("company")).join(used, "node", "left_anti")
+    pivots = inside.join(company, "node").groupBy("bucket").agg(F.max(F.struct("company", "node", "component")).alias("chosen"))
+    pairs = placed.join(pivots, "bucket").where("component <> chosen.component").select(
+        "node", F.col("chosen.node").alias("other"), "chosen.company").distinct()
+    pairs = pairs.join(light, "node").join(renamed, "other").where(_may_link(percent))
+    return pairs.groupBy("node").agg(F.max(F.struct("company", "other")).alias("best")).select("node", "best.other")
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Groups of near-duplicate documents; one row per input row.
 
@@ -192,7 +222,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Method. MinHash samples are cut into bands; rows with equal sets become one
     node first, so copies cost nothing later. Each node is compared on the full
     sets with the earliest of its buckets' (band keys') first nodes that sizes and
-    odd sketches allow. Only buckets that still hold more than one component are
+    odd sketches allow. If what is left would be many comparisons, further pivots are
+    tried, one per node and round. Only buckets that still hold more than one component are
     compared further, and only across components: rows outside the bucket's largest
     component against the bucket. Size, sketch, and, of nodes compared with the same
     third one, what they can share at most are tested inside the join, so that what
@@ -233,14 +264,30 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     links = _links(compared)
     parts = store(connected_components(links), "parts")
 
-    # Buckets that hold several components still may hide links between them.
-    placed = entries.select("bucket", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    sizes = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"))
-    open_buckets = (
-        sizes.groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("most"), F.count(F.lit(1)).alias("parts"))
-        .where("parts > 1").select("bucket", F.col("most.component").alias("major"))
-    )
+    # Where copies are unlike their pivot, further pivots keep the comparisons of the next step in proportion to the nodes.
     seen = compared.select("node", F.col("other").alias("pivot"), "shared", "bits")
+    used = entries.select("pivot.node").distinct()
+    node_count = nodes.count()
+    for _ in range(MORE_PIVOTS):
+        placed = _placed(entries, parts)
+        totals = _open_buckets(placed)
+        if (totals.agg(F.sum((F.col("total") - F.col("most.size")) * F.col("total"))).first()[0] or 0) <= PAIRS_PER_NODE * node_count:
+            break
+        stars = store(_next_stars(placed, totals, used, light, renamed, percent), "pairs")
+        if stars.isEmpty():
+            break
+        again = store(_confirmed(stars.select("node", "other"), nodes, texts, percent), "confirmed")
+        links = links.unionByName(_links(again))
+        parts = store(connected_components(links), "parts")
+        fresh = again.select("node", F.col("other").alias("pivot"), "shared", "bits")
+        seen = store(seen.join(fresh.select("node"), "node", "left_anti").unionByName(fresh), "seen")
+        used = store(used.unionByName(stars.select(F.col("other").alias("node"))).distinct(), "used")
+        if again.where("linked").count() < LEAST_LINKED * again.count():
+            break
+
+    # Buckets that hold several components still may hide links between them.
+    placed = _placed(entries, parts)
+    open_buckets = _open_buckets(placed).select("bucket", F.col("most.component").alias("major"))
     members = store(placed.join(open_buckets, "bucket").join(nodes.select("node", "n", "sketch", "bands"), "node").join(seen, "node", "left"), "members")
     minor = members.where("component <> major").drop("major")
     twins = ("component", "n", "sketch", "bands", "pivot", "shared", "bits")
