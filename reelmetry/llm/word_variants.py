@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -18,7 +18,7 @@ from reelmetry.operators.skew import store
 GROUPS = ("e", "a", "i", "n", "r", "s", "t", "o", "l", "d", "u", "cm", "hp", "bfgv", "jkqwxyz")
 LEVELS = len(GROUPS) + 1
 #: Words of one part of the trie (what a task holds), words looked up in it by one task, and words of a leaf.
-PART_WORDS, PART_QUERIES, LEAF_WORDS = 20_000, 100_000, 8
+PART_WORDS, PART_QUERIES, LEAF_WORDS = 20_000, 100_000, 4
 #: Words counted in a task before they are passed on, and characters of a text taken at a time.
 COUNTED, PIECE = 200_000, 4 << 20
 #: A form has at least this many times a word's occurrences.
@@ -82,10 +82,14 @@ def word_counts(docs: DataFrame, least_length: int = 6, least_count: int = 5, de
 
 
 def letter_counts(word: str) -> Column:
-    """How often each letter group stands in a word: the path of its leaf in the trie."""
+    """How often each letter group stands in a word, a byte each (255 for more): the path of its leaf in the trie.
+
+    A cut count only brings words nearer to each other, so no near word is lost.
+    """
     length = F.length(word)
     found = [length - F.length(F.translate(F.col(word), group, "")) for group in GROUPS]
-    return F.array(*found, F.length(F.translate(F.col(word), "".join(GROUPS), "")))
+    found.append(F.length(F.translate(F.col(word), "".join(GROUPS), "")))
+    return F.unhex(F.concat(*[F.lpad(F.hex(F.least(c, F.lit(255)).cast("long")), 2, "0") for c in found]))
 
 
 def one_edit(a: str, b: str) -> bool:
@@ -106,11 +110,11 @@ def one_edit(a: str, b: str) -> bool:
 class Trie:
     """Words by their letter-group counts from a level on; small branches are leaves."""
 
-    def __init__(self, words: list[tuple[Sequence[int], str, int]], level: int = 0) -> None:
+    def __init__(self, words: list[tuple[bytes, str, int]], level: int = 0) -> None:
         self.level = level
         self.root = self._node(words, level)
 
-    def _node(self, words: list[tuple[Sequence[int], str, int]], level: int) -> dict | list:
+    def _node(self, words: list[tuple[bytes, str, int]], level: int) -> dict | list:
         if level == LEVELS or len(words) <= LEAF_WORDS:
             return [(word, n) for _, word, n in words]
         branches: dict[int, list] = {}
@@ -118,35 +122,42 @@ class Trie:
             branches.setdefault(entry[0][level], []).append(entry)
         return {count: self._node(own, level + 1) for count, own in branches.items()}
 
-    def near(self, counts: Sequence[int], word: str, surplus: int = 1, deficit: int = 1) -> list[tuple[str, int]]:
-        """The words one edit away: depth first, over branches that spend at most one letter more and one letter less."""
+    def near(self, counts: bytes, word: str, surplus: int = 1, deficit: int = 1) -> list[tuple[str, int]]:
+        """Words one edit away, each pair of words from one side only.
+
+        Depth first, over branches that spend a surplus of one letter and then a
+        deficit of one. Of two near words with different counts one sees the surplus
+        first, and it finds the other; with equal counts as far as a leaf, the
+        smaller word does.
+        """
         out = []
         stack = [(self.root, self.level, surplus, deficit)]
         while stack:
             node, level, more, less = stack.pop()
             if isinstance(node, list):
-                out += [entry for entry in node if one_edit(word, entry[0])]
+                out += [entry for entry in node if (not more or word < entry[0]) and one_edit(word, entry[0])]
                 continue
             count = counts[level]
+            level += 1
             if (child := node.get(count)) is not None:
-                stack.append((child, level + 1, more, less))
-            if more and (child := node.get(count + 1)) is not None:
-                stack.append((child, level + 1, 0, less))
-            if less and (child := node.get(count - 1)) is not None:
-                stack.append((child, level + 1, more, 0))
+                stack.append((child, level, more, less))
+            if more:
+                if (child := node.get(count + 1)) is not None:
+                    stack.append((child, level, 0, less))
+            elif less and (child := node.get(count - 1)) is not None:
+                stack.append((child, level, 0, 0))
         return out
 
 
-_FOUND = "word string, near long, best struct<rank:long,word:string>"
+_PAIR = "word string, near string, rank long"
 
 
 def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parts of the trie, each followed by the words that are looked up in it."""
+    """Parts of the trie, each followed by the words that are looked up in it: pairs of near words, in both directions."""
     part = trie = None
-    stored: list[tuple[list[int], str, int]] = []
-    kind = pa.struct([("rank", pa.int64()), ("word", pa.string())])
+    stored: list[tuple[bytes, str, int]] = []
     for batch in batches:
-        words, near, best = [], [], []
+        left, right, rank = [], [], []
         columns = [batch.column(c).to_pylist() for c in ("path", "piece", "salt", "level", "kind", "counts", "word", "n", "more", "less")]
         for path, piece, salt, level, query, counts, word, n, more, less in zip(*columns, strict=True):
             if part != (path, piece, salt):
@@ -156,18 +167,12 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             if trie is None:
                 trie, stored = Trie(stored, level), []
-            found = trie.near(counts, word, more, less)
-            if found:
-                top = min((-m, w) for w, m in found)
-                words.append(word)
-                near.append(len(found))
-                best.append({"rank": top[0], "word": top[1]})
-        if words:
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(near, pa.int64()), pa.array(best, kind)], names=["word", "near", "best"])
-
-
-def _path(level: int) -> Column:
-    return F.array_join(F.slice("counts", 1, level).cast("array<string>"), ".")
+            for other, m in trie.near(counts, word, more, less):
+                left += (word, other)
+                right += (other, word)
+                rank += (-m, -n)
+        if left:
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.string()), pa.array(right, pa.string()), pa.array(rank, pa.int64())], names=["word", "near", "rank"])
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -183,19 +188,18 @@ def near_words(words: DataFrame) -> DataFrame:
     visit, so a task's memory is bounded for any words.
     """
     words = store(words.withColumn("counts", letter_counts("word")), "words")
-    prefixes = words.select(F.explode(F.sequence(F.lit(1), F.lit(LEVELS))).alias("level"), "counts")
-    nodes = store(prefixes.select("level", F.array_join(F.expr("slice(counts, 1, level)").cast("array<string>"), ".").alias("path"))
-                  .groupBy("level", "path").agg(F.count(F.lit(1)).alias("words")), "nodes")
+    # A node is its level and the first so many bytes of the counts.
+    nodes = store(words.select("counts", F.explode(F.sequence(F.lit(1), F.lit(LEVELS))).alias("level"))
+                  .groupBy("level", F.expr("substring(counts, 1, level)").alias("path")).agg(F.count(F.lit(1)).alias("words")), "nodes")
     deepest = nodes.where(F.col("words") > PART_WORDS).agg(F.max("level")).first()[0] or 0
 
     found: list[DataFrame] = []
-    state = words.select("word", "n", "counts", F.lit("").alias("path"), F.lit(1).alias("more"), F.lit(1).alias("less"))
+    state = words.select("word", "n", "counts", F.unhex(F.lit("")).alias("path"), F.lit(1).alias("more"), F.lit(1).alias("less"))
     for level in range(1, min(deepest + 1, LEVELS) + 1):
-        count = F.col("counts")[level - 1]
-        step = F.array(F.lit(0), F.lit(1), F.lit(-1))
-        moved = state.withColumn("step", F.explode(step)).where("(step < 1 OR more = 1) AND (step > -1 OR less = 1)").where(count + F.col("step") >= 0)
-        moved = moved.select(
-            "word", "n", "counts", F.concat("path", F.lit("." if level > 1 else ""), (count + F.col("step")).cast("string")).alias("path"),
+        count = F.conv(F.hex(F.substring("counts", level, 1)), 16, 10).cast("int")
+        moved = state.withColumn("step", F.explode(F.array(F.lit(0), F.lit(1), F.lit(-1)))).withColumn("count", count + F.col("step"))
+        moved = moved.where("(step < 1 OR more = 1) AND (step > -1 OR (more = 0 AND less = 1)) AND count BETWEEN 0 AND 255").select(
+            "word", "n", "counts", F.concat("path", F.unhex(F.lpad(F.hex(F.col("count").cast("long")), 2, "0"))).alias("path"),
             (F.col("more") - (F.col("step") == 1).cast("int")).alias("more"), (F.col("less") - (F.col("step") == -1).cast("int")).alias("less"),
         )
         met = moved.join(nodes.where(F.col("level") == level).select("path", F.col("words").alias("held")), "path")
@@ -224,7 +228,8 @@ def near_words(words: DataFrame) -> DataFrame:
     dealt = own.select(columns).unionByName(asked.select(columns))
     count = max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 1)
     dealt = dealt.repartition(count, "path", "piece", "salt").sortWithinPartitions("path", "piece", "salt", "kind", "word")
-    return dealt.mapInArrow(_look_up, _FOUND).groupBy("word").agg(F.sum("near").alias("near"), F.min("best").alias("best"))
+    pairs = dealt.mapInArrow(_look_up, _PAIR)
+    return pairs.groupBy("word").agg(F.count(F.lit(1)).alias("near"), F.min(F.struct("rank", F.col("near").alias("word"))).alias("best"))
 
 
 def roots(links: DataFrame) -> DataFrame:
