@@ -29,27 +29,28 @@ def _bit_lengths(values: np.ndarray) -> np.ndarray:
 
 def _packed(rows: np.ndarray, width: int) -> np.ndarray:
     """Rows of BLOCK values below 2**width, as bytes: value i takes the bits from i * width on, lowest first."""
-    words = np.zeros((len(rows), BLOCK * width // 64), dtype=U64)
+    values = np.ascontiguousarray(rows.T)
+    words = np.zeros((BLOCK * width // 64, len(rows)), dtype=U64)
     for i in range(BLOCK):
         word, shift = divmod(i * width, 64)
-        words[:, word] |= rows[:, i] << U64(shift)
+        words[word] |= values[i] << U64(shift)
         if shift + width > 64:
-            words[:, word + 1] |= rows[:, i] >> U64(64 - shift)
-    return words.astype("<u8").view(np.uint8).reshape(len(rows), BLOCK * width // 8)
+            words[word + 1] |= values[i] >> U64(64 - shift)
+    return np.ascontiguousarray(words.T).astype("<u8", copy=False).view(np.uint8).reshape(len(rows), BLOCK * width // 8)
 
 
 def _unpacked(data: np.ndarray, width: int) -> np.ndarray:
     """What ``_packed`` packed."""
-    words = np.ascontiguousarray(data).view("<u8").astype(U64)
-    out = np.empty((len(words), BLOCK), dtype=U64)
+    words = np.ascontiguousarray(np.ascontiguousarray(data).view("<u8").astype(U64, copy=False).T)
+    out = np.empty((BLOCK, words.shape[1]), dtype=U64)
     mask = U64((1 << width) - 1)
     for i in range(BLOCK):
         word, shift = divmod(i * width, 64)
-        value = words[:, word] >> U64(shift)
+        np.right_shift(words[word], U64(shift), out=out[i])
         if shift + width > 64:
-            value = value | (words[:, word + 1] << U64(64 - shift))
-        out[:, i] = value & mask
-    return out
+            out[i] |= words[word + 1] << U64(64 - shift)
+    out &= mask
+    return out.T
 
 
 def encode(values: np.ndarray) -> bytes:
@@ -70,12 +71,15 @@ def encode(values: np.ndarray) -> bytes:
     least = rows.min(axis=1)
     # Differences of any two signed values fit in 64 unsigned bits.
     above = rows.view(U64) - least.view(U64)[:, None]
-    bits = _bit_lengths(above)
+    most = above.max(axis=1)
     keep = -(-BLOCK * PERCENTILE // 100) - 1
-    widths = np.partition(bits, keep, axis=1)[:, keep]
-    over = bits > widths[:, None]
+    narrow = above.astype(np.uint16 if most.max() < 1 << 16 else U64, copy=False)
+    widths = _bit_lengths(np.partition(narrow, keep, axis=1)[:, keep].astype(U64))
+    limits = (U64(1) << np.minimum(widths, 63).astype(U64)) - U64(1)
+    limits[widths == 64] = ~U64(0)
+    over = above > limits[:, None]
     exceptions = over.sum(axis=1)
-    wide = np.where(exceptions > 0, -(-(bits.max(axis=1) - widths) // 8), 0)
+    wide = np.where(exceptions > 0, -(-(_bit_lengths(most) - widths) // 8), 0)
 
     sizes = _BLOCK_HEAD + BLOCK * widths // 8 + exceptions * (1 + wide)
     starts = np.concatenate([[0], np.cumsum(sizes)])
