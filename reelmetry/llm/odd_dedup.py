@@ -315,10 +315,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that remain when one document of each near-duplicate group stays, all columns.
+    """The rows of ``docs`` that remain when one document of each near-duplicate group stays, all columns, whatever their names.
 
     The smallest ``doc_id`` stays, among its rows the one of the smallest text
-    hash. Documents without words stay; their exact repeats (id and text) go.
+    hash. Documents without words stay; their exact repeats (id and text, a null one
+    counts as empty) go. Of rows with one id and one text one stays, whatever else
+    they hold. An empty table gives no rows.
     """
     found = near_duplicates(docs, percent)
     no_words = F.col("n_shingles") == 0
@@ -328,7 +330,8 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         grouped.select("least.doc_id", "least.text_hash")
         .unionByName(found.where(no_words).select("doc_id", "text_hash").distinct()),
         "stay",
-    ).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    hashed = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    on = hashed["doc_id"].cast("long").eqNullSafe(stay["_id"]) & (hashed["_hash"] == stay["_hash"])
-    return hashed.join(stay, on, "left_semi").dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    ).select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    hashed = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("hash"))
+    on = hashed["id"].eqNullSafe(stay["kept_id"]) & (hashed["hash"] == stay["kept_hash"])
+    return hashed.join(stay, on, "left_semi").dropDuplicates(["id", "hash"]).select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -246,10 +246,14 @@ def scan(docs: DataFrame, model: MarkovPair | None = None) -> DataFrame:
 
 
 def redact(docs: DataFrame, model: MarkovPair | None = None, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every span of ``text`` replaced by ``mark`` (overlapping spans by one), ``n_chars`` to match; null texts stay null."""
+    """``docs`` with every span of ``text`` replaced by ``mark`` (overlapping spans by one), ``n_chars`` to match; null texts stay null.
+
+    All other columns stay as they are, whatever their names; repeated rows repeat;
+    an empty table gives no rows. A text and its spans are held by a row at a time.
+    """
     model = model or train(labelled_samples(docs))
-    found = docs.withColumn("_base", base_spans(_text())).withColumn(
-        "_spans", F.array_sort(F.concat("_base", model.spans(_text(), F.col("_base")))))
+    found = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text")).withColumn("base", base_spans(_text()))
+    found = found.withColumn("spans", F.array_sort(F.concat("base", model.spans(_text(), F.col("base")))))
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, m: Column) -> Column:
@@ -258,10 +262,11 @@ def redact(docs: DataFrame, model: MarkovPair | None = None, mark: str = "[SECRE
         return F.struct(
             F.greatest(acc["at"], m["end"]).alias("at"), F.when(fresh, F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"]).alias("out"))
 
-    walked = F.aggregate("_spans", start, step)
-    clean = F.when(F.size("_spans") > 0, F.concat(walked["out"], F.substr(F.col("text"), (walked["at"] + 1).cast("int")))).otherwise(F.col("text"))
-    out = found.withColumn("text", clean)
+    walked = F.aggregate("spans", start, step)
+    clean = F.when(F.size("spans") > 0, F.concat(walked["out"], F.substr(F.col("text"), (walked["at"] + 1).cast("int")))).otherwise(F.col("text"))
+    out = found.withColumn("clean", clean)
+    replaced = {"text": F.col("clean").cast(docs.schema["text"].dataType)}
     if "n_chars" in docs.columns:
-        changed = F.when(F.size("_spans") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+        changed = F.when(F.size("spans") > 0, F.length("clean")).otherwise(F.col("row.n_chars"))
+        replaced["n_chars"] = changed.cast(docs.schema["n_chars"].dataType)
+    return out.select(*[replaced.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

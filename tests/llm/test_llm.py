@@ -323,6 +323,23 @@ def test_unlabelled_secrets_in_the_sample(spark, docs):
     assert redacted[-99] == "the [SECRET]"
 
 
+def test_clashing_columns_stay(spark, docs):
+    """Columns with the names that stages use themselves come through unchanged."""
+    names = ["_spans", "_base", "_hash", "row", "base", "spans", "clean", "id", "hash", "kept_id", "text_hash", "component", "node"]
+    rows = [(1, "one two three four five six token=abcdefgh", 3, *names), (2, None, 0, *names), (2, "", 0, *names), (3, "seven eight nine ten eleven", 27, *names)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, " + ", ".join(f"{n} string" for n in names))
+    model = secret_markov.train(secret_markov.labelled_samples(docs))
+    clean = secret_markov.redact(df, model)
+    assert clean.columns == df.columns and clean.schema == df.schema
+    got = sorted((tuple(r) for r in clean.collect()), key=str)
+    wanted = [(1, "one two three four five six [SECRET]", 36, *names), *rows[1:]]
+    assert got == sorted(wanted, key=str)
+    kept = odd_dedup.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id, r._hash, r.row) for r in kept.collect()) == [(1, "_hash", "row"), (2, "_hash", "row"), (3, "_hash", "row")]
+    assert secret_markov.redact(df.limit(0), model).count() == 0 and odd_dedup.keep_one(df.limit(0)).count() == 0
+
+
 # 6 ------------------------------------------------------------------
 
 def check_packing(rows, expected):
