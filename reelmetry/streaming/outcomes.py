@@ -1,9 +1,10 @@
 """What became of every row of a job: results, an error table and counts, without a second pass over the input.
 
-A row with a message in its ``error`` column has failed. The counts are observed
-metrics of the very write that brings the results, so they are of the rows that
-were written. Everything of a micro-batch lies under its number: a replay puts its
-own results, errors and counts in place again and adds nothing.
+A row with a message in its ``error`` column has failed. Counts are of what was
+written: stored rows are counted from the files' footers, sent ones by observed
+metrics of the write that sends them. Everything of a micro-batch lies under its
+number: a replay puts its own results, errors and counts in place again and adds
+nothing.
 """
 
 from __future__ import annotations
@@ -13,22 +14,11 @@ from collections.abc import Callable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 COUNTS = "rows long, failures long"
 
 
-def observed(df: DataFrame, error: str = "error") -> tuple[DataFrame, Observation]:
-    """``df`` and what its next action will have counted: ``rows`` and ``failures``."""
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(error).isNotNull()).alias("failures")), seen
-
-
-def _counts(seen: Observation) -> tuple[int, int]:
-    # A plan that turned out to be empty has nothing observed.
-    found = seen.get or {}
-    return int(found.get("rows") or 0), int(found.get("failures") or 0)
-
-
 def write_counts(spark: SparkSession, counts: tuple[int, int], path: str) -> None:
     """A table of one row: ``rows`` and ``failures``."""
     spark.createDataFrame([counts], COUNTS).coalesce(1).write.mode("overwrite").parquet(path)
@@ -36,9 +26,12 @@ def write_counts(spark: SparkSession, counts: tuple[int, int], path: str) -> Non
 
 def write_outcomes(df: DataFrame, path: str, error: str = "error") -> tuple[int, int]:
     """Writes good and bad rows apart (``failed=false``, ``failed=true``) in one write; returns rows and failures."""
-    rows, seen = observed(df, error)
-    rows.withColumn("failed", F.col(error).isNotNull()).write.mode("overwrite").partitionBy("failed").parquet(path)
-    return _counts(seen)
+    df.withColumn("failed", F.col(error).isNotNull()).write.mode("overwrite").partitionBy("failed").parquet(path)
+    spark = df.sparkSession
+    stored = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("failed", T.StringType())])).parquet(path)
+    # No column is read: the files' footers have the counts.
+    failures = stored.where("failed = 'true'").count()
+    return stored.where("failed = 'false'").count() + failures, failures
 
 
 def keep_outcomes(path: str, send: Callable[[DataFrame], None] | None = None, error: str = "error") -> Callable[[DataFrame, int], None]:
@@ -62,15 +55,18 @@ def keep_outcomes(path: str, send: Callable[[DataFrame], None] | None = None, er
 def send_outcomes(path: str, send: Callable[[DataFrame], None], about: Sequence[str], error: str = "error") -> Callable[[DataFrame, int], None]:
     """Batch function for payloads too large to store: good rows are sent straight on.
 
-    The write that sends them counts all rows and the failed ones. Only a batch with
-    failures is looked at again, for the columns ``about`` and ``error`` of those rows.
+    The write that sends them counts all rows and the failed ones; the observation
+    lives in the batch's session, which in a stream is the query's own. Only a batch
+    with failures is looked at again, for the columns ``about`` and ``error`` of those rows.
     """
     root = path.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows, seen = observed(batch, error)
+        seen = Observation()
+        rows = batch.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(error).isNotNull()).alias("failures"))
         send(rows.where(F.col(error).isNull()).drop(error))
-        counts = _counts(seen)
+        found = seen.get or {}  # a plan that turned out to be empty has nothing observed
+        counts = int(found.get("rows") or 0), int(found.get("failures") or 0)
         if counts[1]:
             batch.where(F.col(error).isNotNull()).select(*about, error).write.mode("overwrite").parquet(f"{root}/errors/batch_id={batch_id}")
         write_counts(batch.sparkSession, counts, f"{root}/counts/batch_id={batch_id}")

@@ -117,6 +117,7 @@ def test_a_replayed_batch_replaces_its_outcomes(spark, tmp_path):
 
 
 def test_sent_outcomes_note_failures_only(spark, tmp_path):
+    spark = spark.newSession()  # as in a stream, whose batches have a session of their own
     path, sent = str(tmp_path / "t"), []
     write = OC.send_outcomes(path, lambda good: sent.append(sorted(r.key for r in good.collect())), ("key",))
     write(frames_of(spark, [ROWS[0]]), 0)
