@@ -1029,9 +1029,10 @@ def predictions(spark, sf):
 # --------------------------------------------------------------------------
 
 def _stream(spark, sf, name):
-    """A table's file as a file stream."""
+    """A table as a file stream, be it one file or a folder of files, partitioned or not."""
     schema = V.table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    # A pattern, since a stream takes no path of a single file; partition columns are read from the names below ``basePath``.
+    return spark.readStream.schema(schema).option("basePath", sf).parquet(f"{sf}/{{{name}}}.parquet")
 
 
 def _drained(spark, df, name):
