@@ -9,6 +9,7 @@ STREAMED = [
     ("stream_ingest_counts", "documents", "lang"),
     ("stream_ingest_errors", "documents", "lang"),
     ("stream_isolated_errors", "documents", "lang"),
+    ("stream_raw_frames", "documents", "lang"),
 ]
 DOCUMENTS = [
     (1, "a" * 64 + "b" * 70, "en", "wiki"), (2, "c" * 63, "de", "book"), (3, "", "en", "wiki"), (4, "é" * 64, "fr", "news"), (5, None, None, "wiki"),
