@@ -11,6 +11,7 @@ STREAMED = [
     ("stream_isolated_errors", "documents", "lang"),
     ("stream_raw_frames", "documents", "lang"),
     ("stream_resize_outcomes", "embeddings", "label"),
+    ("stream_resized_frames", "embeddings", "label"),
 ]
 DOCUMENTS = [
     (1, "a" * 64 + "b" * 70, "en", "wiki"), (2, "c" * 63, "de", "book"), (3, "", "en", "wiki"), (4, "é" * 64, "fr", "news"), (5, None, None, "wiki"),
