@@ -122,12 +122,20 @@ def _may_link(percent: int) -> Column:
     return (small * 100 >= large * percent) & (_differing_bits("sketch", "other_sketch") <= most_odd_bits(percent))
 
 
+def _rest(left_over: np.ndarray, size: int) -> np.ndarray:
+    """A node's shingles that the compared one lacks, as a bitmap by their hashes; its width depends on the compared set's ``size`` alone."""
+    width = 1 << max(6, (2 * size - 1).bit_length())
+    bits = np.zeros(width, dtype=bool)
+    bits[(left_over & U64(width - 1)).astype(np.int64)] = True
+    return np.packbits(bits).view(np.int64)
+
+
 def _compared(percent: int):
-    """Pairs of full sets: how many shingles they share, whether that makes a link, and which of ``other``'s the node has, as a bitmap."""
+    """Pairs of full sets: how many shingles they share, whether that makes a link, and bitmaps: which of ``other``'s the node has, and ``rest``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shared, linked, bits = [], [], []
+            shared, linked, bits, rest = [], [], [], []
             for i in range(batch.num_rows):
                 a = batch.column("shingles")[i].values.to_numpy().view(U64)
                 b = batch.column("other_shingles")[i].values.to_numpy().view(U64)
@@ -138,9 +146,10 @@ def _compared(percent: int):
                 linked.append(100 * count >= percent * (len(a) + len(b) - count))
                 raw = np.packbits(both)
                 bits.append(np.append(raw, np.zeros(-len(raw) % 8, np.uint8)).view(np.int64))
+                rest.append(_rest(np.delete(a, at[both]), len(b)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("other"), pa.array(shared, pa.int64()), pa.array(linked, pa.bool_()), _lists(bits)],
-                names=["node", "other", "shared", "linked", "bits"])
+                [batch.column("node"), batch.column("other"), pa.array(shared, pa.int64()), pa.array(linked, pa.bool_()), _lists(bits), _lists(rest)],
+                names=["node", "other", "shared", "linked", "bits", "rest"])
 
     return run
 
@@ -157,7 +166,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: in
     )
     other = sets.select(F.col("node").alias("other"), F.col("shingles").alias("other_shingles"))
     both = pairs.join(sets, "node").join(other, "other").select("node", "other", "shingles", "other_shingles")
-    return both.mapInArrow(_compared(percent), "node long, other long, shared long, linked boolean, bits array<long>")
+    return both.mapInArrow(_compared(percent), "node long, other long, shared long, linked boolean, bits array<long>, rest array<long>")
 
 
 def _links(compared: DataFrame) -> DataFrame:
@@ -170,17 +179,29 @@ def _first_meeting() -> Column:
     return F.get(shared, 0) == F.col("bucket")
 
 
+def _in_both(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda total, n: total + n)
+
+
 def _reachable(percent: int) -> Column:
-    """Whether a pair can still be a link, after both were compared with the same third node.
+    """Whether a pair can still be a link, after both were compared with the same further nodes.
 
-    They share what both have of the third node's shingles, exactly, and of the
-    rest at most what the one with fewer has.
+    They share what both have of such a node's shingles, exactly, and of the rest
+    at most the hashes in both bitmaps, and for one of the two the shingles that
+    share a hash with another one.
     """
-    common = F.aggregate(
-        F.zip_with("bits", "other_bits", lambda a, b: F.bit_count(a.bitwiseAND(b))), F.lit(0), lambda total, n: total + n)
-    most = common + F.least(F.col("n") - F.col("shared"), F.col("other_n") - F.col("other_shared"))
-    known = F.col("pivot").isNotNull() & F.col("other_pivot").isNotNull() & (F.col("pivot") == F.col("other_pivot"))
-    return ~F.coalesce(known, F.lit(False)) | (most * (100 + percent) >= (F.col("n") + F.col("other_n")) * percent)
+    def ruled_out(a: Column, b: Column) -> Column:
+        most = _in_both(a["bits"], b["bits"]) + _in_both(a["rest"], b["rest"]) + F.least(a["doubled"], b["doubled"])
+        return (a["pivot"] == b["pivot"]) & (most * (100 + percent) < (F.col("n") + F.col("other_n")) * percent)
+
+    return ~F.coalesce(F.exists("seen", lambda a: F.exists("other_seen", lambda b: ruled_out(a, b))), F.lit(False))
+
+
+def _comparisons(compared: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node``, ``pivot`` and what is known of the two: shared shingles, the rest, and how many of it share their hash."""
+    used = F.aggregate("rest", F.lit(0), lambda total, word: total + F.bit_count(word))
+    sizes = compared.join(nodes.select("node", "n"), "node")
+    return sizes.select("node", F.struct(F.col("other").alias("pivot"), "bits", "rest", (F.col("n") - F.col("shared") - used).alias("doubled")).alias("one"))
 
 
 def _placed(entries: DataFrame, parts: DataFrame) -> DataFrame:
@@ -195,6 +216,12 @@ def _open_buckets(placed: DataFrame) -> DataFrame:
         F.max(F.struct("size", "component")).alias("most"), F.sum("size").alias("total"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
 
 
+def _arranged(entries: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``_placed`` and ``_open_buckets``, stored: the next round reads them several times."""
+    placed = store(_placed(entries, parts), "placed")
+    return placed, store(_open_buckets(placed), "totals")
+
+
 def _next_stars(placed: DataFrame, totals: DataFrame, used: DataFrame, light: DataFrame, renamed: DataFrame, percent: int) -> DataFrame:
     """For each node of an open bucket one more node to compare it with: ``node``, ``other``.
 
@@ -265,12 +292,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     parts = store(connected_components(links), "parts")
 
     # Where copies are unlike their pivot, further pivots keep the comparisons of the next step in proportion to the nodes.
-    seen = compared.select("node", F.col("other").alias("pivot"), "shared", "bits")
+    seen = _comparisons(compared, nodes)
     used = entries.select("pivot.node").distinct()
     node_count = nodes.count()
+    placed, totals = _arranged(entries, parts)
     for _ in range(MORE_PIVOTS):
-        placed = _placed(entries, parts)
-        totals = _open_buckets(placed)
         if (totals.agg(F.sum((F.col("total") - F.col("most.size")) * F.col("total"))).first()[0] or 0) <= PAIRS_PER_NODE * node_count:
             break
         stars = store(_next_stars(placed, totals, used, light, renamed, percent), "pairs")
@@ -279,21 +305,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         again = store(_confirmed(stars.select("node", "other"), nodes, texts, percent), "confirmed")
         links = links.unionByName(_links(again))
         parts = store(connected_components(links), "parts")
-        fresh = again.select("node", F.col("other").alias("pivot"), "shared", "bits")
-        seen = store(seen.join(fresh.select("node"), "node", "left_anti").unionByName(fresh), "seen")
+        seen = seen.unionByName(_comparisons(again, nodes))
         used = store(used.unionByName(stars.select(F.col("other").alias("node"))).distinct(), "used")
-        if again.where("linked").count() < LEAST_LINKED * again.count():
+        tried = again.agg(F.count(F.lit(1)).alias("pairs"), F.count_if("linked").alias("linked")).first()
+        placed, totals = _arranged(entries, parts)
+        if tried["linked"] < LEAST_LINKED * tried["pairs"]:
             break
 
     # Buckets that hold several components still may hide links between them.
-    placed = _placed(entries, parts)
-    open_buckets = _open_buckets(placed).select("bucket", F.col("most.component").alias("major"))
+    open_buckets = totals.select("bucket", F.col("most.component").alias("major"))
+    # One comparison a round at most.
+    seen = seen.groupBy("node").agg(F.collect_list("one").alias("seen"))
     members = store(placed.join(open_buckets, "bucket").join(nodes.select("node", "n", "sketch", "bands"), "node").join(seen, "node", "left"), "members")
     minor = members.where("component <> major").drop("major")
-    twins = ("component", "n", "sketch", "bands", "pivot", "shared", "bits")
+    twins = ("component", "n", "sketch", "bands", "seen")
     others = members.select("bucket", "major", F.col("node").alias("other"), *(F.col(c).alias(f"other_{c}") for c in twins))
     once = (F.col("other_component") == F.col("major")) | (F.col("node") < F.col("other"))
-    untried = ~F.col("pivot").eqNullSafe(F.col("other")) & ~F.col("other_pivot").eqNullSafe(F.col("node"))
+    untried = ~F.coalesce(F.exists("seen", lambda a: a["pivot"] == F.col("other")) | F.exists("other_seen", lambda b: b["pivot"] == F.col("node")), F.lit(False))
     apart = (F.col("component") != F.col("other_component")) & once & untried
     across = minor.join(others, "bucket").where(apart & _first_meeting() & _may_link(percent) & _reachable(percent))
     across = store(across.select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other")).distinct(), "pairs")
