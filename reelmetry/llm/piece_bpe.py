@@ -66,7 +66,8 @@ class PieceEncoder:
         whole = {p for p in pieces if len(p) == 1 or self.merged(p) == [p]}
         self.shorter: dict[str, str] = {}
         self.automaton = ahocorasick.Automaton()
-        for p in whole:
+        # The automaton looks through a node's letters in the order they came; the model's order begins with the common ones.
+        for p in (p for p in pieces if p in whole):
             self.automaton.add_word(p, p)
             self.shorter[p] = next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in whole or k == 1), "")
         self.automaton.make_automaton()
@@ -80,12 +81,20 @@ class PieceEncoder:
 
     def merged(self, text: str) -> list[str]:
         """The definition: merge the best-ranked neighbours, leftmost first, until none is a piece."""
-        parts, rank = list(text), self.rank
-        while len(parts) > 1:
-            best, at = min(((rank.get(parts[i] + parts[i + 1], float("inf")), i) for i in range(len(parts) - 1)))
-            if best == float("inf"):
+        parts, rank, never = list(text), self.rank.get, float("inf")
+        ranks = [rank(a + b, never) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == never:
                 break
+            at = ranks.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            # Only the two new neighbourhoods are ranked anew.
+            if at:
+                ranks[at - 1] = rank(parts[at - 1] + parts[at], never)
+            if at < len(ranks):
+                ranks[at] = rank(parts[at] + parts[at + 1], never)
         return parts
 
     def compatible(self, left: str, right: str) -> bool:
@@ -103,19 +112,29 @@ class PieceEncoder:
             longest[end + 1 - len(piece)] = piece  # later ends are longer
         size, at, out = len(text), 0, []
         failed = bytearray((size >> 3) + 1)
-        piece = longest[0] if size else ""
-        shorter, compatible = self.shorter, self.compatible
+        piece, left = longest[0] if size else "", ""
+        shorter, fits, stepped_back = self.shorter, self.fits, False
         while at < size:
             end = at + len(piece)
-            if not failed[end >> 3] >> (end & 7) & 1 and (not out or compatible(out[-1], piece)):
+            if stepped_back and failed[end >> 3] >> (end & 7) & 1:
+                fit = False
+            elif left:
+                fit = fits.get((left, piece))
+                if fit is None:
+                    fit = self.compatible(left, piece)
+            else:
+                fit = True
+            if fit:
                 out.append(piece)
-                at = end
+                left, at = piece, end
                 piece = longest[at] if at < size else ""
             elif len(piece) > 1:
                 piece = shorter[piece]
             else:
                 failed[at >> 3] |= 1 << (at & 7)
+                stepped_back = True
                 piece = out.pop()
+                left = out[-1] if out else ""
                 at -= len(piece)
         return out
 
@@ -158,9 +177,13 @@ class PieceEncoder:
     def described(self, text: str) -> tuple[str, str]:
         """The ids in decimal, comma-joined, and their decoded text; short chunks are remembered."""
         known, surface = self.known, self.surface
-        ids, raw = [], []
-        for c in self.chunks(text):
-            both = known.get(c)
+        chunks = self.chunks(text)
+        described = list(map(known.get, chunks))
+        at = -1
+        for _ in range(described.count(None)):
+            at = described.index(None, at + 1)
+            c = chunks[at]
+            both = known.get(c)  # an earlier chunk of this text may be the same
             if both is None:
                 found = self.chunk_ids(c)
                 both = (",".join(map(str, found)), b"".join([surface[i] for i in found]))
@@ -168,8 +191,8 @@ class PieceEncoder:
                     if len(known) >= REMEMBERED:
                         known.clear()
                     known[c] = both
-            ids.append(both[0])
-            raw.append(both[1])
+            described[at] = both
+        ids, raw = [d[0] for d in described], [d[1] for d in described]
         return ",".join(ids), self.finished(b"".join(raw))
 
 
