@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmetry.operators.skew import store
+from reelmetry.operators.skew import store_and_release
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -23,7 +23,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     adaptive execution may split. Repeated links and self links are allowed; no
     links give no rows.
     """
-    edges = store(
+    edges = store_and_release(
         links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links"
     )
     before = _state(edges)
@@ -40,7 +40,7 @@ def connected_components(links: DataFrame) -> DataFrame:
             .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v").where("u <> v").distinct()
         )
-        edges = store(small, "links")
+        edges = store_and_release(small, "links")
         after = _state(edges)
         if after == before:
             break

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from reelmetry.llm.common import U64, constants, mix, slices, task_keys, utf8, word_hashes
 from reelmetry.llm.components import connected_components
-from reelmetry.operators.skew import keep_listed, store
+from reelmetry.operators.skew import keep_listed, store_and_release
 
 SHINGLE = 5
 #: A link needs 100 * intersection >= PERCENT * union.
@@ -157,9 +157,9 @@ def _compared(percent: int):
 def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (``node``, ``other``) compared on their full shingle sets."""
     wanted = pairs.select(F.explode(F.array("node", "other")).alias("node")).distinct()
-    located = store(nodes.join(wanted, "node").select("node", "doc_key", "text_hash"), "located")
+    located = store_and_release(nodes.join(wanted, "node").select("node", "doc_key", "text_hash"), "located")
     found = keep_listed(texts, located, ["doc_key", "text_hash"])
-    sets = store(
+    sets = store_and_release(
         found.join(located, ["doc_key", "text_hash"]).dropDuplicates(["node"]).select("node", "text")
         .mapInArrow(_sets, "node long, shingles array<long>"),
         "sets",
@@ -218,8 +218,8 @@ def _open_buckets(placed: DataFrame) -> DataFrame:
 
 def _arranged(entries: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``_placed`` and ``_open_buckets``, stored: the next round reads them several times."""
-    placed = store(_placed(entries, parts), "placed")
-    return placed, store(_open_buckets(placed), "totals")
+    placed = store_and_release(_placed(entries, parts), "placed")
+    return placed, store_and_release(_open_buckets(placed), "totals")
 
 
 def _next_stars(placed: DataFrame, totals: DataFrame, used: DataFrame, light: DataFrame, renamed: DataFrame, percent: int) -> DataFrame:
@@ -266,30 +266,30 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
     ).withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    rows = store(keyed.mapInArrow(_signatures, _SIGNATURE), "signatures")
+    rows = store_and_release(keyed.mapInArrow(_signatures, _SIGNATURE), "signatures")
     filled = rows.where("n_shingles > 0")
     texts = keyed.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_key"), "text_hash", "text").where("text IS NOT NULL")
 
     # One node per distinct set: the smallest of its rows.
     least = F.min(F.struct("row", F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_key"), "text_hash")).alias("least")
     heads = filled.groupBy("set_key").agg(least)
-    heads = store(heads.select("set_key", F.col("least.row").alias("node"), "least.doc_key", "least.text_hash"), "heads")
+    heads = store_and_release(heads.select("set_key", F.col("least.row").alias("node"), "least.doc_key", "least.text_hash"), "heads")
     signed = filled.select(F.col("row").alias("node"), F.col("n_shingles").alias("n"), "bands", "sketch")
-    nodes = store(heads.select("node", "doc_key", "text_hash").join(signed, "node"), "nodes")
+    nodes = store_and_release(heads.select("node", "doc_key", "text_hash").join(signed, "node"), "nodes")
 
     # The earliest document of a bucket is its pivot: what the others were copied from, if it is there.
     entries = nodes.select("node", "doc_key", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.min(F.struct("doc_key", "node")).alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    entries = store(entries.drop("doc_key").join(shared.drop("size"), "bucket"), "entries")
+    entries = store_and_release(entries.drop("doc_key").join(shared.drop("size"), "bucket"), "entries")
 
     light = nodes.select("node", "n", "sketch")
     renamed = light.toDF("other", "other_n", "other_sketch")
     stars = entries.where("node <> pivot.node").select("node", F.col("pivot.node").alias("other"), "pivot.doc_key").distinct()
     stars = stars.join(light, "node").join(renamed, "other").where(_may_link(percent))
-    stars = store(stars.groupBy("node").agg(F.min(F.struct("doc_key", "other")).alias("least")).select("node", "least.other"), "pairs")
-    compared = store(_confirmed(stars, nodes, texts, percent), "confirmed")
+    stars = store_and_release(stars.groupBy("node").agg(F.min(F.struct("doc_key", "other")).alias("least")).select("node", "least.other"), "pairs")
+    compared = store_and_release(_confirmed(stars, nodes, texts, percent), "confirmed")
     links = _links(compared)
-    parts = store(connected_components(links), "parts")
+    parts = store_and_release(connected_components(links), "parts")
 
     # Where copies are unlike their pivot, further pivots keep the comparisons of the next step in proportion to the nodes.
     seen = _comparisons(compared, nodes)
@@ -299,14 +299,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     for _ in range(MORE_PIVOTS):
         if (totals.agg(F.sum((F.col("total") - F.col("most.size")) * F.col("total"))).first()[0] or 0) <= PAIRS_PER_NODE * node_count:
             break
-        stars = store(_next_stars(placed, totals, used, light, renamed, percent), "pairs")
+        stars = store_and_release(_next_stars(placed, totals, used, light, renamed, percent), "pairs")
         if stars.isEmpty():
             break
-        again = store(_confirmed(stars.select("node", "other"), nodes, texts, percent), "confirmed")
+        again = store_and_release(_confirmed(stars.select("node", "other"), nodes, texts, percent), "confirmed")
         links = links.unionByName(_links(again))
-        parts = store(connected_components(links), "parts")
+        parts = store_and_release(connected_components(links), "parts")
         seen = seen.unionByName(_comparisons(again, nodes))
-        used = store(used.unionByName(stars.select(F.col("other").alias("node"))).distinct(), "used")
+        used = store_and_release(used.unionByName(stars.select(F.col("other").alias("node"))).distinct(), "used")
         tried = again.agg(F.count(F.lit(1)).alias("pairs"), F.count_if("linked").alias("linked")).first()
         placed, totals = _arranged(entries, parts)
         if tried["linked"] < LEAST_LINKED * tried["pairs"]:
@@ -316,7 +316,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     open_buckets = totals.select("bucket", F.col("most.component").alias("major"))
     # One comparison a round at most.
     seen = seen.groupBy("node").agg(F.collect_list("one").alias("seen"))
-    members = store(placed.join(open_buckets, "bucket").join(nodes.select("node", "n", "sketch", "bands"), "node").join(seen, "node", "left"), "members")
+    members = store_and_release(placed.join(open_buckets, "bucket").join(nodes.select("node", "n", "sketch", "bands"), "node").join(seen, "node", "left"), "members")
     minor = members.where("component <> major").drop("major")
     twins = ("component", "n", "sketch", "bands", "seen")
     others = members.select("bucket", "major", F.col("node").alias("other"), *(F.col(c).alias(f"other_{c}") for c in twins))
@@ -324,10 +324,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     untried = ~F.coalesce(F.exists("seen", lambda a: a["pivot"] == F.col("other")) | F.exists("other_seen", lambda b: b["pivot"] == F.col("node")), F.lit(False))
     apart = (F.col("component") != F.col("other_component")) & once & untried
     across = minor.join(others, "bucket").where(apart & _first_meeting() & _may_link(percent) & _reachable(percent))
-    across = store(across.select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other")).distinct(), "pairs")
+    across = store_and_release(across.select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other")).distinct(), "pairs")
     if not across.isEmpty():
-        more = store(_confirmed(across, nodes, texts, percent), "confirmed")
-        parts = store(connected_components(links.unionByName(_links(more))), "parts")
+        more = store_and_release(_confirmed(across, nodes, texts, percent), "confirmed")
+        parts = store_and_release(connected_components(links.unionByName(_links(more))), "parts")
 
     member = (
         rows.select("row", "doc_id", "text_hash", "n_shingles", "set_key").join(heads.select("set_key", "node"), "set_key", "left")
@@ -354,7 +354,7 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     no_words = F.col("n_shingles") == 0
     grouped = found.where(~no_words).groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("least"))
-    stay = store(
+    stay = store_and_release(
         grouped.select("least.doc_id", "least.text_hash")
         .unionByName(found.where(no_words).select("doc_id", "text_hash").distinct()),
         "stay",

@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelmetry.operators.skew import store
+from reelmetry.operators.skew import release, store_and_release
 
 #: Labelled documents that are fitted on at most, folds for the probabilities fed forward.
 TRAINING_ROWS, FOLDS = 12_000, 3
@@ -113,7 +113,9 @@ def _fit(rows: DataFrame, counts: DataFrame, category: str, earlier: Sequence[st
     words = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="letters", outputCol="words")
     words.setBinary(True)
     linear = LogisticRegression(labelCol=category, featuresCol="features", regParam=RIDGE, standardization=False, maxIter=25, tol=1e-4)
-    return Link(words, linear.fit(_inputs(rows, words, earlier).select("features", category)))
+    link = Link(words, linear.fit(_inputs(rows, words, earlier).select("features", category)))
+    release(rows.sparkSession)  # a job per iteration
+    return link
 
 
 def _best_threshold(rows: DataFrame, category: str) -> float:
@@ -149,8 +151,8 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], r
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
     # Equal texts in one fold, else a copy would tell its label.
     texts = texts.dropDuplicates(["doc_id"]).withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(folds)))
-    base = store(with_letters(texts).drop("text").coalesce(8), "labelled")
-    counted = store(
+    base = store_and_release(with_letters(texts).drop("text").coalesce(8), "labelled")
+    counted = store_and_release(
         base.select("fold", *categories, F.explode("letters").alias("letter")).groupBy("letter", "fold")
         .agg(F.count(F.lit(1)).alias("n"), *(F.sum(c).alias(f"t_{c}") for c in categories)),
         "words",
@@ -175,7 +177,7 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], r
             maker = _fit(base.where(other), words_of(counted.where(other)), category, earlier) or model
             part = maker.score(base.where(~other), category, earlier)
             scored = part if scored is None else scored.unionByName(part)
-        base = store(scored, "out-of-fold")
+        base = store_and_release(scored, "out-of-fold")
         thresholds.append(_best_threshold(base, category))
     return Chain(categories, models, thresholds)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmetry.session import scratch_path
@@ -33,6 +33,23 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver collect its garbage.
+
+    Plans, broadcasts and the state of finished shuffles are freed only then. The
+    driver's heap otherwise grows over the many short jobs of an operator of rounds,
+    though little of it is in use.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
+def store_and_release(df: DataFrame, name: str) -> DataFrame:
+    """``store`` for operators of many rounds: a stored table ends a round, see ``release``."""
+    stored = store(df, name)
+    release(df.sparkSession)
+    return stored
+
+
 def few_groups(df: DataFrame, keys: Sequence[str], limit: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` has at most ``limit`` distinct keys."""
     return rows_within(df.select(*keys).distinct(), limit)

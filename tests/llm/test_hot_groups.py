@@ -7,6 +7,7 @@ import pytest
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from reelmetry.llm import odd_dedup, piece_bpe  # noqa: E402
+from reelmetry.operators import skew  # noqa: E402
 
 
 def unlike_copies(count, words=150, changed=8):
@@ -101,3 +102,23 @@ def test_merging_ranks_only_new_neighbours():
         assert Counted.asked <= 3 * 80
     finally:
         coder.rank = rank
+
+
+def full_collections(spark):
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    return sum(bean.getCollectionCount() for bean in beans if "Young" not in bean.getName() and "Scavenge" not in bean.getName())
+
+
+def test_the_driver_is_released_after_every_stored_table(spark, monkeypatch):
+    stored, store = [], skew.store
+
+    def counted(df, name):
+        stored.append(name)
+        return store(df, name)
+
+    monkeypatch.setattr(skew, "store", counted)
+    before = full_collections(spark)
+    kept = odd_dedup.keep_one(spark.createDataFrame(unlike_copies(20), "doc_id long, text string"))
+    assert {"signatures", "confirmed", "links", "stay"} <= set(stored)
+    assert full_collections(spark) - before >= len(stored)
+    assert kept.count() == 20
