@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reelmetry.llm.common import slices, strings
+from reelmetry.llm.common import give_back, slices, strings
 from reelmetry.llm.token_ids import word_ids
 from reelmetry.operators.skew import store
 
@@ -239,6 +239,7 @@ def _tokenised(docs: DataFrame, path: str, end_id: int, window: int) -> DataFram
                  pa.array(rank, pa.int64()), pa.array(before, pa.int64()), pa.array(ids, pa.binary())],
                 names=["row", "doc_id", "part", "n", "remainder", "rank", "windows_before", "ids"],
             )
+        give_back()
 
     return docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(run, _STORED)
 
@@ -293,5 +294,6 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, window: int = WINDOW, with
             arrays = [pa.array(c, pa.int64()) for c in out[:7]] + ([pa.array(out[7], pa.binary())] if with_ids else [])
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
             yield pa.RecordBatch.from_arrays(arrays, names=names)
+        give_back()
 
     return joined.mapInArrow(cut, _PIECE + ", ids binary" * with_ids)

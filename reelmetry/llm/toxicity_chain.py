@@ -63,12 +63,17 @@ class Link:
     linear: LogisticRegressionModel
 
     def score(self, df: DataFrame, category: str, earlier: Sequence[str]) -> DataFrame:
-        out = self.linear.transform(_inputs(df, self.words, earlier))
-        return out.withColumn(f"p_{category}", vector_to_array("probability")[1]).drop("words", "features", "rawPrediction", "probability", "prediction")
+        return _judged(self.words.transform(df), self.linear, "words", category, earlier).drop("words")
 
 
-def _inputs(df: DataFrame, words: CountVectorizerModel, earlier: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=["words", "shape", *(f"p_{c}" for c in earlier)], outputCol="features").transform(words.transform(df))
+def _inputs(df: DataFrame, words: str, earlier: Sequence[str]) -> DataFrame:
+    return VectorAssembler(inputCols=[words, "shape", *(f"p_{c}" for c in earlier)], outputCol="features").transform(df)
+
+
+def _judged(df: DataFrame, linear: LogisticRegressionModel, words: str, category: str, earlier: Sequence[str]) -> DataFrame:
+    """Adds ``p_<category>``; ``words`` is the column of the model's words."""
+    out = linear.transform(_inputs(df, words, earlier))
+    return out.withColumn(f"p_{category}", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
 
 
 @dataclass
@@ -103,19 +108,48 @@ def _telling_words(counts: DataFrame, category: str, base: float) -> list[str]:
     return [r["letter"] for r in found.select("letter").collect()]
 
 
-def _fit(rows: DataFrame, counts: DataFrame, category: str, earlier: Sequence[str]) -> Link | None:
-    """A model of one category; None if the labels are all alike."""
-    seen = rows.agg(F.avg(category).alias("share")).first()["share"]
-    if seen is None or not 0 < seen < 1:
-        return None
-    # One word at least: "~" is no run of letters.
-    vocabulary = _telling_words(counts, category, seen) or ["~"]
-    words = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="letters", outputCol="words")
+def _words_model(vocabulary: Sequence[str], column: str) -> CountVectorizerModel:
+    """Marks which words of ``vocabulary`` are among ``letters``."""
+    words = CountVectorizerModel.from_vocabulary(list(vocabulary), inputCol="letters", outputCol=column)
     words.setBinary(True)
+    return words
+
+
+def _vocabularies(base: DataFrame, counted: DataFrame, category: str, folds: int) -> list[list[str] | None]:
+    """The words of the category's model of all rows, and of those that leave out each fold; None where the labels are all alike."""
+    sums = base.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum(category).alias("t")).collect()
+    found: list[list[str] | None] = []
+    for left_out in (None, *range(folds)):
+        n, t = (sum(r[k] for r in sums if r["fold"] != left_out) for k in ("n", "t"))
+        if not 0 < t < n:
+            found.append(None)
+            continue
+        rows = counted if left_out is None else counted.where(F.col("fold") != left_out)
+        counts = rows.groupBy("letter").agg(F.sum("n").alias("n"), F.sum(f"t_{category}").alias("t"))
+        # One word at least: "~" is no run of letters.
+        found.append(_telling_words(counts, category, t / n) or ["~"])
+    return found
+
+
+def _with_words(base: DataFrame, columns: dict[str, list[str]]) -> DataFrame:
+    """``base`` with a column of marked words for every vocabulary instead of ``letters``.
+
+    The fits read these; the strings, far larger, are gone through once and not
+    again in each pass of each fit.
+    """
+    out = base
+    for column, vocabulary in columns.items():
+        out = _words_model(vocabulary, column).transform(out)
+    slim = [F.col(c).alias(c, metadata={"ml_attr": {"num_attrs": len(v)}}) for c, v in columns.items()]
+    return out.select(*(c for c in base.columns if c != "letters"), *slim)
+
+
+def _fit(rows: DataFrame, words: str, category: str, earlier: Sequence[str]) -> LogisticRegressionModel:
+    """A model of one category; ``words`` is the column of its words."""
     linear = LogisticRegression(labelCol=category, featuresCol="features", regParam=RIDGE, standardization=False, maxIter=25, tol=1e-4)
-    link = Link(words, linear.fit(_inputs(rows, words, earlier).select("features", category)))
+    model = linear.fit(_inputs(rows, words, earlier).select("features", category))
     release(rows.sparkSession)  # a job per iteration
-    return link
+    return model
 
 
 def _best_threshold(rows: DataFrame, category: str) -> float:
@@ -157,25 +191,26 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], r
         .agg(F.count(F.lit(1)).alias("n"), *(F.sum(c).alias(f"t_{c}") for c in categories)),
         "words",
     )
+    vocabularies = {c: _vocabularies(base, counted, c, folds) for c in categories}
+    # Per category the column of the model of all rows, then those of the folds' models.
+    columns = {c: [f"words_{i}_{n}" for n in range(folds + 1)] for i, c in enumerate(categories)}
+    base = store_and_release(_with_words(base, {k: v for c in categories for k, v in zip(columns[c], vocabularies[c], strict=True) if v}), "marked")
     models: list[Link | None] = []
     thresholds: list[float] = []
     for i, category in enumerate(categories):
         earlier = categories[:i]
-
-        def words_of(rows: DataFrame, category: str = category) -> DataFrame:
-            return rows.groupBy("letter").agg(F.sum("n").alias("n"), F.sum(f"t_{category}").alias("t"))
-
-        model = _fit(base, words_of(counted), category, earlier)
-        models.append(model)
-        if model is None:
+        (vocabulary, *others), (column, *fold_columns) = vocabularies[category], columns[category]
+        if vocabulary is None:
+            models.append(None)
             base = base.withColumn(f"p_{category}", F.lit(0.0))
             thresholds.append(1.1)
             continue
+        linear = _fit(base, column, category, earlier)
+        models.append(Link(_words_model(vocabulary, "words"), linear))
         scored = None
-        for fold in range(folds):
-            other = F.col("fold") != fold
-            maker = _fit(base.where(other), words_of(counted.where(other)), category, earlier) or model
-            part = maker.score(base.where(~other), category, earlier)
+        for fold, (words, own) in enumerate(zip(others, fold_columns, strict=True)):
+            maker, own = (_fit(base.where(F.col("fold") != fold), own, category, earlier), own) if words else (linear, column)
+            part = _judged(base.where(F.col("fold") == fold), maker, own, category, earlier).drop(*columns[category])
             scored = part if scored is None else scored.unionByName(part)
         base = store_and_release(scored, "out-of-fold")
         thresholds.append(_best_threshold(base, category))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from reelmetry.llm import (  # noqa: E402
-    chat_schema, ctph, nnls_packing, odd_dedup, piece_bpe, queries, secret_markov, token_counts, topk_segments, toxicity_chain, url_filter,
+    chat_schema, common, ctph, nnls_packing, odd_dedup, piece_bpe, queries, secret_markov, token_counts, topk_segments, toxicity_chain, url_filter,
 )
 
 SF = "/root/testdata/sf0.001"
@@ -469,6 +469,48 @@ def test_template_is_reversible():
         assert [chat_schema.unescape(text[a:b]) for a, b in mask] == [t for r, t in turns if r == "assistant"]
 
 
+def test_freed_memory_is_given_back():
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    held = [bytes(1_000) for _ in range(100_000)]
+    pins = held[::1_000]
+    del held  # between what is kept, so that the C library does not return it by itself
+    before = resident()
+    common.give_back()
+    assert before - resident() > 50_000_000 and len(pins) == 100
+
+
+def test_packing_gives_memory_back_after_each_task(monkeypatch):
+    import pyarrow as pa
+    import pyspark
+
+    class Table:
+        def select(self, *_):
+            return self
+
+        def __getitem__(self, name):
+            return self
+
+        def cast(self, _):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    class Task:
+        partitionId = staticmethod(lambda: 0)
+
+    given = []
+    monkeypatch.setattr(nnls_packing, "give_back", lambda: given.append(1))
+    monkeypatch.setattr(pyspark.TaskContext, "get", classmethod(lambda _: Task))
+    run = nnls_packing._tokenised(Table(), queries.tokenizer_path(queries.WORDS), 1, 2048)
+    rows = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words", None]})
+    assert sum(b.num_rows for b in run(iter([rows, rows]))) == 4
+    assert given == [1]
+
+
 # 8 ------------------------------------------------------------------
 
 def test_toxicity_on_held_out_rows(spark):
@@ -488,6 +530,33 @@ def test_toxicity_on_held_out_rows(spark):
     assert kept.columns == df.columns and kept.where("doc_id >= 400 AND toxic = 1").count() == 0
 
 
+def test_fits_and_later_passes_do_not_read_the_words_as_strings(spark, monkeypatch):
+    """Of the stored tables only the first two hold strings; a fit goes over its rows many times."""
+    stored, fitted, store = {}, [], toxicity_chain.store_and_release
+
+    def kept(df, name):
+        out = store(df, name)
+        stored[name] = out.dtypes
+        return out
+
+    class Regression(toxicity_chain.LogisticRegression):
+        def fit(self, df, *rest):
+            fitted.append(df._jdf.queryExecution().optimizedPlan().toString())
+            return super().fit(df, *rest)
+
+    monkeypatch.setattr(toxicity_chain, "store_and_release", kept)
+    monkeypatch.setattr(toxicity_chain, "LogisticRegression", Regression)
+    names = [f"{a}{b}" for a in "abcdefghijklmno" for b in "pqrstuvwxyzäöü"]
+    rows = [(i, f"{names[i]} {'vile' if i % 4 == 0 else 'nice'} {'dull' if i % 5 == 0 else 'keen'}", int(i % 5 == 0), int(i % 4 == 0)) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, poor int, toxic int")
+    chain = toxicity_chain.train_chain(df.select("doc_id", "text"), df.select("doc_id", "poor", "toxic"), ["poor", "toxic"])
+    assert len(fitted) == 8 and not any("letters" in plan for plan in fitted)
+    assert not any("string" in kind for name in ("marked", "out-of-fold") for _, kind in stored[name])
+    assert [{w for w in ("vile", "nice", "dull", "keen") if w in m.words.vocabulary} for m in chain.models] == [{"dull", "keen"}, {"vile", "nice"}]
+    found = {r.doc_id: (r.is_poor, r.is_toxic) for r in chain.score(df.select("doc_id", "text")).collect()}
+    assert found == {i: (i % 5 == 0, i % 4 == 0) for i in range(200)}
+
+
 def test_stems(spark):
     df = spark.createDataFrame([("Worthless disgusting TERRIBLE morons worthless ab abcd",), (None,)], "text string")
     found = [r.letters for r in toxicity_chain.with_letters(df).select("letters").collect()]
