@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from reelmetry.llm.common import give_back, slices, strings
 from reelmetry.llm.token_ids import word_ids
-from reelmetry.operators.skew import store
+from reelmetry.operators.skew import store_and_release
 
 WINDOW = 2048
 #: Lengths per histogram bin of the solver: a window of 2048 has 256 bins, and some 5,600 combinations of up to three fill it.
@@ -259,11 +259,11 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, window: int = WINDOW, with
     repeated rows are packed each; other columns are ignored; an empty table gives
     no rows.
     """
-    stored = store(_tokenised(docs, path, end_id, window), "ids")
+    stored = store_and_release(_tokenised(docs, path, end_id, window), "ids")
     light = stored.select("row", "part", "remainder", "rank", "n").where("remainder > 0")
     per_part = light.groupBy("part", "remainder").agg(F.count(F.lit(1)).alias("rows"))
     before = F.coalesce(F.sum("rows").over(Window.partitionBy("remainder").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    per_part = store(per_part.withColumn("before", before), "ranks")
+    per_part = store_and_release(per_part.withColumn("before", before), "ranks")
     histogram = {r["remainder"]: r["rows"] for r in per_part.groupBy("remainder").agg(F.sum("rows").alias("rows")).collect()}
     spark = docs.sparkSession
     rows = spark.createDataFrame(
@@ -275,7 +275,6 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, window: int = WINDOW, with
     piece = F.struct(F.col("piece_start").alias("start"), "length", sequence, "offset")
     placed = placed.groupBy("row").agg(F.collect_list(piece).alias("pieces"))
     joined = stored.select("row", "doc_id", "part", "n", "windows_before", "ids").join(placed.hint("shuffle_hash"), "row", "left")
-    wide = 2 if word_ids(path).dtype.itemsize == 2 else 4
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,6 +283,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, window: int = WINDOW, with
             columns = [batch.column(c).to_pylist() for c in ("doc_id", "part", "n", "windows_before", "ids", "pieces")]
             for doc_id, part, n, windows, ids, pieces in zip(*columns, strict=True):
                 full = n // window
+                wide = len(ids) // n  # bytes an id; asking the tokenizer would load it into the driver
                 places = [(i * window, window, -1 - ((part << 40) + windows + i), 0) for i in range(full)]
                 places += [(full * window + p["start"], p["length"], p["sequence_id"], p["offset"]) for p in pieces or ()]
                 for start, length, sequence, offset in places:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,13 +35,29 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let the driver collect its garbage.
+    """Let the driver collect its garbage and return freed memory to the system.
 
     Plans, broadcasts and the state of finished shuffles are freed only then. The
     driver's heap otherwise grows over the many short jobs of an operator of rounds,
-    though little of it is in use.
+    though little of it is in use. What its compiler and network threads free outside
+    the heap, the C library keeps for each of several hundred threads' own use.
     """
     spark.sparkContext._jvm.System.gc()
+    trim_native_heap(spark)
+
+
+def trim_native_heap(spark: SparkSession) -> str:
+    """What ``jcmd System.trim_native_heap`` does, in the driver: its report, or nothing where the JVM has no such command."""
+    gateway = spark.sparkContext._gateway
+    java = gateway.jvm
+    # By the interface: the server's own class isn't open to callers.
+    call = next(m for m in java.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+    given = gateway.new_array(java.java.lang.Object, 4)
+    given[0], given[1] = java.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+    try:
+        return call.invoke(java.java.lang.management.ManagementFactory.getPlatformMBeanServer(), given)
+    except Py4JJavaError:  # not Linux with glibc, or an older Java
+        return ""
 
 
 def store_and_release(df: DataFrame, name: str) -> DataFrame:

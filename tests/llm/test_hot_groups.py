@@ -1,12 +1,15 @@
 """Work that must not grow with the square of a group of near copies, or of a word."""
 
+import platform
 import random
 
+import numpy as np
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
-from reelmetry.llm import odd_dedup, piece_bpe  # noqa: E402
+from reelmetry.llm import nnls_packing, odd_dedup, piece_bpe, secret_markov, token_ids  # noqa: E402
+from reelmetry.llm.queries import WORDS, tokenizer_path  # noqa: E402
 from reelmetry.operators import skew  # noqa: E402
 
 
@@ -122,3 +125,40 @@ def test_the_driver_is_released_after_every_stored_table(spark, monkeypatch):
     assert {"signatures", "confirmed", "links", "stay"} <= set(stored)
     assert full_collections(spark) - before >= len(stored)
     assert kept.count() == 20
+
+
+def test_secrets_release_the_driver_after_every_stored_table(spark, monkeypatch):
+    stored, store = [], skew.store
+
+    def counted(df, name):
+        stored.append(name)
+        return store(df, name)
+
+    monkeypatch.setattr(skew, "store", counted)
+    strings = [("plain/words/in/a/path", False), ("another-ordinary-name", False), ("short", False), ("9f86d081884c7d659a2feaa0c55ad015", True)]
+    before = full_collections(spark)
+    secret_markov.train(spark.createDataFrame(strings, "token string, random boolean"))
+    # Both medians read one stored table of ratios.
+    assert stored == ["strings", "ordinary", "ratios"]
+    assert full_collections(spark) - before >= len(stored)
+
+
+def test_packing_leaves_the_tokenizer_to_the_tasks(spark):
+    path = tokenizer_path(WORDS)
+    token_ids.word_ids.cache_clear()
+    docs = spark.createDataFrame([(1, "some words"), (2, None), (3, "more " * 3000)], "doc_id long, text string")
+    pieces = nnls_packing.pack(docs, path, with_ids=True).collect()
+    assert token_ids.word_ids.cache_info().currsize == 0
+    coder = token_ids.word_ids(path)
+    for doc_id, text in ((1, "some words"), (2, ""), (3, "more " * 3000)):
+        own = sorted((r for r in pieces if r.doc_id == doc_id), key=lambda r: r.start)
+        assert b"".join(bytes(r.ids) for r in own) == coder.encode_many([text])[0] + np.array([1], dtype=coder.dtype).tobytes()
+    token_ids.word_ids.cache_clear()
+
+
+def test_freed_native_memory_is_returned(spark, monkeypatch):
+    known = platform.libc_ver()[0] == "glibc" and spark._jvm.java.lang.Runtime.version().feature() >= 17
+    reports, trim = [], skew.trim_native_heap
+    monkeypatch.setattr(skew, "trim_native_heap", lambda spark: reports.append(trim(spark)))
+    skew.release(spark)
+    assert len(reports) == 1 and reports[0].startswith("Trim native heap") == known
